@@ -32,13 +32,13 @@ CUSTOMER_LINES = ["CUSTOMER_ID", "ORDER_ID", "LINEITEM_ID"]
 
 def _extract(ws: Workspace) -> DataFrame:
     root = ws.scratch("raw")
-    lake.extract_tables(lambda name: ws.raw(name.split(".")[-1]), ["dbo.order_items"], root)
+    lake.extract_tables(lambda name: ws.source(name.split(".")[-1]), ["dbo.order_items"], root)
     return lake.read_layer(ws.spark, root, "order_items")
 
 
 def _promote(ws: Workspace) -> DataFrame:
     raw, bronze = ws.scratch("raw"), ws.scratch("bronze")
-    lake.write_layer(ws.raw("date_dim"), raw, "date_dim")
+    lake.write_layer(ws.source("date_dim"), raw, "date_dim")
     lake.promote(ws.spark, raw, bronze, ["date_dim"])
     return lake.read_layer(ws.spark, bronze, "date_dim")
 
@@ -89,7 +89,7 @@ def _availability(ws: Workspace) -> DataFrame:
 
 def _pipeline(ws: Workspace) -> DataFrame:
     root = ws.scratch("lake")
-    pipeline.run_pipeline(ws.spark, lambda t: ws.raw(t.split(".")[-1]), root,
+    pipeline.run_pipeline(ws.spark, lambda t: ws.source(t.split(".")[-1]), root,
                           source_tables=[f"dbo.{t}" for t in RAW_TABLES])
     gold = pipeline.layer(root, "gold")
     counts = [
@@ -115,9 +115,7 @@ def _percent_rank(ws: Workspace) -> DataFrame:
         lake.read_layer(ws.spark, ws.folder, "orders.parquet").select("o_orderkey", "o_totalprice"),
         "ranked",
     )
-    return ranking.global_percent_rank(
-        orders.df, "o_totalprice", "PERCENT_RANK", orders.buckets(4_000)
-    )
+    return ranking.global_percent_rank(orders, "o_totalprice", "PERCENT_RANK", 4_000)
 
 
 def _segmentation(ws: Workspace) -> DataFrame:

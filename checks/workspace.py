@@ -32,10 +32,17 @@ class Workspace:
     def layer_root(self, name: str) -> str:
         return layer(self.root, name)
 
-    def raw(self, table: str) -> DataFrame:
-        """The raw table, derived anew on each use."""
+    def source(self, table: str) -> DataFrame:
+        """The table as its source system would serve it, derived anew on each use."""
         return raw_table(self.spark, self.folder, table)
 
+    def raw(self, table: str) -> DataFrame:
+        root = self.layer_root("raw")
+        if ("raw", table) not in self._written:
+            write_layer(self.source(table), root, table)
+            self._written.add(("raw", table))
+        return read_layer(self.spark, root, table)
+
     def silver(self, table: str) -> DataFrame:
         root = self.layer_root("silver")
         if ("silver", table) not in self._written:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -21,14 +21,13 @@ def _is_text(df: DataFrame, column: str) -> bool:
 def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key: the least one, comparing the other columns in order, NULL first.
 
-    Written as a ``min`` over the rest of the row, so copies of a key are combined before the
-    shuffle and a key that fills a third of the table never meets in one task. NULL is one key.
+    NULL is one key. Spark turns the filter on the row number into a group limit before the
+    shuffle, so each task sends one row per key at most and a key that fills a third of the
+    table never meets in one task.
     """
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return kept.select(*keys, "_row.*").select(*df.columns)
+    first = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_first(c) for c in rest or keys])
+    return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
 def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

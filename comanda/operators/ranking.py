@@ -6,6 +6,9 @@ the rows is one row from then on. The distinct values are cut into buckets at ap
 quantiles; the bucket of a value is a function of the value alone, so a re-run task agrees with
 its first run. Running counts are taken inside each bucket and shifted by the totals of the
 buckets below. NULL is the smallest value, as in Spark's default sort order.
+
+The inputs are stored tables of known size (``Staged``). One that fits a single bucket is ranked
+by Spark's own window function; the size of what one task sorts is always checked.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comanda.functions.metrics import ratio
+from comanda.staging import Staged
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4_000
@@ -36,28 +40,31 @@ def _with_bucket(counts: DataFrame, df: DataFrame, value: str, buckets: int) ->
     return counts.withColumn("_cuts", cuts).withColumn("_bucket", bucket).drop("_cuts")
 
 
+def _order(value: str, descending: bool) -> Column:
+    return F.desc_nulls_last(value) if descending else F.asc_nulls_first(value)
+
+
 def _sum_below(column: str, window: Window) -> Column:
     before = window.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
 
 def value_positions(
-    df: DataFrame,
+    source: Staged,
     value: str,
     by: Sequence[str] = (),
     *,
     descending: bool = False,
-    buckets: int = 1,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """One row per distinct value (within ``by``) with its place in the sort order.
 
     COPIES rows hold the value, ROWS_BEFORE rows and VALUES_BEFORE distinct values come before
-    it, GROUP_ROWS rows share its ``by`` group. ``df`` is read once per bucket step, so pass a
-    staged table when it is costly to compute.
+    it, GROUP_ROWS rows share its ``by`` group.
     """
-    by = list(by)
+    by, df, buckets = list(by), source.df, source.buckets(rows_per_bucket)
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(COPIES))
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+    order = _order(value, descending)
     if buckets == 1:
         sorted_values = Window.partitionBy(*by).orderBy(order)
         return counts.withColumns(
@@ -111,63 +118,80 @@ def dense_rank() -> Column:
     return (F.col(VALUES_BEFORE) + 1).cast("bigint")
 
 
-def with_rank(
-    df: DataFrame,
-    value: str,
-    out: str,
-    rank: Column,
-    *,
-    descending: bool = False,
-    buckets: int = 1,
+def _join_rank(
+    source: Staged, value: str, out: str, rank: Column, descending: bool, rows_per_bucket: int
 ) -> DataFrame:
-    """Add a whole-table rank of ``value``: ranks are computed per distinct value and joined back."""
-    ranks = value_positions(df, value, descending=descending, buckets=buckets).select(
-        F.col(value).alias("_ranked_value"), rank.alias(out)
-    )
-    return df.join(ranks, df[value].eqNullSafe(ranks["_ranked_value"]), "left").drop("_ranked_value")
+    """Rank the distinct values and join the rank back to the rows by value."""
+    ranks = value_positions(
+        source, value, descending=descending, rows_per_bucket=rows_per_bucket
+    ).select(F.col(value).alias("_ranked_value"), rank.alias(out))
+    df = source.df
+    same_value = df[value].eqNullSafe(ranks["_ranked_value"])
+    return df.join(ranks, same_value, "left").drop("_ranked_value")
 
 
-def global_percent_rank(df: DataFrame, value: str, out: str, buckets: int = 1) -> DataFrame:
+def global_percent_rank(
+    source: Staged, value: str, out: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """``percent_rank() OVER (ORDER BY value)`` over all rows; ties share a rank, NULLs come first."""
-    return with_rank(df, value, out, percent_rank(), buckets=buckets)
+    if source.buckets(rows_per_bucket) == 1:
+        return source.df.withColumn(out, F.percent_rank().over(Window.orderBy(_order(value, False))))
+    return _join_rank(source, value, out, percent_rank(), False, rows_per_bucket)
 
 
-def global_dense_rank(df: DataFrame, value: str, out: str, buckets: int = 1) -> DataFrame:
+def global_dense_rank(
+    source: Staged, value: str, out: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """``dense_rank() OVER (ORDER BY value DESC)`` over all rows."""
-    return with_rank(df, value, out, dense_rank(), descending=True, buckets=buckets)
+    if source.buckets(rows_per_bucket) == 1:
+        return source.df.withColumn(out, F.dense_rank().over(Window.orderBy(_order(value, True))))
+    return _join_rank(source, value, out, dense_rank(), True, rows_per_bucket)
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, by: Sequence[str], points: dict[str, float], buckets: int = 1
+    source: Staged,
+    value: str,
+    by: Sequence[str],
+    points: dict[str, float],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Exact quantiles per group with linear interpolation, NULL values left out.
+    """Exact quantiles of a double column per group with linear interpolation.
 
-    Every group keeps its place even when all its values are NULL.
+    NULL values are left out; a group of NULLs only keeps its row. The two values around each
+    point are picked by place, so no task holds the values of a group.
     """
     by = list(by)
-    places = value_positions(df.where(F.col(value).isNotNull()), value, by, buckets=buckets)
-    last_place = F.col(GROUP_ROWS) - 1
+    places = value_positions(source, value, by, rows_per_bucket=rows_per_bucket).withColumn(
+        "_nulls", F.max(F.when(F.col(value).isNull(), F.col(COPIES))).over(Window.partitionBy(*by))
+    )
+    # NULLs sort first: shift places so that the least known value has place 0.
+    nulls = F.coalesce("_nulls", F.lit(0))
+    places = places.select(
+        *by,
+        value,
+        (F.col(ROWS_BEFORE) - nulls).alias("_from"),
+        (F.col(ROWS_BEFORE) - nulls + F.col(COPIES)).alias("_to"),
+        (F.col(GROUP_ROWS) - nulls - 1).alias("_last"),
+    )
 
-    def value_at(place: Column) -> Column:
-        covers = (F.col(ROWS_BEFORE) <= place) & (place < F.col(ROWS_BEFORE) + F.col(COPIES))
-        return F.max(F.when(covers, F.col(value)))
+    def value_at(place: str) -> str:
+        return f"max({value}) FILTER (WHERE _from <= {place} AND {place} < _to)"
 
     picked = []
     for name, q in points.items():
-        target = last_place * F.lit(float(q))
+        target = f"(_last * {float(q)}D)"
         picked += [
-            value_at(F.floor(target)).alias(f"_lo_{name}"),
-            value_at(F.ceil(target)).alias(f"_hi_{name}"),
+            F.expr(f"{value_at(f'floor{target}')} AS _low_{name}"),
+            F.expr(f"{value_at(f'ceil{target}')} AS _high_{name}"),
         ]
-    found = places.groupBy(*by).agg(F.max(GROUP_ROWS).alias("_n"), *picked)
-    quantiles = []
-    for name, q in points.items():
-        target = (F.col("_n") - 1) * F.lit(float(q))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        quantiles.append((low + (high - low) * (target - F.floor(target))).alias(name))
-    found = found.select(*[F.col(c).alias(f"_by_{c}") for c in by], *quantiles)
-    groups = df.select(*by).distinct()
-    same_group = F.lit(True)
-    for c in by:
-        same_group = same_group & groups[c].eqNullSafe(found[f"_by_{c}"])
-    return groups.join(found, same_group, "left").select(*by, *points)
+    found = places.groupBy(*by).agg(F.max("_last").alias("_last"), *picked)
+    return found.select(
+        *by,
+        *[
+            F.expr(
+                f"_low_{name} + (_high_{name} - _low_{name})"
+                f" * (_last * {float(q)}D - floor(_last * {float(q)}D)) AS {name}"
+            )
+            for name, q in points.items()
+        ],
+    )

@@ -33,7 +33,7 @@ def clv_ranked(
 ) -> DataFrame:
     totals = stage(clv_totals(items, options), "clv")
     return global_percent_rank(
-        totals.df, "CUSTOMER_LIFETIME_VALUE", "PERCENT_RANK", totals.buckets(rows_per_bucket)
+        totals, "CUSTOMER_LIFETIME_VALUE", "PERCENT_RANK", rows_per_bucket
     )
 
 

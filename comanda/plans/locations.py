@@ -49,9 +49,7 @@ def locations(
 ) -> DataFrame:
     """Location metrics with REVENUE_RANK, the dense rank by revenue, highest first."""
     metrics = stage(location_metrics(items, day_grain), "locations")
-    ranked = global_dense_rank(
-        metrics.df, "TOTAL_REVENUE", "REVENUE_RANK", metrics.buckets(rows_per_bucket)
-    )
+    ranked = global_dense_rank(metrics, "TOTAL_REVENUE", "REVENUE_RANK", rows_per_bucket)
     return conform(ranked, GOLD["top_performing_locations"])
 
 

@@ -2,15 +2,18 @@
 
 The five-step scores need only the values at which the percent rank passes 0.2, 0.4, 0.6 and
 0.8. Those twelve cut values come from the counts per distinct value of the three metrics; the
-customers themselves are then scored in place, without a sort, a join or another shuffle.
+customers themselves are then scored in place, without a sort, a join or another shuffle. A
+customer table of one bucket is ranked by Spark's window function instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.functions.metrics import days_since, first_match, rfm_segment
+from comanda.functions.metrics import days_since, rfm_segment
 from comanda.operators.ranking import ROWS_PER_BUCKET, percent_rank, value_positions
 from comanda.plans.shared import reference_date, today, with_customer, with_revenue
 from comanda.schemas import GOLD, conform
@@ -48,62 +51,65 @@ def _cut_name(metric: str, limit: float) -> str:
     return f"{metric}_{round(limit * 100)}"
 
 
-def score_cuts(customers: DataFrame, buckets: int = 1) -> DataFrame:
+def score_cuts(customers: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """One row with the cut values of the three metrics.
 
     Recency: the largest value ranked at or below each limit. Frequency and monetary: the
     smallest value ranked at or above it; NULL where no value gets that far.
     """
-    long = customers.select(*[F.col(m).cast(METRIC_TYPE).alias(m) for m in METRICS]).unpivot(
-        [], list(METRICS), "METRIC", "VALUE"
-    )
-    ranked = value_positions(long, "VALUE", ["METRIC"], buckets=buckets).select(
-        "METRIC", "VALUE", percent_rank().alias("PR")
-    )
+    long = customers.df.selectExpr(
+        *[f"cast({m} AS {METRIC_TYPE}) AS {m}" for m in METRICS]
+    ).unpivot([], list(METRICS), "METRIC", "VALUE")
+    ranked = value_positions(
+        customers.with_df(long, len(METRICS)), "VALUE", ["METRIC"], rows_per_bucket=rows_per_bucket
+    ).withColumn("PR", percent_rank())
 
     def cut(metric: str, limit: float) -> Column:
-        of_metric = F.col("METRIC") == metric
-        if metric == "RECENCY":
-            value = F.max(F.when(of_metric & (F.col("PR") <= limit), F.col("VALUE")))
-        else:
-            value = F.min(F.when(of_metric & (F.col("PR") >= limit), F.col("VALUE")))
-        return value.alias(_cut_name(metric, limit))
+        pick, side = ("max", "<=") if metric == "RECENCY" else ("min", ">=")
+        return F.expr(
+            f"{pick}(VALUE) FILTER (WHERE METRIC = '{metric}' AND PR {side} {limit}D)"
+            f" AS {_cut_name(metric, limit)}"
+        )
 
     return ranked.agg(*[cut(m, q) for m in METRICS for q in SCORE_LIMITS])
 
 
-def with_scores(customers: DataFrame, buckets: int = 1) -> DataFrame:
-    cuts = score_cuts(customers, buckets)
-    scored = customers.withColumn("_cuts", cuts.select(F.struct(*cuts.columns)).scalar())
+def _score(metric: str, value: str, limit_of: Callable[[float], str]) -> str:
+    """CASE text for a score of 5 to 1; recency scores low values high, the others high ones."""
+    low_is_good = metric == "RECENCY"
+    limits = SCORE_LIMITS if low_is_good else SCORE_LIMITS[::-1]
+    steps = [
+        f"WHEN {value} {'<=' if low_is_good else '>='} {limit_of(q)} THEN {5 - i}"
+        for i, q in enumerate(limits)
+    ]
+    if low_is_good:  # an unknown recency ranks first
+        steps.insert(0, f"WHEN {value} IS NULL THEN 5")
+    return f"CASE {' '.join(steps)} ELSE 1 END AS {metric[0]}_SCORE"
 
-    def at(metric: str, limit: float) -> Column:
-        return F.col(f"_cuts.{_cut_name(metric, limit)}")
 
-    def low_is_good(metric: str) -> Column:
-        value = F.col(metric)
-        steps = [(value <= at(metric, q), 5 - i) for i, q in enumerate(SCORE_LIMITS)]
-        return first_match((value.isNull(), 5), *steps, otherwise=1)
+def _scores_by_cuts(customers: Staged, rows_per_bucket: int) -> DataFrame:
+    cuts = score_cuts(customers, rows_per_bucket)
+    row = cuts.select(F.struct(*cuts.columns)).scalar().alias("cuts")
+    scores = [_score(m, m, lambda q, m=m: f"cuts.{_cut_name(m, q)}") for m in METRICS]
+    return customers.df.select("*", row).selectExpr(*customers.df.columns, *scores)
 
-    def high_is_good(metric: str) -> Column:
-        value = F.col(metric)
-        steps = [(value >= at(metric, q), 5 - i) for i, q in enumerate(reversed(SCORE_LIMITS))]
-        return first_match(*steps, otherwise=1)
 
-    return (
-        scored.withColumns(
-            {
-                "R_SCORE": low_is_good("RECENCY"),
-                "F_SCORE": high_is_good("FREQUENCY"),
-                "M_SCORE": high_is_good("MONETARY"),
-            }
-        )
-        .drop("_cuts")
-        .withColumn("RFM_SCORE", F.concat("R_SCORE", "F_SCORE", "M_SCORE"))
-    )
+def _scores_by_rank(customers: DataFrame) -> DataFrame:
+    ranks = [f"percent_rank() OVER (ORDER BY {m} ASC NULLS FIRST) AS _{m}" for m in METRICS]
+    scores = [_score(m, f"_{m}", lambda q: f"{q}D") for m in METRICS]
+    return customers.selectExpr("*", *ranks).selectExpr(*customers.columns, *scores)
+
+
+def with_scores(customers: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    if customers.buckets(rows_per_bucket) == 1:
+        scored = _scores_by_rank(customers.df)
+    else:
+        scored = _scores_by_cuts(customers, rows_per_bucket)
+    return scored.withColumn("RFM_SCORE", F.concat("R_SCORE", "F_SCORE", "M_SCORE"))
 
 
 def score_staged(base: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    return with_scores(with_recency(base.df), base.buckets(rows_per_bucket))
+    return with_scores(base.with_df(with_recency(base.df)), rows_per_bucket)
 
 
 def rfm(

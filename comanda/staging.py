@@ -21,14 +21,23 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 @dataclass(frozen=True)
 class Staged:
-    """A written intermediate table and the row count seen while writing it.
+    """A stored table and its row count.
 
-    ``rows`` only sizes later steps (how many buckets); no result depends on it.
+    ``rows`` sizes later steps (how many buckets); no result depends on it.
     """
 
     df: DataFrame
     rows: int
 
+    @classmethod
+    def stored(cls, df: DataFrame) -> Staged:
+        """A table that is on storage already; Parquet counts its rows from the footers."""
+        return cls(df, df.count())
+
+    def with_df(self, df: DataFrame, rows_per_row: int = 1) -> Staged:
+        """A row-wise derivation of the table, with at most ``rows_per_row`` rows for each row."""
+        return Staged(df, self.rows * rows_per_row)
+
     def buckets(self, rows_per_bucket: int) -> int:
         return max(1, math.ceil(self.rows / rows_per_bucket))
 
