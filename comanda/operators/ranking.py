@@ -34,7 +34,7 @@ def _with_bucket(counts: DataFrame, df: DataFrame, value: str, buckets: int) ->
     subquery: at most ``MAX_BUCKETS`` values, sized by ``buckets`` and not by the data.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(value, steps, max(10_000, 10 * buckets))).scalar()
+    cuts = df.agg(F.percentile_approx(value, steps, max(1_000, 10 * buckets))).scalar()
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     bucket = F.when(F.col(value).isNull(), -1).otherwise(below)
     return counts.withColumn("_cuts", cuts).withColumn("_bucket", bucket).drop("_cuts")
