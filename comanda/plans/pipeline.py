@@ -57,6 +57,9 @@ def build_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> Non
 def build_gold(
     spark: SparkSession, silver_root: str, gold_root: str, metrics: Iterable[str] = tuple(METRICS)
 ) -> None:
+    metrics = list(metrics)
+    if unknown := [name for name in metrics if name not in METRICS]:
+        raise KeyError(f"unknown metrics: {unknown}")
     items, options = (
         read_layer(spark, silver_root, table, SILVER[table])
         for table in ("order_items", "order_item_options")
