@@ -182,7 +182,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "silver_valid_lines": lambda ws: cleaning.valid_lines(ws.raw("order_items")).select(
         "LINEITEM_ID", "ITEM_QUANTITY"
     ),
-    "silver_order_items": lambda ws: cleaning.clean_order_items(ws.raw("order_items")),
+    "silver_order_items": lambda ws: cleaning.CLEANERS["order_items"](ws.raw("order_items")),
     "silver_options": lambda ws: cleaning.clean_options(ws.raw("order_item_options")),
     "silver_date_dim": lambda ws: cleaning.clean_date_dim(ws.raw("date_dim")),
     # Building blocks

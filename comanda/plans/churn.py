@@ -18,10 +18,11 @@ from comanda.functions.metrics import (
     spend_change_percent,
     spend_period,
 )
-from comanda.plans.shared import today, with_customer, with_revenue
+from comanda.plans.shared import customer_lines, today, with_customer, with_revenue
 from comanda.schemas import GOLD, conform
 
 TIME = "CREATION_TIME_UTC"
+PERIODS = ("PREVIOUS", "RECENT")
 
 
 def last_order(items: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -33,17 +34,18 @@ def last_order(items: DataFrame, reference: DataFrame | None = None) -> DataFram
     )
 
 
-def order_gaps(items: DataFrame) -> DataFrame:
+def order_gaps(items: DataFrame, step: str = "hour") -> DataFrame:
     """Per line: the time of the customer's line before it and the gap in days.
 
     Lines are ordered by time, then ORDER_ID and LINEITEM_ID. Of the lines that share a time only
     the first looks further back, so the sort runs over the distinct times of a customer, hour by
-    hour, and the last time of each hour is carried to the next. No task sorts more than one
-    customer's distinct times of one hour, or one customer's hours; the join back splits a
-    crowded time like any skewed join, as the side with the times has one row per key.
+    hour (or another ``step``), and the last time of each hour is carried to the next. No window
+    holds more than one customer's distinct times of one hour, or one customer's hours; the join
+    back splits a crowded time like any skewed join, as the side with the times has one row per
+    key.
     """
     line = F.struct("ORDER_ID", "LINEITEM_ID")
-    hour = F.date_trunc("hour", TIME).alias("_hour")
+    hour = F.date_trunc(step, TIME).alias("_hour")
     lines = with_customer(items).select("CUSTOMER_ID", "ORDER_ID", "LINEITEM_ID", TIME)
 
     times = (
@@ -112,15 +114,12 @@ def spend_periods(items: DataFrame, reference: DataFrame | None = None) -> DataF
 
 def spend_by_period(items: DataFrame, reference: DataFrame | None = None) -> DataFrame:
     """PREVIOUS_SPEND and RECENT_SPEND of the customers with lines in either period."""
-    periods = ["PREVIOUS", "RECENT"]
     return (
         spend_periods(items, reference)
         .groupBy("CUSTOMER_ID")
-        .pivot("SPEND_PERIOD", periods)
+        .pivot("SPEND_PERIOD", list(PERIODS))
         .agg(F.sum("ORDER_REVENUE"))
-        .select(
-            "CUSTOMER_ID", *[null_to_zero(F.col(p)).alias(f"{p}_SPEND") for p in periods]
-        )
+        .select("CUSTOMER_ID", *[null_to_zero(F.col(p)).alias(f"{p}_SPEND") for p in PERIODS])
     )
 
 
@@ -131,59 +130,49 @@ def spend_change(items: DataFrame, reference: DataFrame | None = None) -> DataFr
     )
 
 
-def _customer_facts(lines: DataFrame, now: Column, per: str) -> DataFrame:
-    """One row per customer: last time, mean gap, spend of both periods and their line count."""
-    period = spend_period(days_since(TIME, now))
-    lines = lines.select("CUSTOMER_ID", "ORDER_ID", TIME, "ORDER_REVENUE", period.alias("_period"))
-
-    def spend(name: str) -> Column:
-        return F.sum(F.when(F.col("_period") == name, F.col("ORDER_REVENUE"))).alias(f"_{name}")
-
+def _indicators(facts: DataFrame, now: Column, per: str) -> DataFrame:
+    """One row per customer: last time, mean gap, spend of both periods and rows in a period."""
+    period = spend_period(days_since("ORDER_DAY", now))
+    facts = facts.select(
+        "CUSTOMER_ID", "ORDER_ID", "FIRST_TIME", "LAST_TIME", "TIMES", "SPEND", period.alias("_period")
+    )
     parts = [
-        spend("PREVIOUS"),
-        spend("RECENT"),
-        F.count("_period").alias("_lines"),
-        F.min(TIME).alias("_first"),
-        F.max(TIME).alias("_last"),
+        *[F.expr(f"sum(SPEND) FILTER (WHERE _period = '{p}') AS _{p}") for p in PERIODS],
+        F.count("_period").alias("_in_period"),
+        F.min("FIRST_TIME").alias("_first"),
+        F.max("LAST_TIME").alias("_last"),
     ]
     if per == "line":
-        facts = lines.groupBy("CUSTOMER_ID").agg(*parts, F.count(TIME).alias("_times"))
+        result = facts.groupBy("CUSTOMER_ID").agg(*parts, F.sum("TIMES").alias("_times"))
         gap = _mean_gap(F.col("_first"), F.col("_last"), F.col("_times"))
     else:
-        orders = lines.groupBy("CUSTOMER_ID", "ORDER_ID").agg(*parts)
-        facts = orders.groupBy("CUSTOMER_ID").agg(
-            *[F.sum(c).alias(c) for c in ("_PREVIOUS", "_RECENT", "_lines")],
+        orders = facts.groupBy("CUSTOMER_ID", "ORDER_ID").agg(*parts)
+        result = orders.groupBy("CUSTOMER_ID").agg(
+            *[F.sum(c).alias(c) for c in (*[f"_{p}" for p in PERIODS], "_in_period")],
             F.max("_last").alias("_last"),
             F.min("_first").alias("_first"),
             F.max("_first").alias("_last_first"),
             F.count("_first").alias("_times"),
         )
         gap = _mean_gap(F.col("_first"), F.col("_last_first"), F.col("_times"))
-    return facts.withColumn("AVG_ORDER_GAP_DAYS", gap)
+    return result.withColumn("AVG_ORDER_GAP_DAYS", gap)
 
 
-def churn(
-    items: DataFrame,
-    reference: DataFrame | None = None,
-    *,
-    per: str = "line",
-    blank_as_null: bool = False,
-) -> DataFrame:
-    """All indicators, one row per customer; no spend columns without a line in 180 days."""
+def churn_of(facts: DataFrame, reference: DataFrame | None = None, *, per: str = "line") -> DataFrame:
+    """All indicators, one row per customer; no spend columns without a line in 180 days.
+
+    ``facts`` are ``customer_lines`` or ``customer_orders``.
+    """
     if per not in ("line", "order"):
         raise ValueError(f"per must be 'line' or 'order', not {per!r}")
-    lines = with_revenue(with_customer(items, blank_as_null), "ORDER_REVENUE")
-    now = today(lines, reference)
-    facts = _customer_facts(lines, now, per)
-    active = F.col("_lines") > 0
-    days = days_since("_last", now)
-    result = facts.select(
+    now = today(facts.select(F.col("LAST_TIME").alias(TIME)), reference)
+    in_period = F.col("_in_period") > 0
+    result = _indicators(facts, now, per).select(
         "CUSTOMER_ID",
         F.col("_last").alias("LAST_ORDER_DATE"),
-        days.alias("DAYS_SINCE_LAST_ORDER"),
+        days_since("_last", now).alias("DAYS_SINCE_LAST_ORDER"),
         "AVG_ORDER_GAP_DAYS",
-        F.when(active, null_to_zero(F.col("_PREVIOUS"))).alias("PREVIOUS_SPEND"),
-        F.when(active, null_to_zero(F.col("_RECENT"))).alias("RECENT_SPEND"),
+        *[F.when(in_period, null_to_zero(F.col(f"_{p}"))).alias(f"{p}_SPEND") for p in PERIODS],
     )
     change = spend_change_percent(F.col("RECENT_SPEND"), F.col("PREVIOUS_SPEND"))
     result = result.withColumns(
@@ -193,3 +182,13 @@ def churn(
         }
     )
     return conform(result, GOLD["customer_churn_indicators"])
+
+
+def churn(
+    items: DataFrame,
+    reference: DataFrame | None = None,
+    *,
+    per: str = "line",
+    blank_as_null: bool = False,
+) -> DataFrame:
+    return churn_of(customer_lines(items, blank_as_null), reference, per=per)

@@ -6,24 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.metrics import loyalty_status, ratio
-from comanda.plans.shared import with_customer, with_revenue
+from comanda.plans.shared import customer_lines
 from comanda.schemas import GOLD, conform
 
 
-def loyalty_base(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
-    """Spend and distinct orders per customer and loyalty flag; both flags give two rows."""
+def base_of(facts: DataFrame) -> DataFrame:
+    """Spend and distinct orders per customer and loyalty flag; both flags give two rows.
+
+    ``facts`` are ``customer_lines`` or ``customer_orders``.
+    """
     return (
-        with_revenue(with_customer(items, blank_as_null), "ORDER_REVENUE")
-        .groupBy("CUSTOMER_ID", "IS_LOYALTY")
-        .agg(
-            F.sum("ORDER_REVENUE").alias("TOTAL_SPEND"),
-            F.count_distinct("ORDER_ID").alias("TOTAL_ORDERS"),
-        )
+        facts.groupBy("CUSTOMER_ID", "IS_LOYALTY")
+        .agg(F.sum("SPEND").alias("TOTAL_SPEND"), F.count_distinct("ORDER_ID").alias("TOTAL_ORDERS"))
+        .withColumn("TOTAL_SPEND", F.col("TOTAL_SPEND").cast("decimal(31,2)"))
     )
 
 
-def loyalty(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
-    impact = loyalty_base(items, blank_as_null).withColumns(
+def loyalty_base(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
+    return base_of(customer_lines(items, blank_as_null))
+
+
+def loyalty_of(facts: DataFrame) -> DataFrame:
+    impact = base_of(facts).withColumns(
         {
             "AVG_ORDER_VALUE": ratio("TOTAL_SPEND", "TOTAL_ORDERS"),
             "LOYALTY_STATUS": loyalty_status(F.col("IS_LOYALTY")),
@@ -31,3 +35,7 @@ def loyalty(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
         }
     )
     return conform(impact, GOLD["loyalty_program_impact"])
+
+
+def loyalty(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
+    return loyalty_of(customer_lines(items, blank_as_null))

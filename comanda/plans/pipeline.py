@@ -9,15 +9,17 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators.cleaning import CLEANERS
-from comanda.plans.churn import churn
+from comanda.plans.churn import churn, churn_of
 from comanda.plans.clv import clv
 from comanda.plans.locations import locations
-from comanda.plans.loyalty import loyalty
+from comanda.plans.loyalty import loyalty, loyalty_of
 from comanda.plans.pricing import pricing
-from comanda.plans.rfm import rfm
+from comanda.plans.rfm import rfm, rfm_of
 from comanda.plans.sales import sales_trends
+from comanda.plans.shared import customer_orders
 from comanda.schemas import RAW_TABLES, SILVER
 from comanda.sources.lake import extract_tables, promote, read_layer, write_layer
+from comanda.staging import stage
 
 # Each metric: items, options -> gold dataset.
 METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
@@ -29,6 +31,12 @@ METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "top_performing_locations": lambda items, _: locations(items),
     "pricing_discount_effectiveness": pricing,
 }
+# Metrics that can start from the lines summed up per customer and order.
+ORDER_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "customer_segmentation": rfm_of,
+    "customer_churn_indicators": churn_of,
+    "loyalty_program_impact": loyalty_of,
+}
 
 
 def layer(root: str, name: str) -> str:
@@ -65,10 +73,23 @@ def build_gold(
         for table in ("order_items", "order_item_options")
     )
 
-    def step(name: str) -> Callable[[], None]:
+    shared = [name for name in metrics if name in ORDER_METRICS]
+
+    def direct(name: str) -> Callable[[], None]:
         return lambda: write_layer(METRICS[name](items, options), gold_root, name)
 
-    _all_at_once(spark, {name: step(name) for name in metrics})
+    def from_orders() -> None:
+        orders = stage(customer_orders(items), "customer-orders").df
+
+        def step(name: str) -> Callable[[], None]:
+            return lambda: write_layer(ORDER_METRICS[name](orders), gold_root, name)
+
+        _all_at_once(spark, {name: step(name) for name in shared})
+
+    if len(shared) == 1:
+        shared = []
+    steps = {name: direct(name) for name in metrics if name not in shared}
+    _all_at_once(spark, steps | ({"orders": from_orders} if shared else {}))
 
 
 def run_pipeline(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.metrics import days_since, rfm_segment
 from comanda.operators.ranking import ROWS_PER_BUCKET, percent_rank, value_positions
-from comanda.plans.shared import reference_date, today, with_customer, with_revenue
+from comanda.plans.shared import customer_lines, reference_date, today
 from comanda.schemas import GOLD, conform
 from comanda.staging import Staged, stage
 
@@ -25,20 +25,27 @@ SCORE_LIMITS = (0.20, 0.40, 0.60, 0.80)
 METRIC_TYPE = "decimal(38,2)"
 
 
-def rfm_base(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
-    """Per customer: last purchase, distinct orders, item revenue, any loyalty line."""
+def base_of(facts: DataFrame) -> DataFrame:
+    """Per customer: last purchase, distinct orders, item revenue, any loyalty line.
+
+    ``facts`` are ``customer_lines`` or ``customer_orders``.
+    """
     return (
-        with_revenue(with_customer(items, blank_as_null), "LINE_REVENUE")
-        .groupBy("CUSTOMER_ID")
+        facts.groupBy("CUSTOMER_ID")
         .agg(
-            F.max("CREATION_TIME_UTC").alias("LAST_PURCHASE_DATE"),
+            F.max("LAST_TIME").alias("LAST_PURCHASE_DATE"),
             F.count_distinct("ORDER_ID").alias("FREQUENCY"),
-            F.sum("LINE_REVENUE").alias("MONETARY"),
+            F.sum("SPEND").alias("MONETARY"),
             F.max("IS_LOYALTY").alias("IS_LOYALTY"),
         )
+        .withColumn("MONETARY", F.col("MONETARY").cast("decimal(31,2)"))
     )
 
 
+def rfm_base(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
+    return base_of(customer_lines(items, blank_as_null))
+
+
 def with_recency(base: DataFrame) -> DataFrame:
     """Add RECENCY. The latest purchase of any customer is the reference date."""
     last = base.select(F.col("LAST_PURCHASE_DATE").alias("CREATION_TIME_UTC"))
@@ -112,11 +119,15 @@ def score_staged(base: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
     return with_scores(base.with_df(with_recency(base.df)), rows_per_bucket)
 
 
-def rfm(
-    items: DataFrame, blank_as_null: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    scored = score_staged(stage(rfm_base(items, blank_as_null), "rfm"), rows_per_bucket)
+def rfm_of(facts: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    scored = score_staged(stage(base_of(facts), "rfm"), rows_per_bucket)
     segment = rfm_segment(F.col("R_SCORE"), F.col("F_SCORE"), F.col("M_SCORE"))
     return conform(
         scored.withColumn("CUSTOMER_SEGMENT", segment), GOLD["customer_segmentation"]
     )
+
+
+def rfm(
+    items: DataFrame, blank_as_null: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    return rfm_of(customer_lines(items, blank_as_null), rows_per_bucket)

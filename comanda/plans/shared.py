@@ -19,6 +19,39 @@ def with_customer(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
     return with_id.where(F.col("CUSTOMER_ID").isNotNull())
 
 
+def customer_lines(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
+    """The lines of known customers in the form the customer metrics aggregate: spend, times, day."""
+    time = F.col("CREATION_TIME_UTC")
+    return with_customer(items, blank_as_null).select(
+        "CUSTOMER_ID",
+        "ORDER_ID",
+        "IS_LOYALTY",
+        F.to_date(time).alias("ORDER_DAY"),
+        line_revenue().alias("SPEND"),
+        time.alias("FIRST_TIME"),
+        time.alias("LAST_TIME"),
+        time.isNotNull().cast("bigint").alias("TIMES"),
+    )
+
+
+def customer_orders(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
+    """``customer_lines`` summed up per order and day, columns and meaning unchanged.
+
+    Segmentation, churn and loyalty give the same results from either. The pipeline writes this
+    table once for the three of them, so they share one scan and shuffle of the lines.
+    """
+    return (
+        customer_lines(items, blank_as_null)
+        .groupBy("CUSTOMER_ID", "ORDER_ID", "IS_LOYALTY", "ORDER_DAY")
+        .agg(
+            F.sum("SPEND").alias("SPEND"),
+            F.min("FIRST_TIME").alias("FIRST_TIME"),
+            F.max("LAST_TIME").alias("LAST_TIME"),
+            F.sum("TIMES").alias("TIMES"),
+        )
+    )
+
+
 def with_revenue(items: DataFrame, alias: str) -> DataFrame:
     return items.withColumn(alias, line_revenue())
 

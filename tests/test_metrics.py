@@ -151,6 +151,22 @@ def test_both_paths_of_the_ranked_metrics_agree(spark):
         assert sorted(map(str, build(5).collect())) == sorted(map(str, build(1_000).collect()))
 
 
+def test_metrics_from_summed_up_orders_equal_those_from_lines(spark):
+    rows = [dict(USER_ID=f"u{i % 13}", ORDER_ID=None if i % 31 == 0 else f"o{i % 70}",
+                 IS_LOYALTY=i % 4 == 0, CREATION_TIME_UTC=None if i % 17 == 0 else at(i * 7 % 250, i % 24),
+                 ITEM_PRICE=None if i % 19 == 0 else f"{i}.25") for i in range(300)]
+    df = items(spark, rows)
+    orders = shared.customer_orders(df)
+    for from_lines, from_orders in (
+        (rfm.rfm(df), rfm.rfm_of(orders)),
+        (churn.churn(df), churn.churn_of(orders)),
+        (churn.churn(df, per="order"), churn.churn_of(orders, per="order")),
+        (loyalty.loyalty(df), loyalty.loyalty_of(orders)),
+    ):
+        assert from_lines.schema == from_orders.schema
+        assert sorted(map(str, from_lines.collect())) == sorted(map(str, from_orders.collect()))
+
+
 def test_loyalty_flags_split_a_customer(spark):
     df = items(spark, [dict(IS_LOYALTY=True), dict(ORDER_ID="o2"), dict(ORDER_ID="o2")])
     got = {r["LOYALTY_STATUS"]: r for r in loyalty.loyalty(df).collect()}
