@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+TIMES_OF_DAY = ("Late Night", "Morning", "Afternoon", "Evening", "Night")
+TIME_OF_DAY_ENDS = (6, 12, 17, 21)  # hour at which each but the last is over
 RECENT_DAYS = 90
 PREVIOUS_DAYS = 180
 
@@ -51,15 +53,19 @@ def days_since(moment: Column | str, reference: Column) -> Column:
     return F.datediff(reference, moment)
 
 
-def time_of_day(moment: Column | str) -> Column:
+def time_of_day_number(moment: Column | str) -> Column:
+    """Position in ``TIMES_OF_DAY``; an unknown time counts as the last."""
     hour = F.hour(moment)
-    return first_match(
-        (hour < 6, "Late Night"),
-        (hour < 12, "Morning"),
-        (hour < 17, "Afternoon"),
-        (hour < 21, "Evening"),
-        otherwise="Night",
-    )
+    steps = [(hour < end, number) for number, end in enumerate(TIME_OF_DAY_ENDS)]
+    return first_match(*steps, otherwise=len(TIME_OF_DAY_ENDS))
+
+
+def time_of_day_label(number: Column) -> Column:
+    return F.array(*map(F.lit, TIMES_OF_DAY))[number]
+
+
+def time_of_day(moment: Column | str) -> Column:
+    return time_of_day_label(time_of_day_number(moment))
 
 
 def clv_segment(percent_rank: Column) -> Column:

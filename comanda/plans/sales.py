@@ -7,12 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.functions.metrics import first_match, ratio, time_of_day
+from comanda.functions.metrics import (
+    ratio,
+    time_of_day,
+    time_of_day_label,
+    time_of_day_number,
+)
 from comanda.operators.cleaning import dedupe
 from comanda.plans.shared import with_revenue
 from comanda.schemas import GOLD, conform
 
 TIME = "CREATION_TIME_UTC"
+PERIODS = ("DAILY", "WEEKLY", "MONTHLY")
+PERIOD_SPAN = 10**12  # room for the numbers of one kind of period
+
 DIMENSIONS = ["RESTAURANT_ID", "ITEM_CATEGORY", "TIME_OF_DAY"]
 
 
@@ -65,30 +73,63 @@ def sales_monthly(items: DataFrame) -> DataFrame:
     return sales_summary(_sales_lines(items), ["YEAR", "MONTH", *DIMENSIONS], "MONTHLY")
 
 
+def _period_key(code: int, number: Column) -> Column:
+    """A period as one number: the kind of period and its day, week or month number, or unknown."""
+    return F.lit(code * PERIOD_SPAN) + F.coalesce(number + PERIOD_SPAN // 2, F.lit(0))
+
+
 def sales_trends(items: DataFrame, iso_weeks: bool = False) -> DataFrame:
-    """The three summaries in one table, computed in one scan by grouping sets."""
-    lines = _sales_lines(items)
-    if iso_weeks:
-        lines = lines.withColumn("_WEEK_YEAR", iso_year(TIME))
-    else:
-        lines = lines.withColumn("_WEEK_YEAR", F.col("YEAR"))
-    day, week, month = ["SALES_DATE"], ["_WEEK_YEAR", "WEEK"], ["YEAR", "MONTH"]
-    summary = lines.groupingSets(
-        [[F.col(c) for c in period + DIMENSIONS] for period in (day, week, month)],
-        *[F.col(c) for c in day + week + month + DIMENSIONS],
-    ).agg(
-        *_measures(),
-        F.grouping("SALES_DATE").alias("_no_day"),
-        F.grouping("WEEK").alias("_no_week"),
+    """The three summaries in one table, from one scan.
+
+    Each line becomes three rows, one per period. As most groups are small, nearly all of these
+    rows are shuffled, so they carry the period and the time of day as two numbers and get their
+    columns and labels after the aggregation.
+    """
+    year, week_year = F.year(TIME), iso_year(TIME) if iso_weeks else F.year(TIME)
+    numbers = (
+        F.unix_date(F.to_date(TIME)),
+        week_year * 100 + F.weekofyear(TIME),
+        year * 100 + F.month(TIME),
     )
+    lines = with_revenue(items, "TOTAL_REVENUE").select(
+        "RESTAURANT_ID",
+        "ITEM_CATEGORY",
+        time_of_day_number(TIME).alias("_time"),
+        "ORDER_ID",
+        "TOTAL_REVENUE",
+        "ITEM_QUANTITY",
+        *[
+            _period_key(code, number).alias(period)
+            for code, (period, number) in enumerate(zip(PERIODS, numbers))
+        ],
+    )
+    kept = [c for c in lines.columns if c not in PERIODS]
+    summary = (
+        lines.unpivot(kept, list(PERIODS), "_name", "_key")
+        .groupBy("_key", "RESTAURANT_ID", "ITEM_CATEGORY", "_time")
+        .agg(*_measures())
+        .withColumns(
+            {
+                "SALES_PERIOD": F.array(*map(F.lit, PERIODS))[
+                    F.floor(F.col("_key") / PERIOD_SPAN).cast("int")
+                ],
+                "_number": F.nullif(F.col("_key") % PERIOD_SPAN, F.lit(0)) - PERIOD_SPAN // 2,
+            }
+        )
+    )
+
+    def only(period: str, value: Column) -> Column:
+        return F.when(F.col("SALES_PERIOD") == period, value)
+
+    number = F.col("_number")
+    part = F.pmod(number, F.lit(100)).cast("int")
     trends = summary.withColumns(
         {
-            "SALES_PERIOD": first_match(
-                (F.col("_no_day") == 0, "DAILY"),
-                (F.col("_no_week") == 0, "WEEKLY"),
-                otherwise="MONTHLY",
-            ),
-            "YEAR": F.coalesce("_WEEK_YEAR", "YEAR"),
+            "SALES_DATE": only("DAILY", F.date_from_unix_date(number.cast("int"))),
+            "YEAR": F.when(F.col("SALES_PERIOD") != "DAILY", F.floor(number / 100).cast("int")),
+            "WEEK": only("WEEKLY", part),
+            "MONTH": only("MONTHLY", part),
+            "TIME_OF_DAY": time_of_day_label(F.col("_time")),
             "AVG_ORDER_VALUE": ratio("TOTAL_REVENUE", "TOTAL_ORDERS"),
         }
     )
