@@ -544,7 +544,7 @@ QUERIES = {
         avg(AVG_ORDER_VALUE) AS AVG_ORDER_VALUE FROM pricing_gold GROUP BY 1""",
     "report_pricing_detail": f"SELECT {PRICING_OUT} FROM pricing_gold",
     # Pipeline
-    "pipeline_end_to_end": f"""SELECT 'customer_lifetime_value' AS DATASET, count(*) AS ROW_COUNT FROM clv_gold
+    "batch_end_to_end": f"""SELECT 'customer_lifetime_value' AS DATASET, count(*) AS ROW_COUNT FROM clv_gold
         UNION ALL SELECT 'customer_segmentation', count(*) FROM rfm_gold
         UNION ALL SELECT 'customer_churn_indicators', count(*) FROM churn_gold
         UNION ALL SELECT 'loyalty_program_impact', count(*) FROM loyalty_gold

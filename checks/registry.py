@@ -313,7 +313,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_pricing_summary": lambda ws: reports.pricing_summary(_pricing(ws)),
     "report_pricing_detail": lambda ws: reports.pricing_detail(_pricing(ws)),
     # Pipeline
-    "pipeline_end_to_end": _pipeline,
+    "batch_end_to_end": _pipeline,
 }
 
 
