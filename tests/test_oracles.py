@@ -4,11 +4,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as registered
 from checks.compare import difference, duck
+from checks.oracles import oracle_texts
+from checks.registry import QUERIES, run
 
 FOLDER = os.environ.get("COMANDA_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+ORACLES = oracle_texts()
 
 
 @pytest.fixture(scope="module")
@@ -23,4 +24,4 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_same_result(spark, connection, name):
-    assert difference(QUERIES[name](spark, FOLDER), connection, ORACLES[name]) is None
+    assert difference(run(name, spark, FOLDER), connection, ORACLES[name]) is None
