@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import line_dedup, pii, quality_rules, url_filter
+from comanda.llm import langid, line_dedup, packing, pii, quality_rules, url_filter
 from comanda.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.production_rules(spark))
 
 
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), packing.production_tokenizer())
+
+
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, folder, "documents")))
 
@@ -41,11 +45,18 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.identify(docs, langid.fit_languages(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_personal_data": op6_personal_data,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
 
 OP2_SQL = r"""
