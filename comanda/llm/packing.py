@@ -17,6 +17,7 @@ import zlib
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 from pyspark import TaskContext
@@ -126,7 +127,8 @@ def nonnegative_least_squares(matrix: np.ndarray, target: np.ndarray) -> np.ndar
         while True:
             chosen = np.flatnonzero(inside)
             part = matrix[:, chosen]
-            solved = np.linalg.lstsq(part, target, rcond=None)[0]
+            gram = part.T @ part
+            solved = np.linalg.solve(gram + 1e-9 * np.eye(len(chosen)), part.T @ target)
             if (solved > 0).all():
                 x[:] = 0
                 x[chosen] = solved
@@ -199,24 +201,35 @@ class Plan:
             self.rooms.pop(at)
         return room, sequence, taken
 
-    def use_pattern(self, bins: list[list[int]], repeats: int) -> None:
-        """``repeats`` sequences with one piece of each bin, a bin being the lengths that share a grid step."""
+    def use_pattern(self, bins: list[list[int]], repeats: int, most_waste: int) -> None:
+        """``repeats`` sequences with one piece of each bin, a bin being the lengths nearest to one grid step.
+
+        Of the lengths that a bin still has, those that fill a sequence best are taken for as long as they last;
+        the pattern ends when nothing fills it to within ``most_waste`` tokens.
+        """
         while repeats:
-            lengths = []
-            for lengths_of_bin in bins:
-                fit = (n for n in lengths_of_bin if self.left[n] - lengths.count(n) > 0)
-                length = next(fit, None)
-                if length is None:
-                    return
-                lengths.append(length)
-            run = min(repeats, *(self.left[n] // lengths.count(n) for n in lengths))
+            best = self.best_lengths(bins)
+            if not best or sum(best) < self.capacity - most_waste:
+                return
+            run = min(repeats, *(self.left[n] // best.count(n) for n in best))
             sequence, offset = self.open(run), 0
-            for length in lengths:
+            for length in best:
                 self.place(length, run, sequence, offset)
                 offset += length
             self.add_gap(self.capacity - offset, sequence, run)
             repeats -= run
 
+    def best_lengths(self, bins: list[list[int]]) -> list[int]:
+        """One length of each bin with the largest sum up to the capacity; empty if there is none."""
+        best: list[int] = []
+        for chosen in product(*([n for n in b if self.left[n]] for b in bins)):
+            total = sum(chosen)
+            if sum(best) < total <= self.capacity and all(self.left[n] >= chosen.count(n) for n in chosen):
+                best = list(chosen)
+                if total == self.capacity:
+                    break
+        return best
+
     def best_fit(self) -> None:
         """All pieces left, longest first, each into the tightest room."""
         for length in sorted(self.left, reverse=True):
@@ -243,7 +256,7 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     grid = capacity // step
     bins: dict[int, list[int]] = {}
     for length in sorted(histogram, reverse=True):
-        bins.setdefault(-(-length // step), []).append(length)
+        bins.setdefault((length + step // 2) // step, []).append(length)
     wanted = [b for b in sorted(bins) if TINY < b <= grid]
     patterns = patterns_on_grid(wanted, grid)
     if patterns:
@@ -256,7 +269,7 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
         repeats = nonnegative_least_squares(matrix, counts)
         for n in np.argsort(-repeats, kind="stable"):
             if (times := int(repeats[n] + 0.5)) > 0:
-                plan.use_pattern([bins[b] for b in patterns[n]], times)
+                plan.use_pattern([bins[b] for b in patterns[n]], times, step)
     plan.best_fit()
     return plan
 

@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import langid, line_dedup, packing, pii, quality_rules, url_filter
+from comanda.llm import html_text, langid, line_dedup, packing, pii, quality_rules, url_filter, warc
 from comanda.llm.common import table
+from comanda.staging import stage_path
+
+
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = stage_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    captures = warc.assemble_captures(warc.read_records(spark, archives, with_payload=False))
+    return captures.select(
+        warc.metadata_field("page-id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.metadata_field("refers-to-page").cast("bigint").alias("refers_to"),
+    )
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,6 +44,10 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, folder, "documents")))
 
 
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     judged = quality_rules.judge(docs, quality_rules.fit_rules(docs, labels))
@@ -51,10 +69,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_personal_data": op6_personal_data,
+    "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
@@ -102,4 +122,17 @@ WITH rules(rule_host, rule_path, rule_verdict) AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (row_no)
 """
 
-SQL: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op4_url_filter": OP4_SQL}
+OP1_SQL = r"""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT payload_digest, max(page_id) AS first FROM payloads WHERE payload_bytes >= 1000 GROUP BY 1
+)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN first <> coalesce(page_id, -1) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> coalesce(page_id, -1) THEN first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND payload_bytes >= 1000
+"""
+
+SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_url_filter": OP4_SQL}
