@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import html_text, langid, line_dedup, packing, pii, quality_rules, url_filter, warc
+from comanda.llm import html_text, langid, line_dedup, near_dup, packing, pii, quality_rules, url_filter, warc
 from comanda.llm.common import table
 from comanda.staging import stage_path
 
@@ -44,6 +44,10 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, folder, "documents")))
 
 
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents"), words=2)
+
+
 def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_personal_data": op6_personal_data,
+    "op7_near_dedup": op7_near_dedup,
     "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
@@ -135,4 +140,32 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND payload_bytes >= 1000
 """
 
-SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_url_filter": OP4_SQL}
+OP7_SQL = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        w -> w <> '') AS words
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+        WHEN len(words) = 1 THEN [words[1]]
+        ELSE list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) END AS shingles
+    FROM cut
+), items AS (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both, any_value(a.n) AS na, any_value(b.n) AS nb
+    FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        AND a.n * 100 >= b.n * 80 AND b.n * 100 >= a.n * 80
+    GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM pairs WHERE 100 * n_both >= 80 * (na + nb - n_both)
+    UNION ALL SELECT b, a FROM pairs WHERE 100 * n_both >= 80 * (na + nb - n_both)
+), reach(doc_id, found) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, b FROM reach r JOIN links ON r.found = a
+)
+SELECT s.doc_id, len(shingles) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN (SELECT doc_id, min(found) AS component_id FROM reach GROUP BY 1) r ON s.doc_id = r.doc_id
+"""
+
+SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_url_filter": OP4_SQL, "op7_near_dedup": OP7_SQL}
