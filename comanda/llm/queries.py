@@ -142,9 +142,9 @@ FROM payloads p LEFT JOIN firsts f ON p.payload_digest = f.payload_digest AND pa
 
 OP7_SQL = r"""
 WITH RECURSIVE cut AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-        w -> w <> '') AS words
+    SELECT doc_id, [w FOR w IN regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+')
+        IF w <> ''] AS words
     FROM documents
 ), sets AS (
     SELECT doc_id, CASE WHEN len(words) = 0 THEN []
