@@ -82,7 +82,7 @@ def sketches(sets: list[np.ndarray], places: int = COORDINATES) -> np.ndarray:
     for turn in range(2 * places):
         if not len(items):
             break
-        drawn = _mixed(items + _STEP * np.uint64(turn + 1))
+        drawn = _mixed(items + np.uint64(int(_STEP) * (turn + 1) % 2**64))
         if turn < places:
             place = ((drawn >> np.uint64(40)) * np.uint64(places) >> np.uint64(24)).astype(np.int64)
         else:
