@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import html_text, langid, line_dedup, near_dup, packing, pii, quality_rules, url_filter, warc
+from comanda.llm import decontaminate, html_text, langid, line_dedup, near_dup, packing, pii, quality_rules, url_filter, warc
 from comanda.llm.common import table
 from comanda.staging import stage_path
 
@@ -32,6 +32,11 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity")
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.production_rules(spark))
 
@@ -75,6 +80,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_personal_data": op6_personal_data,
@@ -105,6 +111,37 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id, row_hash
 """
 
+OP3_SQL = r"""
+WITH texts AS (
+    SELECT 'd' AS kind, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'i', item_id, text FROM benchmark
+), cut AS (
+    SELECT kind, id, [w FOR w IN regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+')
+        IF w <> ''] AS words
+    FROM texts
+), sets AS (
+    SELECT kind, id, [array_to_string(words[p:p + 4], ' ') FOR p IN range(1, len(words) - 3)] AS shingles
+    FROM cut WHERE len(words) >= 5
+), items AS (
+    SELECT kind, id, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+    SELECT DISTINCT d.id AS doc_id, i.id AS item_id
+    FROM items d JOIN items i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle
+), windows AS (
+    SELECT doc_id, item_id, i.shingles AS b,
+           unnest([d.shingles[p + 1:p + len(i.shingles)]
+                   FOR p IN range(0, greatest(len(d.shingles) - len(i.shingles), 0) + 1)]) AS a
+    FROM pairs JOIN sets d ON d.kind = 'd' AND d.id = doc_id JOIN sets i ON i.kind = 'i' AND i.id = item_id
+), counted AS (
+    SELECT doc_id, item_id, len(a) + len(b) AS n_all,
+           list_sum([least(len([y FOR y IN a IF y = x]), len([y FOR y IN b IF y = x])) FOR x IN list_distinct(a)]) AS n_both
+    FROM windows
+)
+SELECT doc_id, item_id, max(n_both::DOUBLE / (n_all - n_both)) AS similarity
+FROM counted WHERE 100 * n_both >= 80 * (n_all - n_both) GROUP BY 1, 2
+"""
+
 OP4_SQL = r"""
 WITH rules(rule_host, rule_path, rule_verdict) AS (
     VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -168,4 +205,4 @@ SELECT s.doc_id, len(shingles) AS n_shingles, component_id, s.doc_id = component
 FROM sets s JOIN (SELECT doc_id, min(found) AS component_id FROM reach GROUP BY 1) r ON s.doc_id = r.doc_id
 """
 
-SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_url_filter": OP4_SQL, "op7_near_dedup": OP7_SQL}
+SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_url_filter": OP4_SQL, "op7_near_dedup": OP7_SQL}
