@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 # The white space of the word definition, and the two alphabets.
 SPACE = " \t\n\x0b\x0c\r"
@@ -51,9 +53,6 @@ def map_rows(
     ``start`` runs once per task and returns the function from rows to result tuples. Arrow batches are cut
     into ``chunk`` rows, so Python holds a few hundred texts at a time.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     kinds = StructType.fromDDL(schema)
     arrow = to_arrow_schema(kinds)
 
@@ -68,3 +67,25 @@ def map_rows(
                 )
 
     return df.mapInArrow(run, kinds)
+
+
+def keep_rows(
+    df: DataFrame, column: str, start: Callable[[], Callable[[list], list[bool]]], chunk: int = CHUNK
+) -> DataFrame:
+    """The rows of ``df``, all columns as they are, for which Python says so from one column, without a shuffle."""
+    verdict = "_stays"
+    kinds = StructType([*(f for f in df.schema if f.name != verdict), StructField(verdict, BooleanType())])
+    arrow = to_arrow_schema(kinds)
+    names = [f.name for f in kinds][:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            for at in range(0, batch.num_rows, chunk):
+                part = batch.slice(at, chunk)
+                stays = pa.array(work(part.column(batch.schema.get_field_index(column)).to_pylist()), pa.bool_())
+                columns = [part.column(batch.schema.get_field_index(name)) for name in names]
+                columns = [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, arrow)]
+                yield pa.RecordBatch.from_arrays([*columns, stays], schema=arrow)
+
+    return df.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, kinds).where(verdict).drop(verdict)

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from comanda.llm.common import map_rows
+from comanda.llm.common import keep_rows, map_rows
 
 # Bounds of the fit: texts per language by hash, none longer than MAX_TEXT_CHARS, joined up to CHARS_PER_LANGUAGE.
 DOCS_PER_LANGUAGE, MAX_TEXT_CHARS, CHARS_PER_LANGUAGE = 96, 20_000, 48_000
@@ -223,3 +223,12 @@ def identify(
     )
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, samples: Samples, text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, that have a language; those that are ``und`` go."""
+
+    def start() -> Callable[[list], list[bool]]:
+        return lambda texts: [lang != UNDETERMINED for lang, _ in predict([t or "" for t in texts], samples)]
+
+    return keep_rows(docs, text_col, start)
