@@ -2,13 +2,13 @@
 
 A rank depends only on how many rows hold a smaller value, so everything here works on counts
 per distinct value. Counting first merges ties before the shuffle: a value shared by a third of
-the rows is one row from then on. The distinct values are cut into buckets at approximate
-quantiles; the bucket of a value is a function of the value alone, so a re-run task agrees with
-its first run. Running counts are taken inside each bucket and shifted by the totals of the
-buckets below. NULL is the smallest value, as in Spark's default sort order.
+the rows is one row from then on. The distinct values are range-partitioned by Spark and stored
+with their partition number, so the bucket of a value is decided once. Running counts are taken
+inside each bucket and shifted by the totals of the buckets below. NULL is the smallest value,
+as in Spark's default sort order.
 
-The inputs are stored tables of known size (``Staged``). One that fits a single bucket is ranked
-by Spark's own window function; the size of what one task sorts is always checked.
+The inputs are stored tables of known size (``Staged``), which sets the number of buckets and
+nothing else: every size takes the same way.
 """
 
 from __future__ import annotations
@@ -19,27 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from comanda.functions.metrics import ratio
-from comanda.staging import Staged
+from comanda.staging import Staged, stage
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4_000
 
 COPIES, ROWS_BEFORE, VALUES_BEFORE, GROUP_ROWS = "COPIES", "ROWS_BEFORE", "VALUES_BEFORE", "GROUP_ROWS"
 
 
-def _with_bucket(counts: DataFrame, df: DataFrame, value: str, buckets: int) -> DataFrame:
-    """Add ``_bucket``, the number of cut points below the value; -1 for NULL.
-
-    The cut points are quantiles of ``df`` within a tenth of a bucket. They stay a scalar
-    subquery: at most ``MAX_BUCKETS`` values, sized by ``buckets`` and not by the data.
-    """
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(value, steps, max(1_000, 10 * buckets))).scalar()
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    bucket = F.when(F.col(value).isNull(), -1).otherwise(below)
-    return counts.withColumn("_cuts", cuts).withColumn("_bucket", bucket).drop("_cuts")
-
-
 def _order(value: str, descending: bool) -> Column:
     return F.desc_nulls_last(value) if descending else F.asc_nulls_first(value)
 
@@ -60,24 +46,16 @@ def value_positions(
     """One row per distinct value (within ``by``) with its place in the sort order.
 
     COPIES rows hold the value, ROWS_BEFORE rows and VALUES_BEFORE distinct values come before
-    it, GROUP_ROWS rows share its ``by`` group.
+    it, GROUP_ROWS rows share its ``by`` group. Runs a job: the counts are stored once, by range.
     """
-    by, df, buckets = list(by), source.df, source.buckets(rows_per_bucket)
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(COPIES))
-    order = _order(value, descending)
-    if buckets == 1:
-        sorted_values = Window.partitionBy(*by).orderBy(order)
-        return counts.withColumns(
-            {
-                ROWS_BEFORE: _sum_below(COPIES, sorted_values),
-                VALUES_BEFORE: F.row_number().over(sorted_values) - 1,
-                GROUP_ROWS: F.sum(COPIES).over(Window.partitionBy(*by)),
-            }
-        )
+    by = list(by)
+    counts = source.df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(COPIES))
+    ranges = [F.asc_nulls_first(c) for c in (*by, value)]
+    counts = counts.repartitionByRange(source.buckets(rows_per_bucket), *ranges)
+    counts = stage(counts.withColumn("_bucket", F.spark_partition_id()), "value-counts").df
 
-    counts = _with_bucket(counts, df, value, min(buckets, MAX_BUCKETS))
     bucket_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    lower_buckets = Window.partitionBy(*by).orderBy(bucket_order)
+    lower_buckets = Window.partitionBy(*by).orderBy(bucket_order)  # a row per bucket, never more
     offsets = (
         counts.groupBy(*by, "_bucket")
         .agg(F.sum(COPIES).alias("_rows"), F.count(F.lit(1)).alias("_values"))
@@ -89,7 +67,7 @@ def value_positions(
             F.sum("_rows").over(Window.partitionBy(*by)).alias(GROUP_ROWS),
         )
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(order)
+    inside = Window.partitionBy(*by, "_bucket").orderBy(_order(value, descending))
     placed = counts.withColumns(
         {
             "_rows_inside": _sum_below(COPIES, inside),
@@ -121,21 +99,28 @@ def dense_rank() -> Column:
 def _join_rank(
     source: Staged, value: str, out: str, rank: Column, descending: bool, rows_per_bucket: int
 ) -> DataFrame:
-    """Rank the distinct values and join the rank back to the rows by value."""
-    ranks = value_positions(
-        source, value, descending=descending, rows_per_bucket=rows_per_bucket
-    ).select(F.col(value).alias("_ranked_value"), rank.alias(out))
-    df = source.df
-    same_value = df[value].eqNullSafe(ranks["_ranked_value"])
-    return df.join(ranks, same_value, "left").drop("_ranked_value")
+    """Rank the distinct values and join the rank back to the rows by value.
+
+    Values with more rows than a bucket holds number fewer than the buckets; their ranks are
+    broadcast, so their rows stay where they are. All other values meet their rows by a join in
+    which no key has more than ``rows_per_bucket`` rows.
+    """
+    ranks = value_positions(source, value, descending=descending, rows_per_bucket=rows_per_bucket)
+    ranks = stage(
+        ranks.select(F.col(value).alias("_ranked_value"), rank.alias(out), COPIES), "ranks"
+    ).df
+    hot = F.broadcast(ranks.where(F.col(COPIES) > rows_per_bucket).drop(COPIES))
+    cold = ranks.where(F.col(COPIES) <= rows_per_bucket).drop(COPIES)
+    same_value = F.col(value).eqNullSafe(F.col("_ranked_value"))
+    often = source.df.join(hot, same_value)
+    seldom = source.df.join(hot, same_value, "left_anti").join(cold, same_value)
+    return often.unionByName(seldom).drop("_ranked_value")
 
 
 def global_percent_rank(
     source: Staged, value: str, out: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """``percent_rank() OVER (ORDER BY value)`` over all rows; ties share a rank, NULLs come first."""
-    if source.buckets(rows_per_bucket) == 1:
-        return source.df.withColumn(out, F.percent_rank().over(Window.orderBy(_order(value, False))))
     return _join_rank(source, value, out, percent_rank(), False, rows_per_bucket)
 
 
@@ -143,8 +128,6 @@ def global_dense_rank(
     source: Staged, value: str, out: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """``dense_rank() OVER (ORDER BY value DESC)`` over all rows."""
-    if source.buckets(rows_per_bucket) == 1:
-        return source.df.withColumn(out, F.dense_rank().over(Window.orderBy(_order(value, True))))
     return _join_rank(source, value, out, dense_rank(), True, rows_per_bucket)
 
 
@@ -158,20 +141,16 @@ def exact_quantiles(
     """Exact quantiles of a double column per group with linear interpolation.
 
     NULL values are left out; a group of NULLs only keeps its row. The two values around each
-    point are picked by place, so no task holds the values of a group.
+    point are picked by place in one aggregate, so no task holds the values of a group.
     """
     by = list(by)
-    places = value_positions(source, value, by, rows_per_bucket=rows_per_bucket).withColumn(
-        "_nulls", F.max(F.when(F.col(value).isNull(), F.col(COPIES))).over(Window.partitionBy(*by))
-    )
-    # NULLs sort first: shift places so that the least known value has place 0.
-    nulls = F.coalesce("_nulls", F.lit(0))
-    places = places.select(
+    known = source.with_df(source.df.where(F.col(value).isNotNull()))
+    places = value_positions(known, value, by, rows_per_bucket=rows_per_bucket).select(
         *by,
         value,
-        (F.col(ROWS_BEFORE) - nulls).alias("_from"),
-        (F.col(ROWS_BEFORE) - nulls + F.col(COPIES)).alias("_to"),
-        (F.col(GROUP_ROWS) - nulls - 1).alias("_last"),
+        F.col(ROWS_BEFORE).alias("_from"),
+        (F.col(ROWS_BEFORE) + F.col(COPIES)).alias("_to"),
+        (F.col(GROUP_ROWS) - 1).alias("_last"),
     )
 
     def value_at(place: str) -> str:
@@ -185,6 +164,11 @@ def exact_quantiles(
             F.expr(f"{value_at(f'ceil{target}')} AS _high_{name}"),
         ]
     found = places.groupBy(*by).agg(F.max("_last").alias("_last"), *picked)
+    groups = source.df.select(*by).distinct()
+    same_group = F.lit(True)
+    for c in by:
+        same_group = same_group & groups[c].eqNullSafe(found[c])
+    found = groups.join(found, same_group, "left").select(*[groups[c] for c in by], *found.columns[len(by) :])
     return found.select(
         *by,
         *[

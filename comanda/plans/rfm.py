@@ -2,8 +2,7 @@
 
 The five-step scores need only the values at which the percent rank passes 0.2, 0.4, 0.6 and
 0.8. Those twelve cut values come from the counts per distinct value of the three metrics; the
-customers themselves are then scored in place, without a sort, a join or another shuffle. A
-customer table of one bucket is ranked by Spark's window function instead.
+customers themselves are then scored in place, without a sort, a join or another shuffle.
 """
 
 from __future__ import annotations
@@ -94,24 +93,11 @@ def _score(metric: str, value: str, limit_of: Callable[[float], str]) -> str:
     return f"CASE {' '.join(steps)} ELSE 1 END AS {metric[0]}_SCORE"
 
 
-def _scores_by_cuts(customers: Staged, rows_per_bucket: int) -> DataFrame:
+def with_scores(customers: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     cuts = score_cuts(customers, rows_per_bucket)
     row = cuts.select(F.struct(*cuts.columns)).scalar().alias("cuts")
     scores = [_score(m, m, lambda q, m=m: f"cuts.{_cut_name(m, q)}") for m in METRICS]
-    return customers.df.select("*", row).selectExpr(*customers.df.columns, *scores)
-
-
-def _scores_by_rank(customers: DataFrame) -> DataFrame:
-    ranks = [f"percent_rank() OVER (ORDER BY {m} ASC NULLS FIRST) AS _{m}" for m in METRICS]
-    scores = [_score(m, f"_{m}", lambda q: f"{q}D") for m in METRICS]
-    return customers.selectExpr("*", *ranks).selectExpr(*customers.columns, *scores)
-
-
-def with_scores(customers: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    if customers.buckets(rows_per_bucket) == 1:
-        scored = _scores_by_rank(customers.df)
-    else:
-        scored = _scores_by_cuts(customers, rows_per_bucket)
+    scored = customers.df.select("*", row).selectExpr(*customers.df.columns, *scores)
     return scored.withColumn("RFM_SCORE", F.concat("R_SCORE", "F_SCORE", "M_SCORE"))
 
 

@@ -14,7 +14,7 @@ from comanda.operators.ranking import (
     global_percent_rank,
     value_positions,
 )
-from comanda.plans.rfm import METRICS, _scores_by_cuts, _scores_by_rank
+from comanda.plans.rfm import METRICS, _score, with_scores
 from comanda.staging import Staged
 
 
@@ -57,15 +57,35 @@ def test_ranks_match_the_window_functions(spark, kind, rows_per_bucket):
     assert sorted(dr.collect()) == sorted(expected.select("id", "dr").collect())
 
 
+def scores_by_rank(customers):
+    """The scores straight from Spark's percent rank."""
+    ranks = [f"percent_rank() OVER (ORDER BY {m} ASC NULLS FIRST) AS _{m}" for m in METRICS]
+    scores = [_score(m, f"_{m}", lambda q: f"{q}D") for m in METRICS]
+    return customers.selectExpr("*", *ranks).selectExpr(*customers.columns, *scores)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_inputs_never_meet_in_one_partition(spark):
     source = Staged(spark.range(100_000).withColumnRenamed("id", "v"), 10_000_000)
-    plan = global_percent_rank(source, "v", "pr")._jdf.queryExecution().executedPlan().toString()
-    single = set(re.findall(r"SinglePartition.*plan_id=(\d+)", plan))
-    # Only the cut points (one aggregate row) and the bucket totals may meet.
-    assert len(single) == 2
+    plan = plan_of(value_positions(source, "v"))
+    # Only the bucket totals may meet.
+    assert len(set(re.findall(r"SinglePartition.*plan_id=(\d+)", plan))) == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_no_window_holds_the_values_of_a_group(spark):
+    """Windows by group alone run over bucket totals (an aggregate by group and bucket), never over values."""
+    df = spark.range(1_000).selectExpr("id % 3 AS g", "cast(id AS double) AS v")
+    plan = plan_of(exact_quantiles(Staged(df, 10_000_000), "v", ["g"], {"mid": 0.5}))
+    windows = re.findall(r"Window \[.*\], \[([^\[\]]*)\], \[([^\[\]]*)\]", plan)
+    over_values = [keys for keys, order in windows if order.startswith("v#")]
+    assert over_values and all("_bucket#" in keys for keys in over_values)
+    assert any(order.startswith("_bucket#") for _, order in windows)
+
+
 @pytest.mark.parametrize("rows_per_bucket", [40, 10_000])
 def test_positions_per_group(spark, rows_per_bucket):
     rows = [("a" if i % 3 else None, i % 17) for i in range(500)]
@@ -106,15 +126,15 @@ def test_scores_by_cut_values_equal_scores_by_rank(spark, n, rows_per_bucket):
             for i in range(n)]
     df = spark.createDataFrame(rows, "id int, RECENCY int, FREQUENCY bigint, m string").selectExpr(
         "id", "RECENCY", "FREQUENCY", "cast(m AS decimal(31,2)) AS MONETARY")
-    by_cuts = _scores_by_cuts(Staged(df, n), rows_per_bucket)
-    assert sorted(map(str, by_cuts.collect())) == sorted(map(str, _scores_by_rank(df).collect()))
+    by_cuts = with_scores(Staged(df, n), rows_per_bucket).drop("RFM_SCORE")
+    assert sorted(map(str, by_cuts.collect())) == sorted(map(str, scores_by_rank(df).collect()))
 
 
 def test_scores_on_the_limits(spark):
     """Six customers have percent ranks 0, .2, .4, .6, .8 and 1; each limit belongs to the better score."""
     df = spark.createDataFrame([(i, i, i + 1) for i in range(6)], "id int, RECENCY int, FREQUENCY bigint")
     df = df.selectExpr("*", "cast(FREQUENCY AS decimal(31,2)) AS MONETARY")
-    rows = _scores_by_rank(df).orderBy("id").collect()
+    rows = with_scores(Staged.stored(df)).orderBy("id").collect()
     assert [r["R_SCORE"] for r in rows] == [5, 5, 4, 3, 2, 1]
     assert [r["F_SCORE"] for r in rows] == [1, 2, 3, 4, 5, 5]
     assert METRICS == ("RECENCY", "FREQUENCY", "MONETARY")
