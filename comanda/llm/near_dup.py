@@ -9,9 +9,10 @@ similarity.
 
 Classes that agree in all places of a band share a bucket. Each bucket links its members to its smallest one, so a
 bucket of n gives n - 1 pairs. Pairs are confirmed on full sets and joined to components. Where a bucket still
-holds several components, the members outside the largest one are compared with the whole bucket: sketches in
-blocks of bounded size rule out pairs far below the threshold, the others are confirmed on full sets as well.
-So no link within a bucket is lost, and no group is expanded into all its pairs.
+holds several components, the members outside the largest one are compared with the whole bucket, in blocks of
+bounded size: a pair is looked at in the first band that it shares, by its sizes, its sketches and then by finer
+sketches of those documents alone, and what is near the threshold is confirmed on full sets as well. So no link
+within a bucket is lost, and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.llm.common import map_rows
@@ -35,6 +36,9 @@ COORDINATES = BANDS * ROWS
 PLACE_BYTES = 2
 # Agreeing places below which a pair is not confirmed: five standard deviations under the mean at 0.8.
 SURE_MATCHES = 132
+# Finer sketches have one byte a place, so other values agree by chance in one of 256.
+FINE_PLACES = 1200
+FINE_MATCHES = int(FINE_PLACES * (0.8 + 0.2 / 256) - 5 * (FINE_PLACES * 0.8 * 0.2) ** 0.5)
 BLOCK = 64
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -79,6 +83,7 @@ def sketches(sets: list[np.ndarray], places: int = COORDINATES) -> np.ndarray:
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     items = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     filled = np.full(len(sets) * places, _EMPTY)
+    missing = np.full(len(sets), places)
     for turn in range(2 * places):
         if not len(items):
             break
@@ -89,10 +94,10 @@ def sketches(sets: list[np.ndarray], places: int = COORDINATES) -> np.ndarray:
             place = turn - places
         at = owner * places + place
         free = filled[at] == _EMPTY
-        value = (drawn & np.uint64(0xFFFFFFFFFF)) | np.uint64(turn << 40)
-        np.minimum.at(filled, at[free], value[free])
-        open_sets = (filled.reshape(-1, places) == _EMPTY).any(axis=1)
-        stays = open_sets[owner]
+        at = at[free]
+        np.minimum.at(filled, at, (drawn[free] & np.uint64(0xFFFFFFFFFF)) | np.uint64(turn << 40))
+        missing -= np.bincount(np.unique(at) // places, minlength=len(sets))
+        stays = missing[owner] > 0
         if not stays.all():
             owner, items = owner[stays], items[stays]
     return filled.reshape(-1, places)
@@ -150,37 +155,73 @@ def _band_keys(classes: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda band: F.xxhash64(band, F.substring(F.col("sketch"), band * width + 1, F.lit(width))),
     )
-    return classes.select("rep", F.explode(keys).alias("key"))
+    return classes.select("rep", F.posexplode(keys).alias("band", "key"))
 
 
-def _compare_in_blocks(loose: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Pairs of a loose member and one of another component in its bucket whose sketches agree often enough."""
+def _fine_sketches(texts: DataFrame, words: int) -> DataFrame:
+    """``id``, size of the set and a sketch of many one-byte places."""
 
     def start() -> Callable[[list[dict]], Iterable[tuple]]:
+        known = WordHashes()
+
+        def work(rows: list[dict]) -> Iterable[tuple]:
+            sets = [shingle_set(row["text"], words, known) for row in rows]
+            rows, sets = zip(*[(r, s) for r, s in zip(rows, sets) if len(s)]) if any(map(len, sets)) else ((), ())
+            for row, own, fine in zip(rows, sets, _mixed(sketches(list(sets), FINE_PLACES)).astype(np.uint8)):
+                yield row["id"], len(own), fine.tobytes()
+
+        return work
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return map_rows(texts, f"id {kind}, size bigint, fine binary", start)
+
+
+def _compare_in_blocks(loose: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a loose member and one of another component in its bucket that may be similar enough.
+
+    A row holds a block of loose members and a block of members, so that few blocks are sent twice.
+    """
+
+    def start() -> Callable[[list[dict]], Iterable[tuple]]:
+        def near(own: dict, band: int, members: list[dict], sketches_: np.ndarray, sizes: np.ndarray) -> Iterable:
+            agree = sketches_ == np.frombuffer(own["sketch"], "<u2")
+            first = agree.reshape(len(members), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            fits = 100 * np.minimum(sizes, own["size"]) >= percent * np.maximum(sizes, own["size"])
+            fits &= (first == band) & (agree.sum(axis=1) >= SURE_MATCHES)
+            fine = np.frombuffer(own["fine"], np.uint8)
+            for at in np.flatnonzero(fits):
+                if (np.frombuffer(members[at]["fine"], np.uint8) == fine).sum() >= FINE_MATCHES:
+                    yield members[at]
+
         def work(rows: list[dict]) -> Iterable[tuple]:
             for row in rows:
-                own = np.frombuffer(row["sketch"], "<u2")
-                others = np.frombuffer(b"".join(m["sketch"] for m in row["members"]), "<u2").reshape(-1, len(own))
-                near = np.flatnonzero((others == own).sum(axis=1) >= SURE_MATCHES)
-                for member in (row["members"][at] for at in near):
-                    if member["component"] != row["component"]:
-                        yield min(row["rep"], member["rep"]), max(row["rep"], member["rep"])
+                members = row["members"]
+                all_places = np.frombuffer(b"".join(m["sketch"] for m in members), "<u2").reshape(len(members), -1)
+                sizes = np.array([m["size"] for m in members])
+                for own in row["asked"]:
+                    for member in near(own, row["band"], members, all_places, sizes):
+                        both_loose = member["component"] != row["main"]
+                        if member["component"] != own["component"] and not (both_loose and member["rep"] < own["rep"]):
+                            yield min(own["rep"], member["rep"]), max(own["rep"], member["rep"])
 
         return work
 
-    kind = loose.schema["rep"].dataType.simpleString()
-    return map_rows(loose.join(blocks, "key"), f"a {kind}, b {kind}", start, chunk=16).distinct()
+    kind = loose.schema["asked"].dataType.elementType["rep"].dataType.simpleString()
+    return map_rows(loose.join(blocks, "key"), f"a {kind}, b {kind}", start, chunk=4).distinct()
 
 
-def _remaining_pairs(members: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame | None:
+def _remaining_pairs(
+    members: DataFrame, known: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame | None:
     """Pairs across components in one bucket that pairs with its smallest member did not settle; None if none."""
-    several = members.where("n > 2").select("key", "rep").join(known, F.col("rep") == F.col("node"), "left")
-    several = several.select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    several = members.where("n > 2").select("key", "band", "rep").join(known, F.col("rep") == F.col("node"), "left")
+    several = several.select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     counted = several.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
     mixed = (
         counted.groupBy("key")
         .agg(
-            F.max(F.struct("_n", "component"))["component"].alias("_main"),
+            F.max(F.struct("_n", "component"))["component"].alias("main"),
+            F.max("_n").alias("_in_main"),
             F.sum("_n").alias("_size"),
             F.count(F.lit(1)).alias("_parts"),
         )
@@ -189,18 +230,25 @@ def _remaining_pairs(members: DataFrame, known: DataFrame, classes: DataFrame) -
     mixed = stage(mixed.drop("_parts"), "mixed-buckets")
     if not mixed.rows:
         return None
-    inside = several.join(mixed.df, "key")
-    sketched = classes.select("rep", "sketch")
-    loose = inside.where(F.col("component") != F.col("_main")).select("key", "rep", "component")
-    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("_size") / BLOCK))
-    blocks = (
-        inside.select("key", "rep", "component", block.alias("_block"))
-        .join(sketched, "rep")
-        .groupBy("key", "_block")
-        .agg(F.collect_list(F.struct("rep", "component", "sketch")).alias("members"))
-        .select("key", "members")
-    )
-    return _compare_in_blocks(loose.join(sketched, "rep"), blocks)
+    inside = stage(several.join(mixed.df, "key"), "mixed-members").df
+    asked = texts.join(inside.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    fine = _fine_sketches(asked, words).select(F.col("id").alias("rep"), "size", "fine")
+    sketched = stage(classes.select("rep", "sketch").join(fine, "rep"), "fine-sketches").df
+    own = F.struct("rep", "component", "size", "sketch", "fine")
+
+    def in_blocks(rows: DataFrame, name: str, size: Column, *with_key: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("rep"), F.ceil(size / BLOCK)).alias("_block")
+        return (
+            rows.select("key", "rep", "component", block, *with_key)
+            .join(sketched, "rep")
+            .groupBy("key", "_block", *with_key)
+            .agg(F.collect_list(own).alias(name))
+            .drop("_block")
+        )
+
+    loose = inside.where(F.col("component") != F.col("main"))
+    asked = in_blocks(loose, "asked", F.col("_size") - F.col("_in_main"), "band", "main")
+    return _compare_in_blocks(asked, in_blocks(inside, "members", F.col("_size")), percent)
 
 
 def near_duplicates(
@@ -239,7 +287,7 @@ def near_duplicates(
     star = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = stage(_confirmed(star, texts, words, percent), "links").df
     known = components(links)
-    more = _remaining_pairs(members, known, classes)
+    more = _remaining_pairs(members, known, classes, texts, words, percent)
     if more is not None:
         found = stage(_confirmed(more, texts, words, percent), "more-links")
         if found.rows:
