@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from comanda.plans.sales import sales_trends
 from comanda.plans.shared import customer_orders
 from comanda.schemas import RAW_TABLES, SILVER
 from comanda.sources.lake import extract_tables, promote, read_layer, write_layer
-from comanda.staging import stage
+from comanda.staging import stage, staging_scope
 
 # Each metric: items, options -> gold dataset.
 METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
@@ -31,6 +33,8 @@ METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "top_performing_locations": lambda items, _: locations(items),
     "pricing_discount_effectiveness": pricing,
 }
+# Columns by which a dataset is stored; nearly every sales report picks one period.
+PARTITIONS: dict[str, tuple[str, ...]] = {"sales_trends": ("SALES_PERIOD",)}
 # Metrics that can start from the lines summed up per customer and order.
 ORDER_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "customer_segmentation": rfm_of,
@@ -44,11 +48,30 @@ def layer(root: str, name: str) -> str:
 
 
 def _all_at_once(spark: SparkSession, steps: Mapping[str, Callable[[], None]]) -> None:
-    """Run independent writes from driver threads, so small jobs fill the gaps of large ones."""
+    """Run independent writes from driver threads, so small jobs fill the gaps of large ones.
+
+    Jobs share the cluster fairly if the session's scheduler is fair. The first failure cancels
+    the jobs of the other steps.
+    """
     if not steps:
         return
+    context, tag = spark.sparkContext, f"steps-{uuid4().hex}"
+
+    def tagged(step: Callable[[], None]) -> Callable[[], None]:
+        def run() -> None:
+            context.addJobTag(tag)
+            try:
+                step()
+            except BaseException:
+                context.cancelJobsWithTag(tag)
+                raise
+            finally:
+                context.removeJobTag(tag)
+
+        return inheritable_thread_target(spark)(run)
+
     with ThreadPoolExecutor(len(steps)) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps.values()]
+        started = [pool.submit(copy_context().run, tagged(step)) for step in steps.values()]
         for step in started:
             step.result()
 
@@ -76,7 +99,9 @@ def build_gold(
     shared = [name for name in metrics if name in ORDER_METRICS]
 
     def direct(name: str) -> Callable[[], None]:
-        return lambda: write_layer(METRICS[name](items, options), gold_root, name)
+        return lambda: write_layer(
+            METRICS[name](items, options), gold_root, name, PARTITIONS.get(name, ())
+        )
 
     def from_orders() -> None:
         orders = stage(customer_orders(items), "customer-orders").df
@@ -102,11 +127,12 @@ def run_pipeline(
     """Extract, promote, clean and compute the metrics. Every layer replaces its last run.
 
     ``source`` reads a table by its source name (``dbo.order_items`` or plain ``order_items``).
-    Returns the extracted row counts.
+    Returns the extracted row counts. Intermediate tables are deleted at the end.
     """
     raw, bronze, silver, gold = (layer(root, n) for n in ("raw", "bronze", "silver", "gold"))
-    counts = extract_tables(source, source_tables, raw)
-    promote(spark, raw, bronze, counts)
-    build_silver(spark, bronze, silver)
-    build_gold(spark, silver, gold, metrics)
+    with staging_scope(spark, "batch"):
+        counts = extract_tables(source, source_tables, raw)
+        promote(spark, raw, bronze, counts)
+        build_silver(spark, bronze, silver)
+        build_gold(spark, silver, gold, metrics)
     return counts

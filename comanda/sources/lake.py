@@ -16,9 +16,14 @@ def table_path(root: str, table: str) -> str:
 
 
 def read_layer(spark: SparkSession, root: str, table: str, ddl: str | None = None) -> DataFrame:
-    """Scan a table folder, with a declared schema where there is one (no footer inference)."""
-    reader = spark.read.schema(schema_of(ddl)) if ddl else spark.read
-    return reader.parquet(table_path(root, table))
+    """Scan a table folder, with a declared schema where there is one (no footer inference).
+
+    A declared schema also sets the order of the columns: Spark puts partition columns last.
+    """
+    if not ddl:
+        return spark.read.parquet(table_path(root, table))
+    declared = schema_of(ddl)
+    return spark.read.schema(declared).parquet(table_path(root, table)).select(declared.fieldNames())
 
 
 def write_layer(

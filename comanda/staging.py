@@ -11,6 +11,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,16 +50,38 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     root = tempfile.mkdtemp(prefix="comanda-")
     spark.conf.set(CHECKPOINT_DIR, root)
     return root
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("staging_scope", default=None)
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/comanda/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new folder for one table, inside the scope that is open if there is one."""
+    parent = _SCOPE.get() or f"{shared_root(spark)}/comanda/{spark.sparkContext.applicationId}"
+    return f"{parent}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def staging_scope(spark: SparkSession, label: str) -> Iterator[str]:
+    """Stages made inside share a folder, which is deleted at the end, also after a failure.
+
+    Results that read them must be written before. Threads see the scope if they run in a copy of
+    the context.
+    """
+    path = stage_path(spark, label)
+    before = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> Staged:

@@ -133,8 +133,12 @@ def test_pipeline_twice_gives_the_same_gold(spark, tmp_path):
             source_tables=[f"dbo.{t}" for t in schemas.RAW_TABLES])
         gold = {}
         for name in pipeline.METRICS:
-            df = lake.read_layer(spark, f"{root}/gold", name)
-            assert df.schema.simpleString() == schemas.schema_of(schemas.GOLD[name]).simpleString()
+            stored = lake.read_layer(spark, f"{root}/gold", name)
+            declared = schemas.schema_of(schemas.GOLD[name])
+            # a partition column comes last in the folder and where it is declared in the dataset
+            assert set(stored.schema.simpleString()[7:-1].split(",")) == set(declared.simpleString()[7:-1].split(","))
+            df = lake.read_layer(spark, f"{root}/gold", name, schemas.GOLD[name])
+            assert df.columns == declared.fieldNames()
             gold[name] = sorted(map(str, df.collect()))
         return counts, gold
 
@@ -153,3 +157,26 @@ def test_pipeline_twice_gives_the_same_gold(spark, tmp_path):
 def test_pipeline_runs_chosen_metrics_and_passes_errors_on(spark, tmp_path):
     with pytest.raises(KeyError):
         pipeline.build_gold(spark, str(tmp_path), str(tmp_path), ["no_such_metric"])
+
+
+def staged_folders(spark):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{staging.shared_root(spark)}/comanda/{spark.sparkContext.applicationId}")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in files.listStatus(root)} if files.exists(root) else set()
+
+
+def test_a_batch_leaves_no_staged_table_behind(spark, tmp_path):
+    def source(table):
+        return raw_table(spark, "/root/testdata/sf0.001", table)
+
+    before = staged_folders(spark)
+    pipeline.run_pipeline(spark, source, str(tmp_path / "good"), ["customer_segmentation", "top_performing_locations"])
+    assert staged_folders(spark) == before
+
+    def broken(table):
+        return source(table).withColumn("ITEM_PRICE", F.raise_error(F.lit("broken"))) if table == "order_items" else source(table)
+
+    with pytest.raises(Exception):
+        pipeline.run_pipeline(spark, broken, str(tmp_path / "bad"))
+    assert staged_folders(spark) == before
