@@ -19,11 +19,17 @@ def location_metrics(items: DataFrame, day_grain: bool = False) -> DataFrame:
     """Totals and rates per restaurant.
 
     ACTIVE_DAYS counts distinct order times as they stand; ``day_grain`` counts calendar days.
+    Lines are first summed up per order and time: the two distinct counts then expand orders, not
+    lines.
     """
     sales_date = F.to_date(TIME) if day_grain else F.col(TIME)
-    per_location = (
+    visits = (
         with_revenue(items, "TOTAL_REVENUE")
-        .withColumn("SALES_DATE", sales_date)
+        .groupBy("RESTAURANT_ID", "ORDER_ID", TIME)
+        .agg(F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"))
+    )
+    per_location = (
+        visits.withColumn("SALES_DATE", sales_date)
         .groupBy("RESTAURANT_ID")
         .agg(
             F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"),
