@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,9 +10,6 @@ from pyspark.sql.types import StringType
 
 from comanda.functions import cleaning as fn
 from comanda.schemas import SILVER, conform, schema_of
-from comanda.staging import stage
-
-BROADCAST_LIMIT = 2_000_000
 
 TEXT_COLUMNS = ("APP_NAME", "RESTAURANT_ID", "CURRENCY", "ITEM_CATEGORY", "ITEM_NAME")
 
@@ -34,29 +30,6 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
-def dedupe_stored(
-    df: DataFrame, keys: Sequence[str], broadcast_limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    """``dedupe`` for a stored table in which few keys repeat.
-
-    A first pass over the key columns alone finds the key hashes that occur twice or more. Rows
-    with any other hash are single and go straight through; only the rest is shuffled whole. A
-    hash shared by different keys just sends single rows the long way. The hashes (8 bytes each)
-    are broadcast up to ``broadcast_limit`` of them; with more the table is deduplicated whole.
-    """
-    key_hash = F.xxhash64(*keys)
-    repeated = stage(
-        df.groupBy(key_hash.alias("_key_hash")).count().where("count > 1").select("_key_hash"),
-        "repeated-keys",
-    )
-    if repeated.rows > broadcast_limit:
-        return dedupe(df, keys)
-    hashed, suspects = df.withColumn("_key_hash", key_hash), F.broadcast(repeated.df)
-    single = hashed.join(suspects, "_key_hash", "left_anti").drop("_key_hash")
-    several = hashed.join(suspects, "_key_hash", "left_semi").drop("_key_hash")
-    return single.unionByName(dedupe(several, keys))
-
-
 def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.trim(c) for c in columns})
 
@@ -103,14 +76,14 @@ def singleton_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).count().where("count = 1").drop("count")
 
 
-def clean_order_items(raw: DataFrame, stored: bool = False) -> DataFrame:
-    """Silver order_items. ``stored`` says that ``raw`` is a table on storage, cheap to scan twice."""
-    df = (dedupe_stored if stored else dedupe)(raw, ["LINEITEM_ID"])
+def clean_order_items(raw: DataFrame) -> DataFrame:
+    """Silver order_items; columns that the schema does not name stay behind those that it names."""
+    df = dedupe(raw, ["LINEITEM_ID"])
     df = trim_columns(df, TEXT_COLUMNS)
     df = parse_timestamps(df, ["CREATION_TIME_UTC"])
     df = to_int(to_money(df, ["ITEM_PRICE"]), ["ITEM_QUANTITY"])
     df = valid_lines(id_status(loyalty_flag(df)))
-    return conform(df, SILVER["order_items"])
+    return conform(df, SILVER["order_items"], keep_rest=True)
 
 
 def clean_options(raw: DataFrame) -> DataFrame:
@@ -123,17 +96,19 @@ def clean_options(raw: DataFrame) -> DataFrame:
 
 
 def clean_date_dim(raw: DataFrame) -> DataFrame:
-    """Dedup on ``date_key`` as written, then parse: two spellings of one day both stay."""
+    """Dedup on ``date_key`` as written, then parse: two spellings of one day both stay.
+
+    Columns that the schema does not name stay behind those that it names.
+    """
     df = dedupe(raw, ["date_key"])
     df = df.withColumn("date_key", fn.calendar_day(df["date_key"]))
     df = to_int(df, ["year", "month", "week"])
     df = to_bool(trim_columns(df, ["day_of_week", "holiday_name"]), ["is_weekend", "is_holiday"])
-    return conform(df, SILVER["date_dim"])
+    return conform(df, SILVER["date_dim"], keep_rest=True)
 
 
-# Cleaners of stored bronze tables.
 CLEANERS = {
-    "order_items": partial(clean_order_items, stored=True),
+    "order_items": clean_order_items,
     "order_item_options": clean_options,
     "date_dim": clean_date_dim,
 }

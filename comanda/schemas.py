@@ -83,8 +83,15 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def conform(df: DataFrame, ddl: str) -> DataFrame:
-    """Select and cast to a declared schema; columns the schema does not name are left out."""
+def conform(df: DataFrame, ddl: str, keep_rest: bool = False) -> DataFrame:
+    """Select and cast to a declared schema.
+
+    Columns that the schema does not name are left out, or appended unchanged with ``keep_rest``.
+    """
     target = schema_of(ddl)
     require_columns(df, target.fieldNames())
-    return df.select([df[field.name].cast(field.dataType).alias(field.name) for field in target])
+    named = {name.lower() for name in target.fieldNames()}
+    rest = [df[name] for name in df.columns if keep_rest and name.lower() not in named]
+    return df.select(
+        *[df[field.name].cast(field.dataType).alias(field.name) for field in target], *rest
+    )

@@ -83,17 +83,12 @@ def test_dedupe_limits_a_hot_key_before_the_shuffle(spark):
     assert kept.count() == df.select("k").distinct().count()
 
 
-@pytest.mark.parametrize("limit", [0, 10, 10_000])
-def test_dedupe_of_a_stored_table_equals_dedupe(spark, limit):
-    df = spark.range(3_000).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL"
-        " ELSE string(id % 1990) END AS k", "id % 7 AS a", "id AS b")
-    got = cleaning.dedupe_stored(df, ["k"], limit)
-    assert sorted(map(str, got.collect())) == sorted(map(str, cleaning.dedupe(df, ["k"]).collect()))
-
-
-def test_dedupe_of_a_stored_table_without_copies(spark):
-    assert cleaning.dedupe_stored(spark.range(10).selectExpr("id", "1 AS x"), ["id"]).count() == 10
+def test_columns_that_the_schema_does_not_name_stay(spark):
+    items = raw(spark, dict(l="a"), dict(l="b")).withColumn("NOTE", F.lit("kept"))
+    once = cleaning.clean_order_items(items)
+    assert once.columns[-1] == "NOTE" and {r["NOTE"] for r in once.collect()} == {"kept"}
+    again = cleaning.clean_order_items(once.withColumn("IS_LOYALTY", F.col("IS_LOYALTY").cast("int")))
+    assert sorted(once.collect()) == sorted(again.collect())
 
 
 def test_silver_is_stable_under_a_second_pass(spark):
