@@ -10,13 +10,31 @@ import re
 
 LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 RAW_ITEM_COLUMNS = (
-    "ORDER_ID APP_NAME RESTAURANT_ID CURRENCY ITEM_CATEGORY ITEM_NAME CREATION_TIME_UTC "
-    "ITEM_PRICE ITEM_QUANTITY IS_LOYALTY USER_ID PRINTED_CARD_NUMBER"
-).split()
-RAW_DATE_COLUMNS = "year month week day_of_week is_weekend is_holiday holiday_name".split()
+    "ORDER_ID",
+    "APP_NAME",
+    "RESTAURANT_ID",
+    "CURRENCY",
+    "ITEM_CATEGORY",
+    "ITEM_NAME",
+    "CREATION_TIME_UTC",
+    "ITEM_PRICE",
+    "ITEM_QUANTITY",
+    "IS_LOYALTY",
+    "USER_ID",
+    "PRINTED_CARD_NUMBER",
+)
+RAW_DATE_COLUMNS = ("year", "month", "week", "day_of_week", "is_weekend", "is_holiday", "holiday_name")
+RAW_OPTION_COLUMNS = (
+    "ORDER_ID",
+    "LINEITEM_ID",
+    "OPTION_GROUP_NAME",
+    "OPTION_NAME",
+    "OPTION_PRICE",
+    "OPTION_QUANTITY",
+)
 
 
-def _nulls_first(columns: list[str]) -> str:
+def _nulls_first(columns: tuple[str, ...]) -> str:
     return ", ".join(f"{c} NULLS FIRST" for c in columns)
 
 
@@ -311,6 +329,21 @@ ALL_RAW_ITEMS = ["LINEITEM_ID", *RAW_ITEM_COLUMNS]
 NULL_COUNTS = f"SELECT {', '.join(map(_null_count, ALL_RAW_ITEMS))} FROM raw_items"
 
 
+def _saved_nulls(table: str, step: str, columns: list[str]) -> str:
+    counts = f"SELECT {', '.join(map(_null_count, columns))} FROM {step}"
+    return f"""SELECT '{table}' AS TABLE_NAME, column_name, null_count FROM ({counts})
+        UNPIVOT (null_count FOR column_name IN ({', '.join(columns)}))"""
+
+
+def _saved_duplicates(table: str, step: str, key: str) -> str:
+    return f"""SELECT '{table}' AS TABLE_NAME, CAST({key} AS VARCHAR) AS KEY_VALUE, count(*) AS count
+        FROM {step} GROUP BY {key} HAVING count(*) > 1"""
+
+
+def _emptied(dataset: str, step: str, condition: str) -> str:
+    return f"SELECT '{dataset}' AS DATASET WHERE (SELECT count(*) FROM {step} WHERE {condition}) = 0"
+
+
 def _sales_total(column: str, name: str | None = None) -> str:
     kind = "DOUBLE" if "REVENUE" in column else "BIGINT"
     return f"CAST(coalesce(sum({column}), 0) AS {kind}) AS {name or column}"
@@ -329,8 +362,29 @@ QUERIES = {
         GROUP BY 1 HAVING count(*) > 1""",
     "load_gold_sales": "SELECT * REPLACE (CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE, "
     "CAST(SALES_DATE AS TIMESTAMP) AS SALES_DATE) FROM sales_gold",
-    "dataset_availability": """SELECT DATASET FROM (VALUES ('loyalty_program_impact'),
-        ('sales_trends')) AS absent(DATASET) WHERE (SELECT count(*) FROM orders) >= 0""",
+    "csv_inferred_items": """SELECT * REPLACE (CAST(ORDER_ID AS INTEGER) AS ORDER_ID,
+        CAST(ITEM_PRICE AS DOUBLE) AS ITEM_PRICE, nullif(USER_ID, '') AS USER_ID) FROM raw_items""",
+    "csv_inferred_options": """SELECT * REPLACE (CAST(ORDER_ID AS INTEGER) AS ORDER_ID,
+        CAST(OPTION_PRICE AS DOUBLE) AS OPTION_PRICE) FROM raw_options""",
+    "csv_inferred_dates": """SELECT * REPLACE (CAST(date_key AS DATE) AS date_key,
+        CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, CAST(week AS INTEGER) AS week,
+        CAST(is_weekend AS BOOLEAN) AS is_weekend, CAST(is_holiday AS BOOLEAN) AS is_holiday)
+        FROM raw_dates""",
+    "extract_options": f"SELECT {OPTIONS_OUT} FROM raw_options",
+    "extract_dates": "SELECT * FROM raw_dates",
+    "bronze_items": f"SELECT {ITEMS_OUT} FROM raw_items",
+    "bronze_options": f"SELECT {OPTIONS_OUT} FROM raw_options",
+    "dataset_availability": " UNION ALL ".join(
+        (
+            _emptied("customer_segmentation", "rfm_gold", "FREQUENCY >= 1"),
+            _emptied("customer_churn_indicators", "churn_gold", "DAYS_SINCE_LAST_ORDER < 0"),
+            _emptied("sales_trends", "sales_gold", "TOTAL_ORDERS >= 1"),
+            _emptied("loyalty_program_impact", "loyalty_gold", "TOTAL_ORDERS > 1000000"),
+            _emptied("top_performing_locations", "locations_gold", "TOTAL_ORDERS >= 1"),
+            _emptied("pricing_discount_effectiveness", "pricing_gold", "TOTAL_ORDERS = 0"),
+        )
+    ),
+    "required_columns": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     # Data quality
     "dq_duplicate_rows": f"""SELECT {ITEMS_OUT} FROM (SELECT *, count(*) AS count FROM raw_items
         GROUP BY ALL HAVING count(*) > 1)""",
@@ -339,6 +393,20 @@ QUERIES = {
     "dq_null_counts": NULL_COUNTS,
     "dq_null_summary": f"""SELECT column_name, null_count FROM ({NULL_COUNTS})
         UNPIVOT (null_count FOR column_name IN ({', '.join(ALL_RAW_ITEMS)}))""",
+    "dq_saved_nulls": " UNION ALL ".join(
+        (
+            _saved_nulls("order_items", "raw_items", ALL_RAW_ITEMS),
+            _saved_nulls("order_item_options", "raw_options", list(RAW_OPTION_COLUMNS)),
+            _saved_nulls("date_dim", "raw_dates", ["date_key", *RAW_DATE_COLUMNS]),
+        )
+    ),
+    "dq_saved_duplicates": " UNION ALL ".join(
+        (
+            _saved_duplicates("order_items", "raw_items", "LINEITEM_ID"),
+            _saved_duplicates("order_item_options", "raw_options", "ORDER_ID"),
+            _saved_duplicates("date_dim", "raw_dates", "date_key"),
+        )
+    ),
     # Silver
     "silver_dedupe_lineitems": f"SELECT {ITEMS_OUT} FROM raw_items_once",
     "silver_trim": """SELECT LINEITEM_ID, trim(APP_NAME) AS APP_NAME,
@@ -434,6 +502,7 @@ QUERIES = {
     # Reports
     "report_filter_in": f"SELECT {SALES_OUT} FROM sales_gold WHERE SALES_PERIOD IN ('DAILY', 'MONTHLY') "
     "AND RESTAURANT_ID IS NOT NULL",
+    "report_filter_keep_null": f"SELECT {SALES_OUT} FROM sales_gold WHERE MONTH IN (1, 2) OR MONTH IS NULL",
     "report_choices": "SELECT DISTINCT RESTAURANT_ID FROM sales_gold WHERE RESTAURANT_ID IS NOT NULL",
     "report_date_range": "SELECT * REPLACE (CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE, "
     "CAST(SALES_DATE AS TIMESTAMP) AS SALES_DATE) FROM sales_gold "
@@ -531,6 +600,7 @@ QUERIES = {
         {ratio('sum(TOTAL_REVENUE)', 'sum(TOTAL_ORDERS)')} AS AVG_ORDER_VALUE FROM locations_gold""",
     "report_location_rankings": f"""SELECT {SALES_OUT} FROM locations_gold
         ORDER BY locations_gold.TOTAL_REVENUE DESC NULLS LAST, RESTAURANT_ID LIMIT 10""",
+    "report_location_revenue_ranking": f"SELECT {SALES_OUT} FROM locations_gold",
     "report_location_order_values": f"SELECT {SALES_OUT} FROM locations_gold",
     "report_location_volume": f"""SELECT RESTAURANT_ID, TOTAL_ORDERS, {dbl('TOTAL_REVENUE')},
         coalesce(AVG_ORDER_VALUE, 0) AS AVG_ORDER_VALUE FROM locations_gold""",
@@ -554,5 +624,21 @@ QUERIES = {
 }
 
 
+# The same result by another way through the engine.
+QUERIES |= {
+    "clv_segments_large": QUERIES["clv_segments"],
+    "rfm_scores_large": QUERIES["rfm_scores"],
+    "location_ranking_large": QUERIES["location_ranking"],
+    "report_gap_box_large": QUERIES["report_gap_box"],
+    "batch_customer_lifetime_value": QUERIES["clv_segments"],
+    "batch_customer_segmentation": QUERIES["rfm_segments"],
+    "batch_customer_churn_indicators": QUERIES["churn_indicators"],
+    "batch_loyalty_program_impact": QUERIES["loyalty_impact"],
+    "batch_sales_trends": QUERIES["sales_trends"],
+    "batch_top_performing_locations": QUERIES["location_ranking"],
+    "batch_pricing_discount_effectiveness": QUERIES["pricing_effectiveness"],
+}
+
+
 def oracle_texts() -> dict[str, str]:
     return {name: with_steps(select) for name, select in QUERIES.items()}

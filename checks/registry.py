@@ -23,24 +23,35 @@ from comanda.plans import (
     sales,
     shared,
 )
-from comanda.schemas import RAW_TABLES, REPORT_DATASETS
+from comanda.schemas import GOLD, RAW_TABLES, REPORT_DATASETS, require_columns
 from comanda.sources import files, lake, tables
 from comanda.staging import stage
 
+# Rows a bucket of the ranks holds in the rows named "large": many buckets, as on a large table.
+SMALL_BUCKET = 20
 CUSTOMER_LINES = ["CUSTOMER_ID", "ORDER_ID", "LINEITEM_ID"]
 
 
-def _extract(ws: Workspace) -> DataFrame:
+def _extract(ws: Workspace) -> str:
+    """All source tables extracted in one call."""
     root = ws.scratch("raw")
-    lake.extract_tables(lambda name: ws.source(name.split(".")[-1]), ["dbo.order_items"], root)
-    return lake.read_layer(ws.spark, root, "order_items")
+    names = [f"dbo.{table}" for table in RAW_TABLES]
+    lake.extract_tables(lambda name: ws.source(name.split(".")[-1]), names, root)
+    return root
 
 
-def _promote(ws: Workspace) -> DataFrame:
-    raw, bronze = ws.scratch("raw"), ws.scratch("bronze")
-    lake.write_layer(ws.source("date_dim"), raw, "date_dim")
-    lake.promote(ws.spark, raw, bronze, ["date_dim"])
-    return lake.read_layer(ws.spark, bronze, "date_dim")
+def _extracted(table: str) -> Callable[[Workspace], DataFrame]:
+    return lambda ws: lake.read_layer(ws.spark, ws.once("extract", _extract), table)
+
+
+def _promote(ws: Workspace) -> str:
+    bronze = ws.scratch("bronze")
+    lake.promote(ws.spark, ws.once("extract", _extract), bronze, RAW_TABLES)
+    return bronze
+
+
+def _promoted(table: str) -> Callable[[Workspace], DataFrame]:
+    return lambda ws: lake.read_layer(ws.spark, ws.once("promote", _promote), table)
 
 
 def _scan(ws: Workspace) -> DataFrame:
@@ -61,6 +72,18 @@ def _csv(ws: Workspace) -> DataFrame:
     return files.read_csv_table(ws.spark, folder, raw.schema)
 
 
+def _csv_inferred(table: str) -> Callable[[Workspace], DataFrame]:
+    """A source file written as CSV and read back with the types that Spark finds."""
+
+    def read(ws: Workspace) -> DataFrame:
+        folder = ws.scratch("csv")
+        ws.raw(table).write.csv(folder, header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                ignoreTrailingWhiteSpace=False)
+        return files.read_csv_table(ws.spark, folder)
+
+    return read
+
+
 def _sanitize(ws: Workspace) -> DataFrame:
     lines = lake.read_layer(ws.spark, ws.folder, "lineitem.parquet").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"
@@ -78,20 +101,77 @@ def _table(ws: Workspace) -> DataFrame:
     return tables.read_table(ws.spark, name)
 
 
+# Conditions under which a stored dataset keeps rows or not; SQL counts the same (oracles.KEPT).
+KEPT = {
+    "customer_segmentation": "FREQUENCY >= 1",
+    "customer_churn_indicators": "DAYS_SINCE_LAST_ORDER < 0",
+    "sales_trends": "TOTAL_ORDERS >= 1",
+    "loyalty_program_impact": "TOTAL_ORDERS > 1000000",
+    "top_performing_locations": "TOTAL_ORDERS >= 1",
+    "pricing_discount_effectiveness": "TOTAL_ORDERS = 0",
+}
+
+
 def _availability(ws: Workspace) -> DataFrame:
     root = ws.scratch("gold")
-    absent = {"loyalty_program_impact", "sales_trends"}
     for name in REPORT_DATASETS:
-        if name not in absent:
-            lake.write_layer(ws.gold(name), root, name)
+        lake.write_layer(ws.gold(name).where(KEPT[name]), root, name)
     return lake.missing_datasets(ws.spark, root)
 
 
-def _pipeline(ws: Workspace) -> DataFrame:
+PROFILE_KEYS = {"order_items": ["LINEITEM_ID"], "order_item_options": ["ORDER_ID"], "date_dim": ["date_key"]}
+
+
+def _profiles(ws: Workspace) -> str:
+    """Profiles of the three source tables, saved to the catalog."""
+    prefix = "comanda_" + ws.scratch("profile").rsplit("-", 1)[-1]
+    for table, keys in PROFILE_KEYS.items():
+        profiling.profile_and_save(ws.raw(table), f"{prefix}_{table}", keys)
+    return prefix
+
+
+def _saved_nulls(ws: Workspace) -> DataFrame:
+    prefix = ws.once("profiles", _profiles)
+    parts = [
+        tables.read_table(ws.spark, f"{prefix}_{table}_null_summary").select(
+            F.lit(table).alias("TABLE_NAME"), "column_name", "null_count"
+        )
+        for table in PROFILE_KEYS
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+def _saved_duplicates(ws: Workspace) -> DataFrame:
+    prefix = ws.once("profiles", _profiles)
+    parts = [
+        tables.read_table(ws.spark, f"{prefix}_{table}_duplicates").select(
+            F.lit(table).alias("TABLE_NAME"), F.col(keys[0]).alias("KEY_VALUE"), "count"
+        )
+        for table, keys in PROFILE_KEYS.items()
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+def _validated(ws: Workspace) -> DataFrame:
+    wanted = ["o_orderkey", "O_CUSTKEY", "o_totalprice"]
+    orders = lake.read_layer(ws.spark, ws.folder, "orders.parquet")
+    return require_columns(orders, wanted).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+def _batch(ws: Workspace) -> str:
+    """The whole daily batch; returns the root of its gold layer."""
     root = ws.scratch("lake")
     pipeline.run_pipeline(ws.spark, lambda t: ws.source(t.split(".")[-1]), root,
                           source_tables=[f"dbo.{t}" for t in RAW_TABLES])
-    gold = pipeline.layer(root, "gold")
+    return pipeline.layer(root, "gold")
+
+
+def _from_batch(name: str) -> Callable[[Workspace], DataFrame]:
+    return lambda ws: lake.read_layer(ws.spark, ws.once("batch", _batch), name, GOLD[name])
+
+
+def _pipeline(ws: Workspace) -> DataFrame:
+    gold = ws.once("batch", _batch)
     counts = [
         lake.read_layer(ws.spark, gold, name).agg(
             F.lit(name).alias("DATASET"), F.count(F.lit(1)).alias("ROW_COUNT")
@@ -149,15 +229,23 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # Sources and sinks
-    "extract_roundtrip": _extract,
-    "bronze_promote": _promote,
+    "extract_roundtrip": _extracted("order_items"),
+    "extract_options": _extracted("order_item_options"),
+    "extract_dates": _extracted("date_dim"),
+    "bronze_promote": _promoted("date_dim"),
+    "bronze_items": _promoted("order_items"),
+    "bronze_options": _promoted("order_item_options"),
     "scan_parquet": _scan,
     "gold_roundtrip": _gold_roundtrip,
     "csv_ingest": _csv,
+    "csv_inferred_items": _csv_inferred("order_items"),
+    "csv_inferred_options": _csv_inferred("order_item_options"),
+    "csv_inferred_dates": _csv_inferred("date_dim"),
     "sanitize_columns": _sanitize,
     "table_roundtrip": _table,
     "load_gold_sales": _sales,
     "dataset_availability": _availability,
+    "required_columns": _validated,
     # Data quality
     "dq_duplicate_rows": lambda ws: profiling.duplicate_rows(ws.raw("order_items")),
     "dq_duplicate_keys": lambda ws: profiling.duplicate_keys(
@@ -165,6 +253,8 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "dq_null_counts": lambda ws: profiling.null_counts(ws.raw("order_items")),
     "dq_null_summary": lambda ws: profiling.null_summary(ws.raw("order_items")),
+    "dq_saved_nulls": _saved_nulls,
+    "dq_saved_duplicates": _saved_duplicates,
     # Silver
     "silver_dedupe_lineitems": lambda ws: cleaning.dedupe(ws.raw("order_items"), ["LINEITEM_ID"]),
     "silver_trim": lambda ws: cleaning.trim_columns(
@@ -204,12 +294,16 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "clv_totals": lambda ws: clv.clv_totals(ws.items, ws.options),
     "clv_percent_rank": lambda ws: clv.clv_ranked(ws.items, ws.options),
     "clv_segments": lambda ws: clv.clv(ws.items, ws.options),
+    "clv_segments_large": lambda ws: clv.clv(ws.items, ws.options, SMALL_BUCKET),
     # Segmentation
     "rfm_base": lambda ws: rfm.rfm_base(ws.items),
     "rfm_recency": lambda ws: rfm.with_recency(stage(rfm.rfm_base(ws.items), "rfm").df),
     "rfm_scores": lambda ws: rfm.score_staged(stage(rfm.rfm_base(ws.items), "rfm")).drop(
         "LAST_PURCHASE_DATE", "IS_LOYALTY"
     ),
+    "rfm_scores_large": lambda ws: rfm.score_staged(
+        stage(rfm.rfm_base(ws.items), "rfm"), SMALL_BUCKET
+    ).drop("LAST_PURCHASE_DATE", "IS_LOYALTY"),
     "rfm_segments": lambda ws: rfm.rfm(ws.items),
     # Churn
     "churn_last_order": lambda ws: churn.last_order(ws.items),
@@ -243,6 +337,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "location_metrics": lambda ws: locations.location_metrics(ws.items),
     "location_metrics_fixed": lambda ws: locations.location_metrics(ws.items, day_grain=True),
     "location_ranking": lambda ws: locations.locations(ws.items),
+    "location_ranking_large": lambda ws: locations.locations(
+        ws.items, rows_per_bucket=SMALL_BUCKET
+    ),
     "location_retention": lambda ws: locations.location_retention(ws.items),
     # Pricing
     "pricing_order_discounts": lambda ws: pricing.order_discounts(ws.options),
@@ -260,6 +357,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_filter_in": lambda ws: reports.filter_in(
         reports.filter_in(_sales(ws), "RESTAURANT_ID"), "SALES_PERIOD", ["DAILY", "MONTHLY"]
     ).withColumn("SALES_DATE", F.to_date("SALES_DATE")),
+    "report_filter_keep_null": lambda ws: reports.filter_in(
+        _sales(ws), "MONTH", [1, 2], keep_null=True
+    ).withColumn("SALES_DATE", F.to_date("SALES_DATE")),
     "report_choices": lambda ws: reports.choices(_sales(ws), "RESTAURANT_ID"),
     "report_date_range": lambda ws: reports.filter_dates(_sales(ws), "1996-03-01", "1998-06-30"),
     "report_exec_kpis": lambda ws: reports.executive_kpis(
@@ -281,6 +381,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_gap_box": lambda ws: reports.box_stats(
         _churn(ws), "CHURN_STATUS", "AVG_ORDER_GAP_DAYS"
     ),
+    "report_gap_box_large": lambda ws: reports.box_stats(
+        _churn(ws), "CHURN_STATUS", "AVG_ORDER_GAP_DAYS", SMALL_BUCKET
+    ),
     "report_churn_scatter": lambda ws: reports.churn_scatter(_churn(ws)),
     "report_retention_targets": lambda ws: reports.retention_targets(_churn(ws)),
     "report_churn_spend": lambda ws: reports.churn_spend_kpi(_churn(ws), ws.items),
@@ -304,6 +407,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_location_rankings": lambda ws: reports.rank_locations(
         _locations(ws), "TOTAL_REVENUE", reports.TOP_LOCATIONS
     ),
+    "report_location_revenue_ranking": lambda ws: reports.rank_locations(
+        _locations(ws), "TOTAL_REVENUE"
+    ),
     "report_location_order_values": lambda ws: reports.rank_locations(
         _locations(ws), "AVG_ORDER_VALUE"
     ),
@@ -314,6 +420,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_pricing_detail": lambda ws: reports.pricing_detail(_pricing(ws)),
     # Pipeline
     "batch_end_to_end": _pipeline,
+    **{f"batch_{name}": _from_batch(name) for name in pipeline.METRICS},
 }
 
 

@@ -7,6 +7,7 @@ report does not clean the raw tables again.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +25,18 @@ class Workspace:
         self.folder = folder
         self.root = stage_path(spark, "workspace")
         self._written: set[tuple[str, str]] = set()
+        self._made: dict[str, str] = {}
 
     def scratch(self, label: str) -> str:
         """A new folder for one write of one query."""
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
 
+    def once(self, label: str, make: Callable[[Workspace], str]) -> str:
+        """What ``make`` returns, made on first use."""
+        if label not in self._made:
+            self._made[label] = make(self)
+        return self._made[label]
+
     def layer_root(self, name: str) -> str:
         return layer(self.root, name)
 
