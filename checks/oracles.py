@@ -92,34 +92,46 @@ def _score(metric: str, high_is_good: bool) -> str:
 
 
 STEPS = {
-    "raw_items": f"""SELECT {LINE_ID} AS LINEITEM_ID, CAST(l_orderkey AS VARCHAR) AS ORDER_ID,
+    "raw_items": f"""SELECT CASE WHEN (l_orderkey + l_partkey) % 499 <> 0 THEN {LINE_ID} END
+      AS LINEITEM_ID, CAST(l_orderkey AS VARCHAR) AS ORDER_ID,
     o_orderpriority AS APP_NAME, ' R' || l_suppkey || ' ' AS RESTAURANT_ID, ' USD' AS CURRENCY,
     p_type || ' ' AS ITEM_CATEGORY, p_name AS ITEM_NAME,
-    o_orderdate + to_minutes(CAST(o_orderkey * 7919 % 1440 AS INTEGER)) AS CREATION_TIME_UTC,
-    CAST(p_retailprice AS DECIMAL(10,2)) AS ITEM_PRICE,
-    CASE WHEN (l_orderkey + l_partkey) % 97 = 0 THEN 0
+    CASE WHEN (l_orderkey + l_partkey) % 307 = 0 THEN 'soon' ELSE
+      strftime(o_orderdate + to_minutes(CAST(o_orderkey * 7919 % 1440 AS INTEGER)),
+        '%Y-%m-%d %H:%M:%S') END AS CREATION_TIME_UTC,
+    CASE WHEN (l_orderkey + l_partkey) % 83 = 0 THEN 'n/a'
+      WHEN (l_orderkey + l_partkey) % 79 = 0 THEN '123456789012.50'
+      ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) END AS ITEM_PRICE,
+    CASE WHEN copy = 1 AND o_orderkey % 3 = 0 THEN '1'
+      WHEN (l_orderkey + l_partkey) % 97 = 0 THEN '0'
       WHEN (l_orderkey + l_partkey) % 89 = 0 THEN NULL
-      ELSE CAST(l_quantity AS INTEGER) END AS ITEM_QUANTITY,
-    CAST(CASE WHEN o_orderkey % 10 = 0 THEN 1 - o_custkey % 2
-      WHEN o_custkey % 3 = 0 THEN NULL ELSE o_custkey % 2 END AS INTEGER) AS IS_LOYALTY,
+      WHEN (l_orderkey + l_partkey) % 73 = 0 THEN 'some'
+      WHEN (l_orderkey + l_partkey) % 71 = 0 THEN '99999999999'
+      WHEN (l_orderkey + l_partkey) % 7 = 0 THEN CAST(l_quantity AS INTEGER) || '.0'
+      ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS ITEM_QUANTITY,
+    CASE WHEN o_orderkey % 10 = 0 THEN CAST(1 - o_custkey % 2 AS VARCHAR)
+      WHEN o_custkey % 3 = 0 THEN NULL WHEN o_custkey % 19 = 0 THEN 'yes'
+      WHEN o_custkey % 13 = 0 THEN '1.0'
+      ELSE CAST(o_custkey % 2 AS VARCHAR) END AS IS_LOYALTY,
     CASE WHEN o_custkey % 7 = 0 THEN NULL WHEN o_custkey % 11 = 0 THEN ''
       ELSE 'U' || o_custkey END AS USER_ID,
     CASE WHEN o_custkey % 14 = 0 THEN NULL WHEN o_custkey % 5 = 0 THEN '  '
       ELSE ' C' || o_custkey END AS PRINTED_CARD_NUMBER
-    FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 17 = 0)
+    FROM (SELECT *, 0 AS copy FROM lineitem
+      UNION ALL SELECT *, 1 AS copy FROM lineitem WHERE l_orderkey % 17 = 0)
     JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "raw_options": f"""SELECT CAST(l_orderkey AS VARCHAR) AS ORDER_ID, {LINE_ID} AS LINEITEM_ID,
       l_returnflag || ' ' AS OPTION_GROUP_NAME, l_linestatus AS OPTION_NAME,
-      CAST(l_tax AS DECIMAL(10,2)) * 100 AS OPTION_PRICE,
-      CAST(1 + l_linenumber % 3 AS INTEGER) AS OPTION_QUANTITY
+      CAST(CAST(CAST(l_tax AS DECIMAL(10,2)) * 100 AS DECIMAL(10,2)) AS VARCHAR) AS OPTION_PRICE,
+      CAST(1 + l_linenumber % 3 AS INTEGER) || '.0' AS OPTION_QUANTITY
     FROM lineitem WHERE l_tax > 0
     UNION ALL SELECT CAST(l_orderkey AS VARCHAR), {LINE_ID}, 'DISCOUNT', ' promo',
-      CAST(l_discount AS DECIMAL(10,2)) * -100, 1
+      CAST(CAST(CAST(l_discount AS DECIMAL(10,2)) * -100 AS DECIMAL(10,2)) AS VARCHAR), '1.0'
     FROM lineitem WHERE l_discount >= 0.09 AND l_orderkey % 3 = 0
     UNION ALL SELECT CAST(l_orderkey AS VARCHAR), {LINE_ID}, 'DISCOUNT', 'promo',
-      CAST(l_discount AS DECIMAL(10,2)) * -100, 1
+      CAST(CAST(CAST(l_discount AS DECIMAL(10,2)) * -100 AS DECIMAL(10,2)) AS VARCHAR), '1.0'
     FROM lineitem WHERE l_discount >= 0.09 AND l_orderkey % 39 = 0""",
-    "raw_dates": """SELECT CAST(d AS VARCHAR) AS date_key, CAST(year(d) AS VARCHAR) AS year,
+    "raw_dates": """SELECT spelling AS date_key, CAST(year(d) AS VARCHAR) AS year,
     CAST(month(d) AS VARCHAR) AS month, CAST(weekofyear(d) AS VARCHAR) AS week,
     ' ' || dayname(d) AS day_of_week,
     CASE WHEN isodow(d) >= 6 THEN 'true' ELSE 'false' END AS is_weekend,
@@ -127,23 +139,29 @@ STEPS = {
       AS is_holiday,
     CASE strftime(d, '%m-%d') WHEN '12-25' THEN 'Christmas ' WHEN '01-01' THEN 'New Year' END
       AS holiday_name
-    FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)""",
+    FROM (SELECT d, unnest(CASE WHEN day(d) % 7 = 0
+        THEN [strftime(d, '%Y-%m-%d'), strftime(d, '%Y-%m-%d'), strftime(d, '%Y-%-m-%-d')]
+        ELSE [strftime(d, '%Y-%m-%d')] END) AS spelling
+      FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders))""",
     "raw_items_once": f"""SELECT * EXCLUDE (copy) FROM (SELECT *, row_number() OVER (
       PARTITION BY LINEITEM_ID ORDER BY {_nulls_first(RAW_ITEM_COLUMNS)}) AS copy FROM raw_items)
     WHERE copy = 1""",
     "items": """SELECT LINEITEM_ID, ORDER_ID, trim(APP_NAME) AS APP_NAME,
     trim(RESTAURANT_ID) AS RESTAURANT_ID, trim(CURRENCY) AS CURRENCY,
-    trim(ITEM_CATEGORY) AS ITEM_CATEGORY, trim(ITEM_NAME) AS ITEM_NAME, CREATION_TIME_UTC,
-    ITEM_PRICE, ITEM_QUANTITY, coalesce(IS_LOYALTY = 1, false) AS IS_LOYALTY, USER_ID,
+    trim(ITEM_CATEGORY) AS ITEM_CATEGORY, trim(ITEM_NAME) AS ITEM_NAME,
+    TRY_CAST(CREATION_TIME_UTC AS TIMESTAMP) AS CREATION_TIME_UTC,
+    TRY_CAST(ITEM_PRICE AS DECIMAL(10,2)) AS ITEM_PRICE, ITEM_COUNT AS ITEM_QUANTITY,
+    coalesce(TRY_CAST(IS_LOYALTY AS DOUBLE) = 1, false) AS IS_LOYALTY, USER_ID,
     trim(PRINTED_CARD_NUMBER) AS PRINTED_CARD_NUMBER,
     CASE WHEN USER_ID IS NULL OR trim(USER_ID) = '' THEN 'MISSING_USER_ID'
       ELSE 'VALID_USER_ID' END AS USER_ID_STATUS,
     CASE WHEN PRINTED_CARD_NUMBER IS NULL OR trim(PRINTED_CARD_NUMBER) = ''
       THEN 'MISSING_CARD_NUMBER' ELSE 'VALID_CARD_NUMBER' END AS CARD_NUMBER_STATUS
-    FROM raw_items_once WHERE ITEM_QUANTITY > 0""",
+    FROM (SELECT *, TRY_CAST(regexp_replace(ITEM_QUANTITY, '\\.\\d*\\s*$', '') AS INTEGER) AS ITEM_COUNT
+      FROM raw_items_once) WHERE ITEM_COUNT > 0""",
     "options": """SELECT ORDER_ID, LINEITEM_ID, trim(OPTION_GROUP_NAME) AS OPTION_GROUP_NAME,
     trim(OPTION_NAME) AS OPTION_NAME, CAST(OPTION_PRICE AS DECIMAL(10,2)) AS OPTION_PRICE,
-    OPTION_QUANTITY FROM raw_options GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) = 1""",
+    CAST(CAST(OPTION_QUANTITY AS DOUBLE) AS INTEGER) AS OPTION_QUANTITY FROM raw_options GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) = 1""",
     "dates": f"""SELECT CAST(date_key AS DATE) AS date_key, CAST(year AS INTEGER) AS year,
     CAST(month AS INTEGER) AS month, CAST(week AS INTEGER) AS week,
     trim(day_of_week) AS day_of_week, CAST(is_weekend AS BOOLEAN) AS is_weekend,
@@ -195,7 +213,7 @@ STEPS = {
     CAST(date_diff('day', CAST(lag(CREATION_TIME_UTC) OVER w AS DATE),
       CAST(CREATION_TIME_UTC AS DATE)) AS INTEGER) AS ORDER_GAP_DAYS
     FROM buyers WINDOW w AS (PARTITION BY CUSTOMER_ID
-      ORDER BY CREATION_TIME_UTC NULLS FIRST, ORDER_ID, LINEITEM_ID)""",
+      ORDER BY CREATION_TIME_UTC NULLS FIRST, ORDER_ID NULLS FIRST, LINEITEM_ID NULLS FIRST)""",
     "mean_gaps": """SELECT CUSTOMER_ID,
     CAST(sum(ORDER_GAP_DAYS) AS DOUBLE) / nullif(count(ORDER_GAP_DAYS), 0) AS AVG_ORDER_GAP_DAYS
     FROM gaps GROUP BY 1""",
@@ -351,11 +369,11 @@ def _sales_total(column: str, name: str | None = None) -> str:
 
 QUERIES = {
     # Sources and sinks
-    "extract_roundtrip": f"SELECT {ITEMS_OUT} FROM raw_items",
+    "extract_roundtrip": "SELECT * FROM raw_items",
     "bronze_promote": "SELECT * FROM raw_dates",
     "scan_parquet": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "gold_roundtrip": f"SELECT {SALES_OUT} FROM sales_gold",
-    "csv_ingest": f"SELECT {OPTIONS_OUT} FROM raw_options",
+    "csv_ingest": "SELECT * FROM raw_options",
     "sanitize_columns": """SELECT l_orderkey AS order_key, l_linenumber AS line_number,
         l_quantity AS quantity, l_shipdate AS ship_date FROM lineitem""",
     "table_roundtrip": """SELECT ORDER_ID, count(*) AS count FROM raw_options
@@ -363,17 +381,18 @@ QUERIES = {
     "load_gold_sales": "SELECT * REPLACE (CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE, "
     "CAST(SALES_DATE AS TIMESTAMP) AS SALES_DATE) FROM sales_gold",
     "csv_inferred_items": """SELECT * REPLACE (CAST(ORDER_ID AS INTEGER) AS ORDER_ID,
-        CAST(ITEM_PRICE AS DOUBLE) AS ITEM_PRICE, nullif(USER_ID, '') AS USER_ID) FROM raw_items""",
+        nullif(USER_ID, '') AS USER_ID) FROM raw_items""",
     "csv_inferred_options": """SELECT * REPLACE (CAST(ORDER_ID AS INTEGER) AS ORDER_ID,
-        CAST(OPTION_PRICE AS DOUBLE) AS OPTION_PRICE) FROM raw_options""",
-    "csv_inferred_dates": """SELECT * REPLACE (CAST(date_key AS DATE) AS date_key,
+        CAST(OPTION_PRICE AS DOUBLE) AS OPTION_PRICE,
+        CAST(OPTION_QUANTITY AS DOUBLE) AS OPTION_QUANTITY) FROM raw_options""",
+    "csv_inferred_dates": """SELECT * REPLACE (CAST(date_key AS TIMESTAMP) AS date_key,
         CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, CAST(week AS INTEGER) AS week,
         CAST(is_weekend AS BOOLEAN) AS is_weekend, CAST(is_holiday AS BOOLEAN) AS is_holiday)
         FROM raw_dates""",
-    "extract_options": f"SELECT {OPTIONS_OUT} FROM raw_options",
+    "extract_options": "SELECT * FROM raw_options",
     "extract_dates": "SELECT * FROM raw_dates",
-    "bronze_items": f"SELECT {ITEMS_OUT} FROM raw_items",
-    "bronze_options": f"SELECT {OPTIONS_OUT} FROM raw_options",
+    "bronze_items": "SELECT * FROM raw_items",
+    "bronze_options": "SELECT * FROM raw_options",
     "dataset_availability": " UNION ALL ".join(
         (
             _emptied("customer_segmentation", "rfm_gold", "FREQUENCY >= 1"),
@@ -386,7 +405,7 @@ QUERIES = {
     ),
     "required_columns": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     # Data quality
-    "dq_duplicate_rows": f"""SELECT {ITEMS_OUT} FROM (SELECT *, count(*) AS count FROM raw_items
+    "dq_duplicate_rows": """SELECT * FROM (SELECT *, count(*) AS count FROM raw_items
         GROUP BY ALL HAVING count(*) > 1)""",
     "dq_duplicate_keys": """SELECT ORDER_ID, count(*) AS duplicate_count FROM raw_options
         GROUP BY 1 HAVING count(*) > 1""",
@@ -408,22 +427,24 @@ QUERIES = {
         )
     ),
     # Silver
-    "silver_dedupe_lineitems": f"SELECT {ITEMS_OUT} FROM raw_items_once",
+    "silver_dedupe_lineitems": "SELECT * FROM raw_items_once",
     "silver_trim": """SELECT LINEITEM_ID, trim(APP_NAME) AS APP_NAME,
         trim(RESTAURANT_ID) AS RESTAURANT_ID, trim(CURRENCY) AS CURRENCY,
         trim(ITEM_CATEGORY) AS ITEM_CATEGORY, trim(ITEM_NAME) AS ITEM_NAME FROM raw_items""",
     "silver_casts": """SELECT ORDER_ID, LINEITEM_ID,
         CAST(CAST(OPTION_PRICE AS DECIMAL(10,2)) AS DOUBLE) AS OPTION_PRICE,
-        CAST(OPTION_QUANTITY AS INTEGER) AS OPTION_QUANTITY FROM raw_options""",
-    "silver_loyalty_flag": """SELECT LINEITEM_ID, coalesce(IS_LOYALTY = 1, false) AS IS_LOYALTY
-        FROM raw_items""",
+        CAST(CAST(OPTION_QUANTITY AS DOUBLE) AS INTEGER) AS OPTION_QUANTITY FROM raw_options""",
+    "silver_loyalty_flag": """SELECT LINEITEM_ID,
+        coalesce(TRY_CAST(IS_LOYALTY AS DOUBLE) = 1, false) AS IS_LOYALTY FROM raw_items""",
     "silver_id_status": """SELECT LINEITEM_ID, USER_ID,
         trim(PRINTED_CARD_NUMBER) AS PRINTED_CARD_NUMBER,
         CASE WHEN coalesce(trim(USER_ID), '') = '' THEN 'MISSING_USER_ID'
           ELSE 'VALID_USER_ID' END AS USER_ID_STATUS,
         CASE WHEN coalesce(trim(PRINTED_CARD_NUMBER), '') = '' THEN 'MISSING_CARD_NUMBER'
           ELSE 'VALID_CARD_NUMBER' END AS CARD_NUMBER_STATUS FROM raw_items""",
-    "silver_valid_lines": "SELECT LINEITEM_ID, ITEM_QUANTITY FROM raw_items WHERE ITEM_QUANTITY > 0",
+    "silver_valid_lines": """SELECT LINEITEM_ID, ITEM_QUANTITY FROM (SELECT LINEITEM_ID,
+        TRY_CAST(regexp_replace(ITEM_QUANTITY, '\\.\\d*\\s*$', '') AS INTEGER) AS ITEM_QUANTITY
+        FROM raw_items) WHERE ITEM_QUANTITY > 0""",
     "silver_order_items": f"SELECT {ITEMS_OUT} FROM items",
     "silver_options": f"SELECT {OPTIONS_OUT} FROM options",
     "silver_date_dim": "SELECT * FROM dates",
@@ -479,7 +500,8 @@ QUERIES = {
     "sales_by_calendar": f"""SELECT is_weekend, is_holiday,
         {dbl('sum(ITEM_PRICE * ITEM_QUANTITY)', 'TOTAL_REVENUE')},
         count(DISTINCT ORDER_ID) AS TOTAL_ORDERS, CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD
-        FROM items LEFT JOIN dates ON CAST({TIME} AS DATE) = date_key GROUP BY 1, 2""",
+        FROM items LEFT JOIN (SELECT DISTINCT ON (date_key) * FROM dates WHERE date_key IS NOT NULL
+          ORDER BY date_key) ON CAST({TIME} AS DATE) = date_key GROUP BY 1, 2""",
     # Locations
     "location_metrics": f"SELECT {SALES_OUT}, {LOCATION_RATES} FROM locations",
     "location_metrics_fixed": f"SELECT {SALES_OUT}, {LOCATION_RATES} FROM locations_by_day",
@@ -590,8 +612,8 @@ QUERIES = {
           FROM loyalty_gold GROUP BY 1)""",
     "report_loyalty_detail": f"SELECT {LOYALTY_OUT} FROM loyalty_gold",
     "report_coerce_numeric": """SELECT RESTAURANT_ID, CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE,
-        CAST(TOTAL_ORDERS AS DOUBLE) AS TOTAL_ORDERS, ORDERS_PER_DAY, ORDERS_PER_WEEK,
-        AVG_ORDER_VALUE FROM locations_gold""",
+        CASE WHEN TOTAL_ORDERS % 7 <> 0 THEN CAST(TOTAL_ORDERS AS DOUBLE) END AS TOTAL_ORDERS,
+        ORDERS_PER_DAY, ORDERS_PER_WEEK, AVG_ORDER_VALUE FROM locations_gold""",
     "report_location_kpis": f"""SELECT count(DISTINCT RESTAURANT_ID) AS LOCATIONS,
         {_sales_total('TOTAL_REVENUE')}, {_sales_total('TOTAL_ORDERS')},
         round(avg(AVG_ORDER_VALUE), 6) AS AVG_ORDER_VALUE FROM locations_gold""",

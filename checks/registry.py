@@ -218,6 +218,13 @@ def _locations(ws: Workspace) -> DataFrame:
     return ws.gold("top_performing_locations")
 
 
+def _locations_as_text(ws: Workspace) -> DataFrame:
+    """The figures as text, some of them no number."""
+    orders = F.when(F.col("TOTAL_ORDERS") % 7 == 0, "n/a").otherwise(F.col("TOTAL_ORDERS").cast("string"))
+    text = _locations(ws).withColumn("TOTAL_ORDERS", orders)
+    return text.withColumns({c: text[c].cast("string") for c in ("TOTAL_REVENUE", "ORDERS_PER_DAY")})
+
+
 def _pricing(ws: Workspace) -> DataFrame:
     return ws.gold("pricing_discount_effectiveness")
 
@@ -269,9 +276,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "silver_id_status": lambda ws: cleaning.id_status(ws.raw("order_items")).select(
         "LINEITEM_ID", "USER_ID", "PRINTED_CARD_NUMBER", "USER_ID_STATUS", "CARD_NUMBER_STATUS"
     ),
-    "silver_valid_lines": lambda ws: cleaning.valid_lines(ws.raw("order_items")).select(
-        "LINEITEM_ID", "ITEM_QUANTITY"
-    ),
+    "silver_valid_lines": lambda ws: cleaning.valid_lines(
+        cleaning.to_int(ws.raw("order_items"), ["ITEM_QUANTITY"])
+    ).select("LINEITEM_ID", "ITEM_QUANTITY"),
     "silver_order_items": lambda ws: cleaning.CLEANERS["order_items"](ws.raw("order_items")),
     "silver_options": lambda ws: cleaning.clean_options(ws.raw("order_item_options")),
     "silver_date_dim": lambda ws: cleaning.clean_date_dim(ws.raw("date_dim")),
@@ -397,7 +404,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_loyalty_summary": lambda ws: reports.loyalty_summary(_loyalty(ws)),
     "report_loyalty_shares": lambda ws: reports.loyalty_shares(_loyalty(ws)),
     "report_loyalty_detail": lambda ws: reports.loyalty_detail(_loyalty(ws)),
-    "report_coerce_numeric": lambda ws: reports.coerce_numeric(_locations(ws)).select(
+    "report_coerce_numeric": lambda ws: reports.coerce_numeric(_locations_as_text(ws)).select(
         "RESTAURANT_ID", *[c for c in reports.LOCATION_NUMBERS if c in _locations(ws).columns]
     ),
     "report_location_kpis": lambda ws: _rounded(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,7 +105,3 @@ def discount_status(amount: Column) -> Column:
 
 def null_to_zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
-
-
-def struct_of(columns: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in columns])

@@ -1,8 +1,10 @@
 """Order tables derived from a star schema of orders, lineitem and part.
 
-Turns a generic sales schema into raw order_items, order_item_options and date_dim tables,
-with padded text, missing and blank ids, exact copies, zero quantities and discount options, so
-that every rule of the cleaning step and the metrics has rows to act on.
+Turns a generic sales schema into raw order_items, order_item_options and date_dim tables as a
+careless source would hand them over: everything is text, some of it no number, time or flag;
+values are padded, ids missing or blank, quantities zero; lines come again as exact copies and
+as copies that differ in a column; days come twice and in two spellings. Every rule of the
+cleaning step and the metrics has rows to act on.
 """
 
 from __future__ import annotations
@@ -23,37 +25,50 @@ def _line_id() -> Column:
 
 
 def order_items_raw(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _table(spark, folder, "lineitem")
-    lines = lines.unionAll(lines.where("l_orderkey % 17 = 0"))
+    lines = _table(spark, folder, "lineitem").withColumn("copy", F.lit(0))
+    again = lines.where("l_orderkey % 17 = 0").withColumn("copy", F.lit(1))
+    lines = lines.unionAll(again)
     joined = lines.join(
         _table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     ).join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     customer, order = F.col("o_custkey"), F.col("o_orderkey")
     odd_lot = F.col("l_orderkey") + F.col("l_partkey")
+    price = F.col("p_retailprice").cast("decimal(10,2)").cast("string")
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    near_copy = (F.col("copy") == 1) & (order % 3 == 0)
+    moment = F.expr("timestampadd(MINUTE, o_orderkey * 7919 % 1440, o_orderdate)")
     return joined.select(
-        _line_id().alias("LINEITEM_ID"),
+        F.when(odd_lot % 499 != 0, _line_id()).alias("LINEITEM_ID"),
         F.col("l_orderkey").cast("string").alias("ORDER_ID"),
         F.col("o_orderpriority").alias("APP_NAME"),
         F.concat(F.lit(" R"), "l_suppkey", F.lit(" ")).alias("RESTAURANT_ID"),
         F.lit(" USD").alias("CURRENCY"),
         F.concat("p_type", F.lit(" ")).alias("ITEM_CATEGORY"),
         F.col("p_name").alias("ITEM_NAME"),
-        F.expr("timestampadd(MINUTE, o_orderkey * 7919 % 1440, o_orderdate)").alias(
-            "CREATION_TIME_UTC"
-        ),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("ITEM_PRICE"),
+        F.when(odd_lot % 307 == 0, "soon")
+        .otherwise(F.date_format(moment, "yyyy-MM-dd HH:mm:ss"))
+        .alias("CREATION_TIME_UTC"),
+        first_match(
+            (odd_lot % 83 == 0, "n/a"),
+            (odd_lot % 79 == 0, "123456789012.50"),
+            otherwise=price,
+        ).alias("ITEM_PRICE"),
         first_match(
-            (odd_lot % 97 == 0, 0),
-            (odd_lot % 89 == 0, F.lit(None).cast("int")),
-            otherwise=F.col("l_quantity").cast("int"),
+            (near_copy, "1"),
+            (odd_lot % 97 == 0, "0"),
+            (odd_lot % 89 == 0, F.lit(None).cast("string")),
+            (odd_lot % 73 == 0, "some"),
+            (odd_lot % 71 == 0, "99999999999"),
+            (odd_lot % 7 == 0, F.concat(quantity, F.lit(".0"))),
+            otherwise=quantity,
         ).alias("ITEM_QUANTITY"),
         first_match(
-            (order % 10 == 0, 1 - customer % 2),
-            (customer % 3 == 0, F.lit(None).cast("bigint")),
-            otherwise=customer % 2,
-        )
-        .cast("int")
-        .alias("IS_LOYALTY"),
+            (order % 10 == 0, (1 - customer % 2).cast("string")),
+            (customer % 3 == 0, F.lit(None).cast("string")),
+            (customer % 19 == 0, "yes"),
+            (customer % 13 == 0, "1.0"),
+            otherwise=(customer % 2).cast("string"),
+        ).alias("IS_LOYALTY"),
         first_match(
             (customer % 7 == 0, F.lit(None).cast("string")),
             (customer % 11 == 0, ""),
@@ -78,8 +93,8 @@ def order_item_options_raw(spark: SparkSession, folder: str) -> DataFrame:
             _line_id().alias("LINEITEM_ID"),
             group.alias("OPTION_GROUP_NAME"),
             name.alias("OPTION_NAME"),
-            price.alias("OPTION_PRICE"),
-            quantity.cast("int").alias("OPTION_QUANTITY"),
+            price.cast("decimal(10,2)").cast("string").alias("OPTION_PRICE"),
+            F.concat(quantity.cast("string"), F.lit(".0")).alias("OPTION_QUANTITY"),
         )
 
     add_ons = options(
@@ -111,8 +126,11 @@ def date_dim_raw(spark: SparkSession, folder: str) -> DataFrame:
     christmas = (F.month(day) == 12) & (F.dayofmonth(day) == 25)
     new_year = (F.month(day) == 1) & (F.dayofmonth(day) == 1)
     days = _table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    return days.select(
-        day.cast("string").alias("date_key"),
+    usual = days.withColumn("spelling", F.date_format(day, "yyyy-MM-dd"))
+    again = usual.where(F.dayofmonth(day) % 7 == 0)
+    spelled = again.withColumn("spelling", F.date_format(day, "yyyy-M-d"))
+    return usual.unionAll(again).unionAll(spelled).select(
+        F.col("spelling").alias("date_key"),
         F.year(day).cast("string").alias("year"),
         F.month(day).cast("string").alias("month"),
         F.weekofyear(day).cast("string").alias("week"),
