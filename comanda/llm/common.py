@@ -7,6 +7,7 @@ JVM side as in Python, so both give the same result for any text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 
 # Rows handed to Python work at a time, whatever the size of the Arrow batch.
 CHUNK = 256
+OUT_ROWS = 1024
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,7 +53,8 @@ def map_rows(
     """Python work over small lists of rows, inside ``mapInArrow``.
 
     ``start`` runs once per task and returns the function from rows to result tuples. Arrow batches are cut
-    into ``chunk`` rows, so Python holds a few hundred texts at a time.
+    into ``chunk`` rows and results sent on every ``OUT_ROWS``, so Python holds a few hundred texts at a time
+    and ``start`` may make many rows of one.
     """
     kinds = StructType.fromDDL(schema)
     arrow = to_arrow_schema(kinds)
@@ -60,11 +63,10 @@ def map_rows(
         work = start()
         for batch in batches:
             for at in range(0, batch.num_rows, chunk):
-                rows = list(work(batch.slice(at, chunk).to_pylist()))
-                columns = list(zip(*rows)) if rows else [()] * len(arrow)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(columns, arrow)], schema=arrow
-                )
+                made = iter(work(batch.slice(at, chunk).to_pylist()))
+                while rows := list(islice(made, OUT_ROWS)):
+                    columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), arrow)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return df.mapInArrow(run, kinds)
 
@@ -72,7 +74,10 @@ def map_rows(
 def keep_rows(
     df: DataFrame, column: str, start: Callable[[], Callable[[list], list[bool]]], chunk: int = CHUNK
 ) -> DataFrame:
-    """The rows of ``df``, all columns as they are, for which Python says so from one column, without a shuffle."""
+    """The rows of ``df``, all columns as they are, for which Python says so from one column, without a shuffle.
+
+    A column named ``_stays`` is lost.
+    """
     verdict = "_stays"
     kinds = StructType([*(f for f in df.schema if f.name != verdict), StructField(verdict, BooleanType())])
     arrow = to_arrow_schema(kinds)

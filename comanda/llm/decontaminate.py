@@ -70,13 +70,12 @@ def _first_agreement(left: Column, right: Column, block: Column) -> Column:
 
 
 def _shared(left: Column, right: Column) -> Column:
-    """Common shingles, each as often as the side that has fewer of it."""
+    """Common shingles, each as often as the side that has fewer of it; counted at length only if some repeat."""
     times = lambda side, h: F.size(F.filter(side, lambda other: other == h))
-    return F.aggregate(
-        F.array_intersect(left, right),
-        F.lit(0),
-        lambda total, h: total + F.least(times(left, h), times(right, h)),
-    )
+    common = F.array_intersect(left, right)
+    repeats = (F.size(F.array_distinct(left)) < F.size(left)) & (F.size(F.array_distinct(right)) < F.size(right))
+    counted = F.aggregate(common, F.lit(0), lambda total, h: total + F.least(times(left, h), times(right, h)))
+    return F.when(repeats, counted).otherwise(F.size(common))
 
 
 def _seeds_needed(size: Column, stride: Column) -> Column:
