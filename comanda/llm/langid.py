@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from comanda.llm.common import keep_rows, map_rows
 
-# Bounds of the fit: texts per language by hash, none longer than MAX_TEXT_CHARS, joined up to CHARS_PER_LANGUAGE.
+# Bounds of the fit: texts per language by hash, none longer than MAX_TEXT_CHARS, joined up to CHARS_PER_LANGUAGE
+# or to an equal share of TOTAL_CHARS, which bounds the tables of a worker whatever the number of languages.
 DOCS_PER_LANGUAGE, MAX_TEXT_CHARS, CHARS_PER_LANGUAGE = 96, 20_000, 48_000
+TOTAL_CHARS = 240_000
 # Letters with a class of their own; rarer ones share a class that no phrase contains.
 MAX_LETTERS = 120
 UNDETERMINED = "und"
@@ -59,6 +61,7 @@ def fit_languages(
     """Samples of every language from documents with a language, a text and an id that training may use.
 
     At most ``DOCS_PER_LANGUAGE`` texts of a language come to the driver, chosen by hash before the shuffle.
+    Whole texts are taken as long as they fit the budget, and the shortest if none does.
     """
     text = F.col(text_col)
     known = docs.where(
@@ -69,12 +72,19 @@ def fit_languages(
     ).select(F.col(lang_col).alias("_lang"), text.alias("_text"), F.xxhash64(id_col, text_col).alias("_order"))
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
     rows = known.withColumn("_place", place).where(F.col("_place") <= DOCS_PER_LANGUAGE).collect()
+    languages = {row["_lang"] for row in rows}
+    budget = min(CHARS_PER_LANGUAGE, TOTAL_CHARS // max(1, len(languages)))
     by_language: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["_lang"], r["_place"])):
-        parts = by_language.setdefault(row["_lang"], [])
-        if sum(map(len, parts)) < CHARS_PER_LANGUAGE and (letters := normalised(row["_text"])):
-            parts.append(letters)
-    texts = {lang: " ".join(parts) for lang, parts in by_language.items() if parts}
+        if letters := normalised(row["_text"]):
+            by_language.setdefault(row["_lang"], []).append(letters)
+    texts = {}
+    for lang, found in by_language.items():
+        parts: list[str] = []
+        for letters in found:
+            if sum(map(len, parts)) + len(letters) <= budget:
+                parts.append(letters)
+        texts[lang] = " ".join(parts or [min(found, key=len)])
     common = Counter("".join(texts.values()))
     common.pop(" ", None)
     letters = sorted(common, key=lambda c: (-common[c], c))[:MAX_LETTERS]
