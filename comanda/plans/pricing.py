@@ -90,19 +90,25 @@ def pricing_by(
 ) -> DataFrame:
     """Net revenue by line columns (category, restaurant) and the discount status of the order.
 
-    Net of a line is its revenue less its own discounts.
+    Net of a line is its revenue less its own discounts. The discounts of an order go along as a
+    map of its lines, so lines and options are shuffled once each, by order.
     """
-    line_discounts = _discounts(options, ["ORDER_ID", "LINEITEM_ID"], use_quantity)
-    discounted = (
-        order_discounts(options, use_quantity)
-        .where(F.col("DISCOUNT_AMOUNT") > 0)
-        .select("ORDER_ID", F.lit(1).alias("_discounted"))
+    by_line = _discounts(options, ["ORDER_ID", "LINEITEM_ID"], use_quantity)
+    known = F.when(F.col("LINEITEM_ID").isNotNull(), F.struct("LINEITEM_ID", "DISCOUNT_AMOUNT"))
+    by_order = (
+        by_line.where(F.col("ORDER_ID").isNotNull())
+        .groupBy("ORDER_ID")
+        .agg(
+            F.map_from_entries(F.collect_list(known)).alias("_of_lines"),
+            F.sum("DISCOUNT_AMOUNT").alias("_of_order"),
+        )
     )
     lines = items.select("ORDER_ID", "LINEITEM_ID", *columns, line_revenue().alias("_gross"))
-    net = F.col("_gross") - null_to_zero(F.col("DISCOUNT_AMOUNT"))
+    own = F.when(F.col("LINEITEM_ID").isNotNull(), F.try_element_at("_of_lines", F.col("LINEITEM_ID")))
+    status = discount_status(null_to_zero(F.col("_of_order"))).alias("DISCOUNT_STATUS")
     return (
-        lines.join(line_discounts, ["ORDER_ID", "LINEITEM_ID"], "left")
-        .join(discounted, "ORDER_ID", "left")
-        .groupBy(*columns, discount_status(null_to_zero(F.col("_discounted"))).alias("DISCOUNT_STATUS"))
-        .agg(F.sum(net).alias("NET_REVENUE"))
+        lines.join(by_order, "ORDER_ID", "left")
+        .select(*columns, status, (F.col("_gross") - null_to_zero(own)).alias("_net"))
+        .groupBy(*columns, "DISCOUNT_STATUS")
+        .agg(F.sum("_net").alias("NET_REVENUE"))
     )

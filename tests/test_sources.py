@@ -25,6 +25,19 @@ def test_jdbc_options():
         jdbc.jdbc_options(url, "t", PROPS, "ID", 1)
 
 
+def test_jdbc_slices_pass_one_predicate_per_partition():
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            return url, table, predicates, properties
+
+    class Session:
+        read = Reader()
+
+    url, table, predicates, properties = jdbc.read_jdbc_slices(Session(), "u", "t", PROPS, ("a = 1", "a IS NULL"))
+    assert (url, table, predicates) == ("u", "t", ["a = 1", "a IS NULL"])
+    assert properties == {"driver": jdbc.SQLSERVER_DRIVER, **PROPS}
+
+
 def test_extract_strips_the_schema_counts_and_stops_at_the_first_failure(spark, tmp_path):
     def read(name):
         if name == "dbo.broken":
