@@ -139,6 +139,50 @@ def loyalty_impact(spark: SparkSession) -> DataFrame:
         count(DISTINCT ORDER_ID) AS TOTAL_ORDERS FROM {BUYERS} GROUP BY CUSTOMER_ID, IS_LOYALTY)""")
 
 
+def silver_order_items(spark: SparkSession) -> DataFrame:
+    return spark.sql("""
+        WITH once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY LINEITEM_ID
+            ORDER BY ITEM_QUANTITY) AS copy FROM raw_order_items) WHERE copy = 1)
+        SELECT LINEITEM_ID, ORDER_ID, trim(APP_NAME) AS APP_NAME, trim(RESTAURANT_ID) AS RESTAURANT_ID,
+            trim(CURRENCY) AS CURRENCY, trim(ITEM_CATEGORY) AS ITEM_CATEGORY,
+            trim(ITEM_NAME) AS ITEM_NAME, try_cast(CREATION_TIME_UTC AS timestamp) AS CREATION_TIME_UTC,
+            try_cast(ITEM_PRICE AS decimal(10,2)) AS ITEM_PRICE,
+            try_cast(try_cast(ITEM_QUANTITY AS double) AS int) AS ITEM_QUANTITY,
+            coalesce(try_cast(IS_LOYALTY AS double) = 1, false) AS IS_LOYALTY, USER_ID,
+            trim(PRINTED_CARD_NUMBER) AS PRINTED_CARD_NUMBER,
+            CASE WHEN coalesce(trim(USER_ID), '') = '' THEN 'MISSING_USER_ID'
+                ELSE 'VALID_USER_ID' END AS USER_ID_STATUS,
+            CASE WHEN coalesce(trim(PRINTED_CARD_NUMBER), '') = '' THEN 'MISSING_CARD_NUMBER'
+                ELSE 'VALID_CARD_NUMBER' END AS CARD_NUMBER_STATUS
+        FROM once WHERE try_cast(ITEM_QUANTITY AS double) >= 1""")
+
+
+def silver_options(spark: SparkSession) -> DataFrame:
+    return spark.sql("""
+        SELECT ORDER_ID, LINEITEM_ID, trim(OPTION_GROUP_NAME) AS OPTION_GROUP_NAME,
+            trim(OPTION_NAME) AS OPTION_NAME, try_cast(OPTION_PRICE AS decimal(10,2)) AS OPTION_PRICE,
+            try_cast(try_cast(OPTION_QUANTITY AS double) AS int) AS OPTION_QUANTITY
+        FROM raw_order_item_options GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) = 1""")
+
+
+def report_gap_box(spark: SparkSession) -> DataFrame:
+    return spark.sql("""
+        SELECT CHURN_STATUS, min(AVG_ORDER_GAP_DAYS) AS MINIMUM,
+            percentile(AVG_ORDER_GAP_DAYS, array(0.25, 0.5, 0.75)) AS QUARTILES,
+            max(AVG_ORDER_GAP_DAYS) AS MAXIMUM
+        FROM customer_churn_indicators WHERE CHURN_STATUS IS NOT NULL GROUP BY CHURN_STATUS""")
+
+
+def report_exec_kpis_fixed(spark: SparkSession) -> DataFrame:
+    return spark.sql("""
+        SELECT (SELECT count(DISTINCT CUSTOMER_ID) FROM customer_segmentation) AS TOTAL_CUSTOMERS,
+            sum(ITEM_PRICE * ITEM_QUANTITY) AS TOTAL_REVENUE,
+            count(DISTINCT ORDER_ID) AS TOTAL_ORDERS,
+            (SELECT count(*) FROM customer_churn_indicators
+             WHERE CHURN_STATUS IN ('At Risk', 'High Risk')) AS CUSTOMERS_AT_RISK
+        FROM order_items""")
+
+
 PLAIN = {
     f.__name__: f
     for f in (
@@ -149,5 +193,9 @@ PLAIN = {
         pricing_effectiveness,
         location_ranking,
         loyalty_impact,
+        silver_order_items,
+        silver_options,
+        report_gap_box,
+        report_exec_kpis_fixed,
     )
 }
