@@ -1,15 +1,16 @@
-"""Benchmark passages in documents: SimHash windows, Hamming blocks, exact weighted shingles.
-
-A document's windows are as long as a benchmark item. Each window and each item has a 64-bit SimHash of its
-five-word shingles, every occurrence counting once. Fingerprints are cut into ``RADIUS`` + 1 blocks of bits: two
-that differ in at most ``RADIUS`` bits agree in a whole block, so an equi-join on (length, block, bits) meets all
-of them. What is within the radius is confirmed by the weighted similarity of the shingles.
-
-Windows are only laid where they can matter. A window at ``PERCENT`` similarity shares most of its shingles with
-the item, so it holds a shared one among every third position (for items of at least ``LONG`` shingles; any
-position counts if there is a shorter item). Those seeds fix the starts of the windows and how many seeds a
-document needs for a length. Only DataFrame functions are used. Documents move once, and only to meet their own
-seeds; benchmark rows move by joins whose side Spark picks by size.
+"""Benchmark passages in documents: every window of an item's length, by exact weighted shingles.
+
+A document's windows are as long as a benchmark item, in five-word shingles, and every occurrence of a shingle
+counts once, as often as the item has it. A shared shingle therefore counts for one run of window starts: from the
+first window that reaches it to the last that still holds it and not yet as many later ones as the item has. Adding
+up these runs from left to right gives the similarity of every window, whatever the order of the shingles, and only
+the shingles that document and item share are looked at.
+
+Documents are chosen by seeds: a window at ``PERCENT`` similarity shares most of its shingles with the item, so it
+holds shared ones among every third position (for items of at least ``LONG`` shingles; every position counts if there
+is a shorter item), and their number is known for a length. Seeds choose documents and lengths only, not windows.
+Only DataFrame functions are used. Documents move once, and only to meet their own seeds; benchmark rows move by
+joins whose side Spark picks by size.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from comanda.llm.common import WORD_GAP, lower_az, row_key, trimmed
 from comanda.staging import stage
 
 WORDS, PERCENT = 5, 80
-# A fingerprint of 64 bits at similarity 0.8 differs in 9.4 bits on average with a deviation of 2.8.
-RADIUS, BLOCK_BITS = 20, 3
 LONG, STRIDE = 6, 3
 
 
@@ -36,52 +35,41 @@ def _shingle(words: Column, at: Column) -> Column:
     return F.xxhash64(*[F.get(words, at + place) for place in range(WORDS)])
 
 
-def _simhash(hashes: Column) -> Column:
-    """A bit is set if it is set in more than half of the hashes."""
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(63)),
-        lambda bit: F.aggregate(
-            hashes, F.lit(0), lambda total, h: total + F.getbit(h, bit).cast("int"), lambda total: total * 2 > F.size(hashes)
-        ),
-    )
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(63)),
-        F.lit(0).cast("bigint"),
-        lambda made, bit: made.bitwiseOR(
-            F.when(bits[bit], F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).otherwise(F.lit(0))
-        ),
-    )
-
-
-def _block(fingerprint: Column, block: Column) -> Column:
-    """The bits of one block; the last takes those that are left."""
-    shifted = F.call_function("shiftrightunsigned", fingerprint, block * BLOCK_BITS)
-    return F.when(block == RADIUS, shifted).otherwise(shifted.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)))
+def _seeds_needed(size: Column, stride: Column) -> Column:
+    """Seeds that a window of ``size`` shingles holds at least if it is similar enough."""
+    tested = F.floor(size / stride)
+    return F.greatest(tested - F.floor(size * (100 - PERCENT) / 100), F.lit(1))
 
 
-def _blocks() -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(RADIUS)))
+def _runs(hits: Column, width: Column, last: Column) -> Column:
+    """First and last window start for which each hit counts; ``hits`` are in order of shingle and place."""
 
+    def run(hit: Column, n: Column) -> Column:
+        later = F.get(hits, n + hit["times"])
+        until = F.when(later["hash"] == hit["hash"], later["at"] - width)
+        return F.struct(
+            F.greatest(hit["at"] - width + 1, F.lit(0)).alias("first"), F.least(hit["at"], until, last).alias("last")
+        )
 
-def _first_agreement(left: Column, right: Column, block: Column) -> Column:
-    """Whether no earlier block agrees, so that a pair comes out once."""
-    earlier = F.sequence(F.lit(0), block - 1)
-    return (block == 0) | F.forall(earlier, lambda b: _block(left, b) != _block(right, b))
+    return F.filter(F.transform(hits, run), lambda r: r["first"] <= r["last"])
 
 
-def _shared(left: Column, right: Column) -> Column:
-    """Common shingles, each as often as the side that has fewer of it; counted at length only if some repeat."""
-    times = lambda side, h: F.size(F.filter(side, lambda other: other == h))
-    common = F.array_intersect(left, right)
-    repeats = (F.size(F.array_distinct(left)) < F.size(left)) & (F.size(F.array_distinct(right)) < F.size(right))
-    counted = F.aggregate(common, F.lit(0), lambda total, h: total + F.least(times(left, h), times(right, h)))
-    return F.when(repeats, counted).otherwise(F.size(common))
+def _best_window(runs: Column) -> Column:
+    """The most runs that hold one window start, and the first such start."""
+    opened = F.transform(runs, lambda r: F.struct(r["first"].alias("at"), F.lit(1).alias("step")))
+    closed = F.transform(runs, lambda r: F.struct((r["last"] + 1).alias("at"), F.lit(-1).alias("step")))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("both"), F.lit(0).alias("at"))
 
+    def move(found: Column, event: Column) -> Column:
+        now = found["now"] + event["step"]
+        better = now > found["both"]
+        return F.struct(
+            now.alias("now"),
+            F.when(better, now).otherwise(found["both"]).alias("both"),
+            F.when(better, event["at"]).otherwise(found["at"]).alias("at"),
+        )
 
-def _seeds_needed(size: Column, stride: Column) -> Column:
-    """Seeds that a window of ``size`` shingles holds at least if it is similar enough."""
-    tested = F.floor(size / stride)
-    return F.greatest(tested - F.floor(size * (100 - PERCENT) / 100), F.lit(1))
+    return F.aggregate(F.array_sort(F.concat(opened, closed)), start, move)
 
 
 def find_passages(
@@ -94,7 +82,7 @@ def find_passages(
 ) -> DataFrame:
     """One row per document and item that it holds: ``doc_id``, ``item_id``, ``similarity``, ``start_word``.
 
-    The similarity is that of the best window found, its start the first with that similarity, counted in words
+    The similarity is that of the best of all windows, its start the first with that similarity, counted in words
     from 0. It is at least 0.8.
 
     Null and empty texts hold nothing, and items of fewer than five words have no shingle and match nothing. A
@@ -109,17 +97,15 @@ def find_passages(
         "_item_id", F.transform(positions, lambda at: _shingle(F.col("_w"), at)).alias("_item_hashes")
     ).distinct()
     items = items.select(
-        "_item_id",
-        "_item_hashes",
-        F.size("_item_hashes").alias("_size"),
-        _simhash(F.col("_item_hashes")).alias("_item_print"),
+        "_item_id", row_key(F.col("_item_hashes")).alias("_item"), F.size("_item_hashes").alias("_size"), "_item_hashes"
     )
     items = stage(items, "benchmark-items").df
     stride = items.agg(
         F.coalesce(F.when(F.min("_size") < LONG, F.lit(1)).otherwise(F.lit(STRIDE)), F.lit(STRIDE)).alias("_stride")
     ).scalar()
-    laid = items.select("_size", F.posexplode("_item_hashes").alias("_at", "_hash")).distinct()
-    laid = laid.groupBy("_size", "_hash").agg(F.collect_set("_at").alias("_ats"))
+    offered = items.select("_item_id", "_item", "_size", F.explode("_item_hashes").alias("_hash"))
+    offered = offered.groupBy("_item_id", "_item", "_size", "_hash").agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    laid = offered.select("_size", "_hash").distinct()
 
     text = F.col(text_col)
     cut = docs.select(F.col(id_col).alias("_id"), row_key(text).alias("_row"), _words(text).alias("_w"), stride.alias("_stride"))
@@ -128,52 +114,31 @@ def find_passages(
         F.sequence(F.lit(0), F.size("_w") - WORDS, F.col("_stride")), lambda at: _shingle(F.col("_w"), at)
     )
     seeds = cut.select("_id", "_row", "_stride", F.posexplode(tested).alias("_n", "_hash"))
-    hits = seeds.join(laid, "_hash").select(
-        "_id", "_row", "_size", "_stride", (F.col("_n") * F.col("_stride")).alias("_p"), "_ats"
-    )
-    found = hits.groupBy("_id", "_row", "_size", "_stride").agg(
-        F.count_distinct("_p").alias("_seeds"),
-        F.array_distinct(
-            F.flatten(F.collect_set(F.transform("_ats", lambda at: F.col("_p") - at)))
-        ).alias("_starts"),
-    )
+    hits = seeds.join(laid, "_hash")
+    found = hits.groupBy("_id", "_row", "_size", "_stride").agg(F.count_distinct("_n").alias("_seeds"))
     found = found.where(F.col("_seeds") >= _seeds_needed(F.col("_size"), F.col("_stride")))
-    found = stage(found.drop("_seeds", "_stride"), "seeds").df.withColumnsRenamed({"_id": "_of", "_row": "_of_row"})
+    found = found.groupBy(F.col("_id").alias("_of"), F.col("_row").alias("_of_row")).agg(F.collect_set("_size").alias("_sizes"))
+    found = stage(found, "seeds").df
 
     whole = docs.select(F.col(id_col).alias("_id"), row_key(text).alias("_row"), text.alias("_text"))
     met = whole.join(found, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_row") == F.col("_of_row")))
-    met = met.select("_id", "_size", "_starts", _words(F.col("_text")).alias("_w"))
-    last = F.greatest(F.size("_w") - WORDS + 1 - F.col("_size"), F.lit(0))
-    starts = F.array_distinct(F.transform("_starts", lambda at: F.least(F.greatest(at, F.lit(0)), last)))
-    windows = met.select("_id", "_size", "_w", F.explode(starts).alias("_start"))
-    end = F.least(F.col("_start") + F.col("_size"), F.size("_w") - WORDS + 1) - 1
-    windows = windows.select(
-        "_id",
-        "_size",
-        "_start",
-        F.transform(F.sequence(F.col("_start"), end), lambda at: _shingle(F.col("_w"), at)).alias("_hashes"),
-    )
-    windows = windows.withColumn("_print", _simhash(F.col("_hashes")))
-    windows = stage(windows, "windows").df
-
-    asked = windows.withColumn("_block", _blocks())
-    asked = asked.withColumn("_bits", _block(F.col("_print"), F.col("_block")))
-    offered = items.withColumn("_block", _blocks())
-    offered = offered.withColumn("_bits", _block(F.col("_item_print"), F.col("_block")))
-    near = asked.join(offered, ["_size", "_block", "_bits"]).where(
-        (F.bit_count(F.col("_print").bitwiseXOR(F.col("_item_print"))) <= RADIUS)
-        & _first_agreement(F.col("_print"), F.col("_item_print"), F.col("_block"))
+    met = met.select("_id", "_row", "_sizes", _words(F.col("_text")).alias("_w"))
+    places = F.transform(F.sequence(F.lit(0), F.size("_w") - WORDS), lambda at: _shingle(F.col("_w"), at))
+    asked = met.select(
+        "_id", "_row", "_sizes", (F.size("_w") - WORDS + 1).alias("_all"), F.posexplode(places).alias("_at", "_hash")
     )
-    shared = near.select(
-        "_id",
-        "_item_id",
-        "_start",
-        _shared(F.col("_hashes"), F.col("_item_hashes")).alias("_both"),
-        (F.size("_hashes") + F.size("_item_hashes")).alias("_sum"),
+    shared = asked.join(offered, "_hash").where(F.array_contains("_sizes", F.col("_size")))
+    hit = F.struct(F.col("_hash").alias("hash"), F.col("_at").alias("at"), F.col("_times").alias("times"))
+    # A set, as rows may repeat an id with its text.
+    pairs = shared.groupBy("_id", "_row", "_all", "_item_id", "_item", "_size").agg(
+        F.array_sort(F.collect_set(hit)).alias("_hits")
     )
-    shared = shared.withColumn("_all", F.col("_sum") - F.col("_both"))
-    similar = shared.where(100 * F.col("_both") >= PERCENT * F.col("_all"))
-    best = F.max(F.struct((F.col("_both") / F.col("_all")).alias("s"), (-F.col("_start")).alias("at")))
+    width = F.least("_size", "_all")
+    pairs = pairs.withColumn("_window", _best_window(_runs(F.col("_hits"), width, F.col("_all") - width)))
+    pairs = pairs.select("_id", "_item_id", "_window.both", "_window.at", (width + F.col("_size")).alias("_sum"))
+    pairs = pairs.withColumn("_union", F.col("_sum") - F.col("both"))
+    similar = pairs.where(100 * F.col("both") >= PERCENT * F.col("_union"))
+    best = F.max(F.struct((F.col("both") / F.col("_union")).alias("s"), (-F.col("at")).alias("at")))
     return (
         similar.groupBy("_id", "_item_id")
         .agg(best.alias("_best"))

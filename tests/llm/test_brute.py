@@ -139,6 +139,30 @@ def test_passages(spark):
         assert set(window[:9]) & set(words_of(items[r.item_id]))
 
 
+def moved_case():
+    """Items whose parts stand in another order, inside longer documents."""
+    items = {n: prose(400 + n, 40 + 25 * n) for n in range(6)} | {6: "over again " * 8 + prose(410, 60)}
+    docs = []
+    for n, text in items.items():
+        words = text.split(" ")
+        for cut in (4, 3, 2):
+            at = len(words) // cut
+            for parts in ((words[at:], words[:at]), (words[at : 2 * at], words[:at], words[2 * at :])):
+                docs.append(f"{prose(500 + n, 31 + cut)} {' '.join(sum(parts, []))} {prose(600 + n, 40)}")
+                docs.append(f"{prose(700 + n, 90)} {edited(' '.join(sum(parts, [])), n, 1)}")
+        docs.append(f"{text} {prose(800 + n, 20)} {' '.join(words[20:] + words[:20])}")
+    return docs, items
+
+
+def test_passages_with_parts_moved(spark):
+    texts, items = moved_case()
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    found = decontaminate.find_passages(as_docs(spark, texts), bench).collect()
+    plain = passages(dict(enumerate(texts)), items)
+    assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(plain)
+    assert len(plain) > 30
+
+
 # Packing
 
 
