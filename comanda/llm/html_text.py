@@ -5,7 +5,8 @@ would: full weight for blocks of their own, less for those of inner containers,
 named by its generalised path of tags and classes. Spark sums the pages' votes per host and path, the path with
 the most votes wins, and the pages are read again at the winning path of their host. A page that lacks it falls
 back on its own best container. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out by tag, role and class on the way.
+reader comments are left out by tag, role and class on the way. A class or id counts by its whole words or the word it
+begins with, and not where the page's main text stands inside the element that has it.
 """
 
 from __future__ import annotations
@@ -27,11 +28,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW_TEXT = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = frozenset(
     "head nav header footer aside form script style noscript template iframe button select option textarea "
-    "input svg math canvas object dialog menu title datalist audio video".split()
+    "input canvas dialog menu title datalist audio video".split()
 )
 CONTAINERS = frozenset("body main article section div td".split())
+FOREIGN = frozenset("svg math".split())
+# Tags that end an svg or math element left open.
+BREAKOUT = frozenset("article blockquote body div dl h1 h2 h3 h4 h5 h6 li main ol p pre section table ul".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
+    "svg math object a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
 # What a start tag closes if it is open further in: (tags, those at which the search stops).
@@ -52,6 +56,10 @@ DROPPED_WORDS = frozenset(
     "comment comments disqus respond share sharing social related recommended breadcrumb breadcrumbs newsletter "
     "subscribe subscription popup modal overlay widget pagination pager toolbar login signup skip".split()
 )
+# Where a header is that of the article, not of the site.
+ARTICLE_TAGS, ARTICLE_WORDS = frozenset("article main section".split()), frozenset("article post entry story".split())
+# Words before a dropped word that make it no less the site's: site-header.
+SITE_WORDS = frozenset("site global".split())
 CONTENT_WORDS = frozenset("content article post entry story text body main".split())
 
 TAG = re.compile(
@@ -63,6 +71,7 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[a-z]+")
 INNER_WEIGHT = 0.5
+HELD_BONUS = 0.5
 VOTE_SHARE = 0.3
 
 
@@ -91,6 +100,31 @@ class Open:
     container: Container | None
     dropped: bool
     link: bool
+    named: Named | None = None  # the innermost element that a class or id marks
+    anchor: Anchor | None = None
+    article: bool = False
+    code: bool = False
+    foreign: bool = False
+
+
+@dataclass
+class Named:
+    """An element that a class or id marks as no article, the one around it, and the text that stands in no inner one."""
+
+    place: int
+    parent: Named | None
+    depth: int
+    chars: int = 0
+
+
+@dataclass
+class Anchor:
+    """An element that is likely to hold the main text, inside a marked one or not."""
+
+    rank: int  # 0 main, 1 article, 2 by name
+    named: Named | None
+    parent: Anchor | None
+    chars: int = 0
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -100,17 +134,36 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _is_dropped(tag: str, attributes: dict[str, str]) -> bool:
-    if tag in DROPPED or attributes.get("role", "").lower() in DROPPED_ROLES:
+def _is_dropped(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether tag, role or state say that an element is no part of the article."""
+    if tag in DROPPED and not (tag == "header" and in_article):
         return True
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
+    if attributes.get("role", "").lower() in DROPPED_ROLES:
         return True
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
         return True
-    if tag in ("body", "html", "main", "article"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not DROPPED_WORDS.isdisjoint(NAME_PART.findall(names))
+    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _roles(attributes: dict[str, str]) -> set[str]:
+    """What the class and id names begin with."""
+    roles = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        parts = NAME_PART.findall(name)
+        if parts:
+            roles.add(parts[1] if parts[0] in SITE_WORDS and len(parts) > 1 else parts[0])
+    return roles
+
+
+def _anchor_rank(tag: str, attributes: dict[str, str], roles: set[str]) -> int | None:
+    role = attributes.get("role", "").lower()
+    if "main" in (tag, role):
+        return 0
+    if not DROPPED_WORDS.isdisjoint(roles):
+        return None
+    if "article" in (tag, role):
+        return 1
+    return 2 if tag in CONTAINERS and not CONTENT_WORDS.isdisjoint(roles) else None
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -130,9 +183,18 @@ class Page:
     """The containers of a page in page order, each with the blocks of all its depth."""
 
     def __init__(self, html: str):
+        self.held: set[int] = set()
+        self.read(html)
+        self.held = self.holders()
+        if self.held:
+            self.read(html)
+
+    def read(self, html: str) -> None:
         root = Container("html", 0.5, None)
         self.containers = [root]
         self.stack = [Open("html", "html", root, False, False)]
+        self.anchors: list[Anchor] = []
+        self.marked = self.kept_chars = 0
         self.words: list[str] = []
         self.link_chars = 0
         at = mark = 0
@@ -160,11 +222,46 @@ class Page:
 
     def text(self, raw: str) -> None:
         here = self.stack[-1]
-        if raw and not here.dropped:
+        if not raw or here.dropped:
+            return
+        if not here.link:
+            chars = len(raw.strip())
+            if here.named:
+                here.named.chars += chars
+            else:
+                self.kept_chars += chars
+            if here.anchor and here.anchor.named is here.named:
+                here.anchor.chars += chars
+        if not here.named:
             self.words.append(raw)
             if here.link:
                 self.link_chars += len(raw.strip())
 
+    def holders(self) -> set[int]:
+        """Places of the marked elements that hold the main text, so that they stay.
+
+        Those are the ones around ``main``, and around an article with more text than is kept without it. A name
+        counts like an article where no other sign of the main text is kept.
+        """
+        for anchor in reversed(self.anchors):  # inner ones first
+            if anchor.parent and anchor.parent.named is anchor.named:
+                anchor.parent.chars += anchor.chars
+        held: set[int] = set()
+        kept, found = self.kept_chars, any(a.named is None and a.chars for a in self.anchors)
+        by_level: dict[tuple[bool, int, int], list[Anchor]] = {}  # main first, then the outer ones
+        for anchor in self.anchors:
+            if anchor.named and anchor.chars:
+                by_level.setdefault((anchor.rank > 0, anchor.named.depth, anchor.rank), []).append(anchor)
+        for (*_, rank), level in sorted(by_level.items(), key=lambda pair: pair[0]):
+            chosen = [a for a in level if rank == 0 or (a.chars > kept and not (rank == 2 and found))]
+            for anchor in chosen:
+                found, named = True, anchor.named
+                while named and named.place not in held:
+                    held.add(named.place)
+                    kept += named.chars
+                    named = named.parent
+        return held
+
     def flush(self) -> None:
         """Ends the block: its text goes to the nearest container and to those around it."""
         if not self.words:
@@ -187,24 +284,56 @@ class Page:
     def begin(self, tag: str, rest: str) -> None:
         if tag == "html":
             return
+        if self.stack[-1].foreign and tag in BREAKOUT:
+            while self.stack[-1].foreign:
+                self.stack.pop()
+        if tag == "br" or (tag == "text" and self.stack[-1].foreign):
+            self.space()
         if tag == "br":
-            if not self.stack[-1].dropped:
-                self.words.append(" ")
             return
-        if tag not in INLINE:
+        foreign = self.stack[-1].foreign or tag in FOREIGN
+        if tag not in INLINE and not foreign:
             self.flush()
             self.close_before(tag)
+        if foreign and rest.rstrip().endswith("/"):
+            return
         if tag in VOID:
             return
         attributes = _attributes(rest) if rest.strip() else {}
         above = self.stack[-1]
-        dropped = above.dropped or _is_dropped(tag, attributes)
+        dropped = above.dropped or _is_dropped(tag, attributes, above.article)
+        named, anchor, held = above.named, above.anchor, False
+        article = above.article or tag in ARTICLE_TAGS
+        if attributes and not dropped:
+            roles = _roles(attributes)
+            article = article or not ARTICLE_WORDS.isdisjoint(roles)
+            marks = DROPPED_WORDS.intersection(roles)
+            if above.article:
+                marks -= {"header"}
+            if marks and not above.code and tag not in ("body", "html", "main", "article"):
+                held = self.marked in self.held
+                if not held:
+                    named = Named(self.marked, named, named.depth + 1 if named else 1)
+                self.marked += 1
+        if not dropped and (tag in CONTAINERS or "role" in attributes):
+            rank = _anchor_rank(tag, attributes, _roles(attributes))
+            if rank is not None:
+                anchor = Anchor(rank, named, anchor)
+                self.anchors.append(anchor)
         step = f"{above.step}>{_step(tag, attributes)}"
         container = above.container
-        if tag in CONTAINERS and not dropped:
-            container = Container(step, _bonus(tag, attributes), above.container)
+        if tag in CONTAINERS and not dropped and not named:
+            bonus = _bonus(tag, attributes) * (HELD_BONUS if held else 1)
+            container = Container(step, bonus, above.container)
             self.containers.append(container)
-        self.stack.append(Open(tag, step, container, dropped, above.link or tag == "a"))
+        link, code = above.link or tag == "a", above.code or tag in ("pre", "code")
+        inside = foreign and tag != "foreignobject"
+        self.stack.append(Open(tag, step, container, dropped, link, named, anchor, article, code, inside))
+
+    def space(self) -> None:
+        here = self.stack[-1]
+        if not here.dropped and not here.named:
+            self.words.append(" ")
 
     def close_before(self, tag: str) -> None:
         """Ends what a start tag ends without saying so: an open paragraph, list item or cell."""
@@ -220,7 +349,9 @@ class Page:
     def end(self, tag: str) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth].tag == tag:
-                if tag not in INLINE:
+                if tag == "text" and self.stack[depth].foreign:
+                    self.space()
+                if tag not in INLINE and not self.stack[depth].foreign:
                     self.flush()
                 del self.stack[depth:]
                 return

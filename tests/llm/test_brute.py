@@ -386,6 +386,31 @@ def test_page_text():
     assert max(page.votes(), key=page.votes().get) == "html>body>div.post-"
 
 
+WRAPPERS = ["content-sidebar-wrap", "has-sidebar", "layout no-sidebar", "sidebar", "widget-page menu"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+@pytest.mark.parametrize("inner", ["main", "article", "div class='post'"])
+def test_wrappers_with_layout_classes_keep_the_page(name, inner):
+    text, more = prose(1, 60), prose(2, 15)
+    end = inner.split()[0]
+    page = html_text.Page(
+        f"<body><div class='sidebar'><p>Side</p></div><div class='{name}'><{inner}><p>{text}</p><div class='related'>"
+        f"<article><p>{more}</p></article></div></{end}><div class='comments'><p>{prose(3, 90)}</p></div></div></body>"
+    )
+    assert page.article(max(page.votes(), key=page.votes().get)) == text
+
+
+def test_parts_of_the_article_stay():
+    page = html_text.Page(
+        "<body><header>Site</header><div class='site-header'>Name</div><article><header><h1>Head</h1></header>"
+        "<div class='entry-header'>By line</div><pre><code>x <span class='token comment'># why</span></code></pre>"
+        "<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> see <svg><g/><text>Fig</text></svg> or <svg/>"
+        "<object>the file</object>.</p><div class='ad-box'>Buy</div></article></body>"
+    )
+    assert page.article(None) == "Head\nBy line\nx # why\nIf x=2 see Fig or the file."
+
+
 def test_the_path_of_the_host_wins(spark):
     usual = "<body><div class='main-text'><p>{0}</p></div><div class='extra'><p>{1}</p></div></body>"
     pages = [(n, "http://h.org/x", usual.format(prose(n, 50), prose(n + 90, 5))) for n in range(5)]
