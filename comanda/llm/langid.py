@@ -2,8 +2,9 @@
 
 Each language is known by a bounded sample of its text, held as a suffix automaton. An unseen text is parsed from
 left to right into the longest phrases that occur in that sample; the fewer phrases it needs, normalised to bits
-a character, the closer the language. A language's automaton becomes one dense table from (state, letter) to the
-next state with a mark where a phrase ends, so numpy steps through many pieces of text at a time.
+a character, the closer the language. A language's automaton becomes a dense table from (state, letter) to the next
+state with a mark where a phrase ends, and a sorted list of edges for the rarer letters of a large alphabet, so numpy
+steps through many pieces of text at a time. Every letter of a sample is told apart.
 
 The fit collects whole texts of a documented bound; predictions read whole texts of every document and nothing
 but the text.
@@ -27,8 +28,8 @@ from comanda.llm.common import keep_rows, map_rows
 # or to an equal share of TOTAL_CHARS, which bounds the tables of a worker whatever the number of languages.
 DOCS_PER_LANGUAGE, MAX_TEXT_CHARS, CHARS_PER_LANGUAGE = 96, 20_000, 48_000
 TOTAL_CHARS = 240_000
-# Letters with a class of their own; rarer ones share a class that no phrase contains.
-MAX_LETTERS = 120
+# Letters of a language with a column in its dense table; the edges of its other letters are looked up.
+DENSE_LETTERS = 120
 UNDETERMINED = "und"
 
 # Texts are stepped through in pieces of this many characters; a phrase ends at the end of a piece.
@@ -85,9 +86,7 @@ def fit_languages(
             if sum(map(len, parts)) + len(letters) <= budget:
                 parts.append(letters)
         texts[lang] = " ".join(parts or [min(found, key=len)])
-    common = Counter("".join(texts.values()))
-    common.pop(" ", None)
-    letters = sorted(common, key=lambda c: (-common[c], c))[:MAX_LETTERS]
+    letters = set("".join(texts.values())) - {" "}
     return Samples("".join(sorted(letters)), tuple(sorted(texts.items())))
 
 
@@ -125,7 +124,7 @@ def suffix_automaton(codes: Iterable[int]) -> list[dict[int, int]]:
 @lru_cache(maxsize=2)
 def letter_classes(letters: str) -> np.ndarray:
     """The class of every code point: 0 no letter, 1 and up the known letters, then one for other letters."""
-    classes = np.zeros(0x110000, np.uint8)
+    classes = np.zeros(0x110000, np.uint32)
     other = len(letters) + 1
     known = {c: n for n, c in enumerate(letters, 1)}
     for point in range(0x110000):
@@ -135,26 +134,72 @@ def letter_classes(letters: str) -> np.ndarray:
     return classes
 
 
+@dataclass(frozen=True)
+class Phrases:
+    """A language's automaton. States are multiplied by the width of a row of ``dense``."""
+
+    columns: np.ndarray  # the column of every letter class
+    dense: np.ndarray
+    rare: np.ndarray  # the number of every letter class among the rarer letters, 0 for all others
+    edges: np.ndarray  # state * rares + number, ascending
+    targets: np.ndarray
+    restart: np.ndarray  # by number, the state after a rarer letter that ends a phrase
+    rares: int
+
+    def step(self, state: np.ndarray, column: np.ndarray, rare: np.ndarray | None) -> np.ndarray:
+        """Next states, with a mark where the letter ends the phrase that was open."""
+        step = self.dense.take(state + column)
+        if rare is not None and (rows := np.flatnonzero(rare)).size:
+            number = rare[rows]
+            wanted = state[rows].astype(np.int64) * self.rares + number
+            at = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
+            step[rows] = np.where(self.edges[at] == wanted, self.targets[at], self.restart[number] | PHRASE_END)
+        return step
+
+
 @lru_cache(maxsize=2)
-def phrase_tables(samples: Samples) -> list[np.ndarray]:
-    """Per language the flat table of next states, each already multiplied by the width of a row."""
-    width = len(samples.letters) + 3  # space, letters, other letters, padding
-    code_of = {" ": SPACE_CLASS} | {c: n for n, c in enumerate(samples.letters, 1)}
-    other, padding = width - 2, width - 1
+def phrase_tables(samples: Samples) -> list[Phrases]:
+    classes = {" ": SPACE_CLASS} | {c: n for n, c in enumerate(samples.letters, 1)}
+    padding_class = len(samples.letters) + 2
     tables = []
     for _, text in samples.texts:
-        states = suffix_automaton(code_of.get(c, other) for c in text)
-        restart = np.zeros(width, np.int32)
-        for code, to in states[0].items():
-            restart[code] = to * width
-        restart[other] = 0
-        table = np.tile(restart | PHRASE_END, (len(states), 1))
-        for state, edges in enumerate(states):
-            for code, to in edges.items():
-                if code != other:
-                    table[state, code] = to * width
-            table[state, padding] = state * width
-        tables.append(table.ravel())
+        common = Counter(text)
+        common.pop(" ", None)
+        ordered = [classes[c] for c in sorted(common, key=lambda c: (-common[c], c)) if c in classes]
+        near, far = ordered[:DENSE_LETTERS], ordered[DENSE_LETTERS:]
+        other, padding, width = len(near) + 1, len(near) + 2, len(near) + 3
+        columns = np.full(padding_class + 1, other, np.int32)
+        columns[SPACE_CLASS], columns[padding_class] = 0, padding
+        columns[near] = np.arange(1, other)
+        rares = len(far) + 1
+        rare = np.zeros(padding_class + 1, np.int32)
+        rare[far] = np.arange(1, rares)
+
+        states = suffix_automaton(classes.get(c, padding_class - 1) for c in text)
+        dead = len(states) * width  # after a letter that the sample does not have
+        start = np.zeros(width, np.int32)
+        start[other] = dead
+        far_restart = np.zeros(rares, np.int32)
+        for letter, to in states[0].items():
+            if rare[letter]:
+                far_restart[rare[letter]] = to * width
+            elif columns[letter] != other:
+                start[columns[letter]] = to * width
+        dense = np.tile(start | PHRASE_END, (len(states) + 1, 1))
+        dense[0, other] = dead
+        dense[:, padding] = np.arange(len(states) + 1) * width
+        edges = []
+        for state, following in enumerate(states):
+            for letter, to in following.items():
+                if rare[letter]:
+                    edges.append((state * width * rares + int(rare[letter]), to * width))
+                elif columns[letter] != other:
+                    dense[state, columns[letter]] = to * width
+        edges.sort()
+        found = np.array(edges, np.int64).reshape(-1, 2)
+        tables.append(
+            Phrases(columns, dense.ravel(), rare, found[:, 0].copy(), found[:, 1].astype(np.int32), far_restart, rares)
+        )
     return tables
 
 
@@ -166,21 +211,22 @@ def class_codes(text: str, classes: np.ndarray) -> np.ndarray:
     return codes[stays]
 
 
-def count_phrases(texts: list[np.ndarray], tables: list[np.ndarray], padding: int) -> np.ndarray:
+def count_phrases(texts: list[np.ndarray], tables: list[Phrases], padding: int) -> np.ndarray:
     """Phrases that each text needs in each language, shape (texts, languages)."""
     pieces = [max(1, -(-len(codes) // PIECE)) for codes in texts]
     first = np.concatenate([[0], np.cumsum(pieces)])
-    grid = np.full((first[-1], PIECE), padding, np.uint8)
+    grid = np.full((first[-1], PIECE), padding, np.uint32)
     flat = grid.reshape(-1)
     for codes, at in zip(texts, first):
         flat[at * PIECE : at * PIECE + len(codes)] = codes
-    columns = np.ascontiguousarray(grid.T).astype(np.int32)
+    letters = np.ascontiguousarray(grid.T)
     counts = np.empty((len(texts), len(tables)), np.int64)
     for n, table in enumerate(tables):
         state = np.zeros(grid.shape[0], np.int32)
         ends = np.ones(grid.shape[0], np.int32)  # the phrase open at the end
-        for column in columns:
-            step = table.take(state + column)
+        rare = table.rare[letters] if table.rares > 1 else [None] * PIECE
+        for column, far in zip(table.columns[letters], rare):
+            step = table.step(state, column, far)
             ends += step >> 30
             state = step & (PHRASE_END - 1)
         counts[:, n] = np.add.reduceat(ends, first[:-1])

@@ -332,6 +332,35 @@ def test_phrases_are_the_longest_matches():
     assert found.tolist() == [plain_phrases(t, sample) for t in texts]
 
 
+def scripts():
+    """Samples of three languages of many letters and of one with few, and a generator of texts in each."""
+    rng = random.Random(1)
+    alphabets = [[chr(0x4E00 + 6_000 * n + k) for k in range(2_000)] for n in range(3)]
+    words = [["".join(rng.choices(letters, k=rng.randint(2, 3))) for _ in range(1_500)] for letters in alphabets]
+    texts = lambda n, rng, size: "".join(rng.choices(words[n], k=size))[:size]
+    learned = [(f"l{n}", texts(n, random.Random(n), 12_000)) for n in range(3)] + [("lz", prose(1, 500))]
+    return learned, texts
+
+
+def test_scripts_of_many_letters(spark):
+    learned, texts = scripts()
+    rows = [(n, text[k : k + 2_000], lang, "s", 1) for n in range(9) for lang, text in learned for k in range(0, 12_000, 2_000)]
+    samples = langid.fit_languages(spark.createDataFrame(rows, DOCS))
+    rng = random.Random(7)
+    asked = [(f"l{n}", texts(n, rng, 10)) for n in range(3) for _ in range(40)]
+    found = langid.predict([t for _, t in asked], samples)
+    assert sum(f[0] != lang for f, (lang, _) in zip(found, asked)) == 0
+
+
+def test_phrases_of_rarer_and_unknown_letters():
+    sample = langid.normalised(scripts()[0][0][1][:6_000] + " " + prose(2, 100))
+    samples = langid.Samples("".join(sorted(set(sample) - {" "})), (("a", sample), ("b", prose(1, 50))))
+    texts = [sample[n : n + 90] + sample[2 * n : 2 * n + 60] + "\u03b1" * (n % 3) + sample[n : n + 9] for n in range(0, 800, 50)]
+    codes = [langid.class_codes(t.strip(), langid.letter_classes(samples.letters)) for t in texts]
+    found = langid.count_phrases(codes, langid.phrase_tables(samples), len(samples.letters) + 2)
+    assert found.tolist() == [[plain_phrases(t.strip(), s) for _, s in samples.texts] for t in texts]
+
+
 def test_language_of_documents_held_out(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     found = langid.identify(docs, langid.fit_languages(docs)).join(docs.select("doc_id", "lang", "n_chars"), "doc_id")
