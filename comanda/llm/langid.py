@@ -6,7 +6,7 @@ a character, the closer the language. A language's automaton becomes a dense tab
 state with a mark where a phrase ends, and a sorted list of edges for the rarer letters of a large alphabet, so numpy
 steps through many pieces of text at a time. Every letter of a sample is told apart.
 
-The fit collects whole texts of a documented bound; predictions read whole texts of every document and nothing
+The fit collects texts of a documented bound, beginnings of longer ones where a language has no other; predictions read whole texts of every document and nothing
 but the text.
 """
 
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from comanda.llm.common import keep_rows, map_rows
 
 # Bounds of the fit: texts per language by hash, none longer than MAX_TEXT_CHARS, joined up to CHARS_PER_LANGUAGE
-# or to an equal share of TOTAL_CHARS, which bounds the tables of a worker whatever the number of languages.
+# or to an equal share of TOTAL_CHARS, which bounds the tables of a worker whatever the number of languages. The
+# driver collects at most DRIVER_CHARS, an equal share for each language, and one text more of each.
 DOCS_PER_LANGUAGE, MAX_TEXT_CHARS, CHARS_PER_LANGUAGE = 96, 20_000, 48_000
-TOTAL_CHARS = 240_000
+TOTAL_CHARS, DRIVER_CHARS = 240_000, 9_600_000
 # Letters of a language with a column in its dense table; the edges of its other letters are looked up.
 DENSE_LETTERS = 120
 UNDETERMINED = "und"
@@ -62,23 +63,37 @@ def fit_languages(
     """Samples of every language from documents with a language, a text and an id that training may use.
 
     At most ``DOCS_PER_LANGUAGE`` texts of a language come to the driver, chosen by hash before the shuffle.
-    Whole texts are taken as long as they fit the budget, and the shortest if none does.
+    Whole texts are taken as long as they fit the budget, and the shortest if none does. A language whose texts are
+    all longer than the bound, or than its share of the budget, is learned from their beginnings.
     """
     text = F.col(text_col)
-    known = docs.where(
-        F.col(lang_col).isNotNull()
-        & text.isNotNull()
-        & (F.char_length(text) <= MAX_TEXT_CHARS)
-        & in_training(F.col(id_col))
-    ).select(F.col(lang_col).alias("_lang"), text.alias("_text"), F.xxhash64(id_col, text_col).alias("_order"))
-    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
-    rows = known.withColumn("_place", place).where(F.col("_place") <= DOCS_PER_LANGUAGE).collect()
-    languages = {row["_lang"] for row in rows}
-    budget = min(CHARS_PER_LANGUAGE, TOTAL_CHARS // max(1, len(languages)))
+    known = docs.where(F.col(lang_col).isNotNull() & text.isNotNull() & in_training(F.col(id_col)))
+    languages = max(1, known.select(lang_col).distinct().count())
+    budget = max(1, min(CHARS_PER_LANGUAGE, TOTAL_CHARS // languages))
+    longest = min(MAX_TEXT_CHARS, budget)
+    known = known.select(
+        F.col(lang_col).alias("_lang"),
+        F.substring(text, 1, longest).alias("_text"),
+        (F.char_length(text) > longest).alias("_cut"),
+        F.xxhash64(id_col, text_col).alias("_order"),
+    )
+    by_lang = Window.partitionBy("_lang").orderBy("_cut", "_order", "_text")
+    first = known.withColumn("_place", F.row_number().over(by_lang)).where(F.col("_place") <= DOCS_PER_LANGUAGE)
+    before = F.sum(F.char_length("_text")).over(
+        Window.partitionBy("_lang").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    first = first.withColumn("_before", F.coalesce(before, F.lit(0)))
+    rows = first.where(F.col("_before") < max(1, DRIVER_CHARS // languages)).collect()
     by_language: dict[str, list[str]] = {}
+    whole: set[str] = set()
     for row in sorted(rows, key=lambda r: (r["_lang"], r["_place"])):
+        lang = row["_lang"]
+        if row["_cut"] and lang in whole:
+            continue
         if letters := normalised(row["_text"]):
-            by_language.setdefault(row["_lang"], []).append(letters)
+            by_language.setdefault(lang, []).append(letters)
+            if not row["_cut"]:
+                whole.add(lang)
     texts = {}
     for lang, found in by_language.items():
         parts: list[str] = []

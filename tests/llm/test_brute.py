@@ -361,6 +361,20 @@ def test_phrases_of_rarer_and_unknown_letters():
     assert found.tolist() == [[plain_phrases(t.strip(), s) for _, s in samples.texts] for t in texts]
 
 
+def test_a_language_of_long_texts_only_is_learned(spark):
+    long = {lang: prose(seed, 9_000) for lang, seed in (("xx", 5), ("yy", 6))}
+    rows = [(n, t, lang, "s", 1) for n in range(3) for lang, t in long.items()] + doc_rows([prose(n, 40) for n in range(9)], "zz")
+    samples = langid.fit_languages(spark.createDataFrame(rows, DOCS))
+    assert [lang for lang, _ in samples.texts] == ["xx", "yy", "zz"]
+    assert all(long[lang].startswith(t[:1_000]) for lang, t in samples.texts if lang in long)
+
+
+def test_many_languages_stay_within_the_budget(spark):
+    rows = [(n, prose(n, 3_000), f"l{n % 60}", "s", 1) for n in range(240)]
+    samples = langid.fit_languages(spark.createDataFrame(rows, DOCS))
+    assert len(samples.texts) == 60 and sum(len(t) for _, t in samples.texts) <= langid.TOTAL_CHARS
+
+
 def test_language_of_documents_held_out(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     found = langid.identify(docs, langid.fit_languages(docs)).join(docs.select("doc_id", "lang", "n_chars"), "doc_id")
