@@ -33,8 +33,8 @@ TOTAL_CHARS, DRIVER_CHARS = 240_000, 9_600_000
 DENSE_LETTERS = 120
 UNDETERMINED = "und"
 
-# Texts are stepped through in pieces of this many characters; a phrase ends at the end of a piece.
-PIECE = 512
+# Texts are stepped through in pieces of this many characters, so many at a time; phrases go on from piece to piece.
+PIECE, PIECES = 512, 4096
 PHRASE_END = 1 << 30
 SPACE_CLASS = 0
 
@@ -226,25 +226,57 @@ def class_codes(text: str, classes: np.ndarray) -> np.ndarray:
     return codes[stays]
 
 
+def _walk(table: Phrases, letters: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Phrases ended in each piece. ``letters`` holds a piece in each column; ``begins`` marks those that begin a text.
+
+    All pieces are first read as if a phrase began with them. Then those after another are read again from the state
+    in which that one ended, up to the letter where both readings are in one state, from which they agree. A piece
+    whose end has changed by that passes its new end on.
+    """
+    columns = table.columns[letters]
+    rare = table.rare[letters] if table.rares > 1 else [None] * PIECE
+    steps = np.empty(columns.shape, np.int32)
+    state = np.zeros(columns.shape[1], np.int32)
+    for n, (column, far) in enumerate(zip(columns, rare)):
+        steps[n] = table.step(state, column, far)
+        state = steps[n] & (PHRASE_END - 1)
+    inner = np.flatnonzero(~begins)
+    entered = np.zeros(columns.shape[1], np.int32)
+    while (rows := inner[state[inner - 1] != entered[inner]]).size:
+        now = entered[rows] = state[rows - 1]
+        for n in range(PIECE):
+            step = table.step(now, columns[n, rows], None if rare[n] is None else rare[n][rows])
+            now = step & (PHRASE_END - 1)
+            parts = now != (steps[n, rows] & (PHRASE_END - 1))
+            steps[n, rows] = step
+            rows, now = rows[parts], now[parts]
+            if not rows.size:
+                break
+        state[rows] = now
+    return (steps >> 30).sum(axis=0, dtype=np.int64)
+
+
 def count_phrases(texts: list[np.ndarray], tables: list[Phrases], padding: int) -> np.ndarray:
     """Phrases that each text needs in each language, shape (texts, languages)."""
+    counts = np.ones((len(texts), len(tables)), np.int64)  # the phrase open at the end
     pieces = [max(1, -(-len(codes) // PIECE)) for codes in texts]
-    first = np.concatenate([[0], np.cumsum(pieces)])
-    grid = np.full((first[-1], PIECE), padding, np.uint32)
-    flat = grid.reshape(-1)
-    for codes, at in zip(texts, first):
-        flat[at * PIECE : at * PIECE + len(codes)] = codes
-    letters = np.ascontiguousarray(grid.T)
-    counts = np.empty((len(texts), len(tables)), np.int64)
-    for n, table in enumerate(tables):
-        state = np.zeros(grid.shape[0], np.int32)
-        ends = np.ones(grid.shape[0], np.int32)  # the phrase open at the end
-        rare = table.rare[letters] if table.rares > 1 else [None] * PIECE
-        for column, far in zip(table.columns[letters], rare):
-            step = table.step(state, column, far)
-            ends += step >> 30
-            state = step & (PHRASE_END - 1)
-        counts[:, n] = np.add.reduceat(ends, first[:-1])
+    at = 0
+    while at < len(texts):
+        end, total = at + 1, pieces[at]
+        while end < len(texts) and total + pieces[end] <= PIECES:
+            total += pieces[end]
+            end += 1
+        first = np.concatenate([[0], np.cumsum(pieces[at:end])])
+        grid = np.full((total, PIECE), padding, np.uint32)
+        flat = grid.reshape(-1)
+        for codes, piece in zip(texts[at:end], first):
+            flat[piece * PIECE : piece * PIECE + len(codes)] = codes
+        letters = np.ascontiguousarray(grid.T)
+        begins = np.zeros(total, bool)
+        begins[first[:-1]] = True
+        for n, table in enumerate(tables):
+            counts[at:end, n] += np.add.reduceat(_walk(table, letters, begins), first[:-1])
+        at = end
     return counts
 
 

@@ -361,6 +361,17 @@ def test_phrases_of_rarer_and_unknown_letters():
     assert found.tolist() == [[plain_phrases(t.strip(), s) for _, s in samples.texts] for t in texts]
 
 
+@pytest.mark.parametrize("group", [4, 4096])
+def test_phrases_go_on_from_piece_to_piece(monkeypatch, group):
+    monkeypatch.setattr(langid, "PIECES", group, raising=False)
+    sample = langid.normalised(prose(1, 300)) + " " + "a" * 700
+    samples = langid.Samples("".join(sorted(set(sample) - {" "})), (("a", sample), ("b", prose(2, 90))))
+    texts = [prose(n, 90 * n + 1) for n in range(1, 9)] + [sample[5:], "", "a" * 3_000, sample + "zq" * 300 + sample]
+    codes = [langid.class_codes(t, langid.letter_classes(samples.letters)) for t in texts]
+    found = langid.count_phrases(codes, langid.phrase_tables(samples), len(samples.letters) + 2)
+    assert found.tolist() == [[max(1, plain_phrases(t, s)) for _, s in samples.texts] for t in texts]
+
+
 def test_a_language_of_long_texts_only_is_learned(spark):
     long = {lang: prose(seed, 9_000) for lang, seed in (("xx", 5), ("yy", 6))}
     rows = [(n, t, lang, "s", 1) for n in range(3) for lang, t in long.items()] + doc_rows([prose(n, 40) for n in range(9)], "zz")
