@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, html_text, langid, line_dedup, near_dup, packing, pii, quality_rules, url_filter, warc
+from comanda.llm import decontaminate, html_text, langid, line_dedup, merkle, near_dup, packing, pii, quality_rules, url_filter, warc
 from comanda.llm.common import table
 from comanda.staging import stage_path
 
@@ -77,6 +77,27 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.fit_languages(docs))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+
+    def leaf(text: Column) -> Column:
+        return merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    changed = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, leaf(F.col("text")), carry=[leaf(changed).alias("given")])
+    found = found.withColumn("folded_root", merkle.fold(F.col("given"), F.col("left"), F.col("right")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("left"), F.col("right")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -88,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 OP2_SQL = r"""
