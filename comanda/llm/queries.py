@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import decontaminate, html_text, langid, line_dedup, merkle, near_dup, packing, pii, quality_rules, url_filter, warc
+from comanda.llm import conversations, decontaminate, html_text, langid, line_dedup, merkle, near_dup, packing, pii, quality_rules, url_filter, warc
 from comanda.llm.common import table
 from comanda.staging import stage_path
 
@@ -77,6 +78,19 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, langid.fit_languages(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    report, repaired = conversations.repair(conversations.damage(given))
+    digests = conversations.conversation_digests(repaired).withColumnRenamed("conv_id", "_of")
+    found = report.join(digests, F.col("conv_id").eqNullSafe(F.col("_of")), "left").drop("_of")
+    every = given.select(F.col("conv_id").alias("_conv")).distinct()
+    whole = every.join(found, F.col("_conv").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_conv").alias("conv_id"), *found.columns[1:]
+    )
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return whole.na.fill({c: 0 for c in counts} | {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()})
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
 
@@ -109,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
