@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import conversations, decontaminate, html_text, langid, line_dedup, merkle, near_dup, packing, pii, quality_rules, url_filter, warc
+from comanda.llm import conversations, decontaminate, html_text, langid, line_dedup, merkle, near_dup, packing, pii, quality_rules, url_filter, vantage, warc
 from comanda.llm.common import table
 from comanda.staging import stage_path
 
@@ -112,6 +112,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_vantage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vantage.near_fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -125,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_vantage_dedup": op13_vantage_dedup,
 }
 
 OP2_SQL = r"""
