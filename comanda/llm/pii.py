@@ -1,14 +1,17 @@
 """Personal data in texts: patterns propose, checksums confirm, context scores.
 
 Patterns propose spans per kind, leftmost and without overlap. Confirmation is a rule of the kind: parts of an
-address at most 255, Luhn for cards, a count of digits for phones, mod 97 for bank accounts. What passes has a
+address at most 255, Luhn for cards, a count of digits for phones, mod 97 for bank accounts, the entropy of a
+credential's characters. What passes has a
 base score, which words near the span raise. The four base kinds stay whatever their score; the further kinds
 count from a score of ``MIN_SCORE``.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -31,6 +34,11 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Further kinds: bank accounts (mod 97) and nine-digit identity numbers in three groups.
 IBAN = r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b"
 IDENTITY = r"\b(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}\b"
+# Credentials: long runs of one alphabet (base64, its form for addresses, hexadecimal).
+CREDENTIAL = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+# Bits a character that a run of one alphabet must have; random ones of 20 characters lie above, words below.
+HEX_BITS, BASE64_BITS = 2.5, 3.6
+HEX = re.compile("[0-9A-Fa-f]+")
 
 DIGITS = re.compile("[0-9]")
 
@@ -60,6 +68,19 @@ def _iban(found: str) -> bool:
     return 15 <= len(account) <= 34 and mod97(account)
 
 
+def entropy(found: str) -> float:
+    """Bits a character by the counts of the characters."""
+    return -sum(n / len(found) * math.log2(n / len(found)) for n in Counter(found).values())
+
+
+def _credential(found: str) -> bool:
+    """Letters and digits mixed as by chance."""
+    found = found.rstrip("=")
+    if not DIGITS.search(found) or not re.search("[A-Za-z]", found):
+        return False
+    return entropy(found) >= (HEX_BITS if HEX.fullmatch(found) else BASE64_BITS)
+
+
 _NAME_CHARS = frozenset(c for c in map(chr, range(128)) if re.fullmatch(EMAIL_NAME, c))
 _HOST = re.compile(EMAIL_HOST)
 
@@ -125,6 +146,14 @@ KINDS = (
         0.4,
         _words("social", "security", "ssn", "identity", "tax"),
     ),
+    Kind(
+        "credential",
+        _matches(CREDENTIAL),
+        _credential,
+        "0123456789",
+        0.4,
+        _words("token", "secret", "passw", r"\bpwd\b", "credential", "bearer", r"\bauth", r"(api|access|private|account)[\s_-]?key"),
+    ),
 )
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +24,9 @@ from comanda.staging import stage
 BREAK = "\r\n"
 # Payloads below this size are stored in every record, never as revisits.
 MIN_REVISIT_BYTES = 1_000
-# Records in one file: bounds what a reading task holds.
-RECORDS_PER_FILE = 12_000
+# Bytes of records in one file, before compression: bounds what a reading task holds. A larger record has a file
+# of its own.
+FILE_BYTES = 64 * 1024**2
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURED = ("response", "revisit")
 
