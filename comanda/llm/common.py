@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # The white space of the word definition, and the two alphabets.
 SPACE = " \t\n\x0b\x0c\r"
@@ -71,26 +71,24 @@ def map_rows(
     return df.mapInArrow(run, kinds)
 
 
-def keep_rows(
-    df: DataFrame, column: str, start: Callable[[], Callable[[list], list[bool]]], chunk: int = CHUNK
+def judge_rows(
+    df: DataFrame, column: str, into: str | None, start: Callable[[], Callable[[list], list]], chunk: int = CHUNK
 ) -> DataFrame:
-    """The rows of ``df``, all columns as they are, for which Python says so from one column, without a shuffle.
+    """The rows of ``df`` to which Python gives a value from one column, without a shuffle; those given None go.
 
-    A column named ``_stays`` is lost.
+    The value replaces that of the column ``into``, if one is named. All other columns stay as they are.
     """
-    verdict = "_stays"
-    kinds = StructType([*(f for f in df.schema if f.name != verdict), StructField(verdict, BooleanType())])
-    arrow = to_arrow_schema(kinds)
-    names = [f.name for f in kinds][:-1]
+    arrow = to_arrow_schema(df.schema)
+    names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
             for at in range(0, batch.num_rows, chunk):
                 part = batch.slice(at, chunk)
-                stays = pa.array(work(part.column(batch.schema.get_field_index(column)).to_pylist()), pa.bool_())
-                columns = [part.column(batch.schema.get_field_index(name)) for name in names]
-                columns = [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, arrow)]
-                yield pa.RecordBatch.from_arrays([*columns, stays], schema=arrow)
+                given = work(part.column(names.index(column)).to_pylist())
+                columns = [pa.array(given, f.type) if f.name == into else c.cast(f.type) for c, f in zip(part.columns, arrow)]
+                made = pa.RecordBatch.from_arrays(columns, schema=arrow)
+                yield made.filter(pa.array([value is not None for value in given], pa.bool_()))
 
-    return df.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, kinds).where(verdict).drop(verdict)
+    return df.mapInArrow(run, df.schema)

@@ -6,15 +6,15 @@ a character, the closer the language. A language's automaton becomes a dense tab
 state with a mark where a phrase ends, and a sorted list of edges for the rarer letters of a large alphabet, so numpy
 steps through many pieces of text at a time. Every letter of a sample is told apart.
 
-The fit collects texts of a documented bound, beginnings of longer ones where a language has no other; predictions read whole texts of every document and nothing
-but the text.
+The fit collects texts of a documented bound, beginnings of longer ones where a language has no other; predictions
+read whole texts of every document and nothing but the text.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from comanda.llm.common import keep_rows, map_rows
+from comanda.llm.common import judge_rows, map_rows
 
 # Bounds of the fit: texts per language by hash, none longer than MAX_TEXT_CHARS, joined up to CHARS_PER_LANGUAGE
 # or to an equal share of TOTAL_CHARS, which bounds the tables of a worker whatever the number of languages. The
@@ -282,22 +282,27 @@ def count_phrases(texts: list[np.ndarray], tables: list[Phrases], padding: int)
 
 def predict(texts: list[str], samples: Samples) -> list[tuple[str, float]]:
     """Language and score of each text: 0 where two languages fit alike, near 1 where one fits far better."""
+    return [(lang, score) for lang, score, _ in _judged(texts, samples)]
+
+
+def _judged(texts: list[str], samples: Samples) -> list[tuple[str, float, bool]]:
+    """``predict``, and whether every other language needs more phrases than the one predicted."""
     classes, tables = letter_classes(samples.letters), phrase_tables(samples)
     if not tables:
-        return [(UNDETERMINED, 0.0)] * len(texts)
+        return [(UNDETERMINED, 0.0, False)] * len(texts)
     codes = [class_codes(text, classes) for text in texts]
     counts = count_phrases(codes, tables, len(samples.letters) + 2)
     weights = np.array([math.log2(len(text) + 1) for _, text in samples.texts])
     found = []
     for row, own in zip(counts, codes):
         if not own.size:
-            found.append((UNDETERMINED, 0.0))
+            found.append((UNDETERMINED, 0.0, False))
             continue
         bits = row * weights / len(own)
         best = int(bits.argmin())
         rest = np.delete(bits, best)
         score = 1.0 - float(bits[best] / rest.min()) if rest.size else 1.0
-        found.append((samples.texts[best][0], score))
+        found.append((samples.texts[best][0], score, bool((np.delete(row, best) > row[best]).all())))
     return found
 
 
@@ -328,10 +333,24 @@ def identify(
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, samples: Samples, text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, that have a language; those that are ``und`` go."""
+def keep_identified(
+    docs: DataFrame,
+    samples: Samples,
+    wanted: Collection[str] | None = None,
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The documents in a learned language (one of ``wanted``, if given), with their language as it was read.
+
+    A text that is ``und`` goes, and so does one that another language reads in no more phrases than the one
+    predicted: a few letters that occur everywhere, or letters that no language has. ``lang_col`` takes the predicted
+    language; without such a column the documents are only filtered. All other columns stay.
+    """
+
+    def start() -> Callable[[list], list]:
+        def judged(lang: str, score: float, decided: bool) -> str | None:
+            return lang if decided and (wanted is None or lang in wanted) else None
 
-    def start() -> Callable[[list], list[bool]]:
-        return lambda texts: [lang != UNDETERMINED for lang, _ in predict([t or "" for t in texts], samples)]
+        return lambda texts: [judged(*found) for found in _judged([t or "" for t in texts], samples)]
 
-    return keep_rows(docs, text_col, start)
+    return judge_rows(docs, text_col, lang_col if lang_col in docs.columns else None, start)

@@ -24,9 +24,11 @@ from comanda.staging import stage
 BREAK = "\r\n"
 # Payloads below this size are stored in every record, never as revisits.
 MIN_REVISIT_BYTES = 1_000
-# Bytes of records in one file, before compression: bounds what a reading task holds. A larger record has a file
-# of its own.
-FILE_BYTES = 64 * 1024**2
+# Payload bytes in one file, before compression: bounds what a reading task holds. Pages are written by classes of
+# size, each up to ``CLASS_FACTOR`` times the one before, with as many records a file as their size allows.
+FILE_BYTES = 256 * 1024**2
+CLASS_BYTES, CLASS_FACTOR, CLASSES = 64 * 1024, 8, 6
+RECORDS_PER_PAGE = 3
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURED = ("response", "revisit")
 
@@ -62,7 +64,8 @@ def write_archives(
     Of pages with equal payloads of at least ``MIN_REVISIT_BYTES`` bytes, those with the largest id are responses
     and the others revisit them. A null page is an empty payload. A null id revisits if some page with an id has
     its payload, else it is a response. Rows that repeat an id each get their records. A null url leaves the
-    target out; line breaks in a url are percent-encoded.
+    target out; line breaks in a url are percent-encoded. Small pages share files of ``FILE_BYTES`` of payload at
+    most; a larger page has a file of its own.
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(
@@ -73,8 +76,15 @@ def write_archives(
         F.octet_length(html).alias("_bytes"),
         F.sha1(html).alias("_sha1"),
     )
+    limits = [CLASS_BYTES * CLASS_FACTOR**n for n in range(CLASSES)]
+    size_class = F.lit(CLASSES)
+    for n, limit in reversed(list(enumerate(limits))):
+        size_class = F.when(F.col("_bytes") <= limit, n).otherwise(size_class)
+    rows = rows.withColumn("_class", size_class)
+    thin = stage(rows.select("_page", "_bytes", "_sha1", "_class"), "payload-digests").df
+    held = sorted(r["_class"] for r in thin.select("_class").distinct().collect()) or [0]
     repeated = (
-        rows.where(F.col("_bytes") >= MIN_REVISIT_BYTES)
+        thin.where(F.col("_bytes") >= MIN_REVISIT_BYTES)
         .groupBy("_sha1")
         .agg(F.max("_page").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where((F.col("_n") > 1) & F.col("_first").isNotNull())
@@ -131,10 +141,13 @@ def write_archives(
             ("metadata", "application/warc-fields", fields),
         )
     ]
-    records = rows.select(F.array(capture, *companions).alias("_records")).select(F.explode("_records"))
-    records.write.option("lineSep", BREAK + BREAK).option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE
-    ).text(path)
+    records = rows.select("_class", F.array(capture, *companions).alias("_records"))
+    for turn, n in enumerate(held):
+        pages_a_file = max(1, FILE_BYTES // limits[n]) if n < CLASSES else 1
+        own = records.where(F.col("_class") == n) if len(held) > 1 else records
+        own.select(F.explode("_records")).write.mode("append" if turn else "errorifexists").option(
+            "lineSep", BREAK + BREAK
+        ).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_PAGE * pages_a_file).text(path)
 
 
 def parse_records(content: bytes) -> Iterator[tuple[dict[str, list[str]], bytes]]:
@@ -206,7 +219,11 @@ def assemble_captures(records: DataFrame) -> DataFrame:
     Links count in either direction. A capture without a request has a null one, without metadata an empty
     array; of several requests the greatest stays. Requests and metadata that no capture is linked to give no
     row, nor do records without an id or a type. Repeated links count once.
+
+    The records are stored once, so archives are read and parsed once; read them without payloads if those are
+    not needed. Runs a job.
     """
+    records = stage(records, "records").df
     known = records.where(F.col("record_id").isNotNull() & F.col("record_type").isNotNull())
     captures = known.where(F.col("record_type").isin(*CAPTURED))
     others = known.where(~F.col("record_type").isin(*CAPTURED)).select(

@@ -98,7 +98,7 @@ def test_language(docs):
     assert ids(out) == wanted(docs)
     assert {r.lang_pred for r in out.where("doc_id <= 2 or doc_id = 7").collect()} == {"und"}
     kept = langid.keep_identified(docs, samples)
-    assert set(kept.columns) == set(docs.columns) - {"_stays"}
+    assert kept.columns == docs.columns
     assert ids(kept) == [3, 3, 4, 5, 6, None]
 
 
