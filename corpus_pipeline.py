@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 
 from comanda.llm import decontaminate, langid, line_dedup, near_dup, packing
 from comanda.llm.common import table
-from comanda.staging import stage_path
+from comanda.staging import stage_path, staging_scope
+
+# Languages that the corpus is to hold; None keeps all that were learned.
+LANGUAGES: frozenset[str] | None = None
+# Shingles of two words find copies with scattered edits that five-word shingles miss.
+SHINGLE_WORDS = 2
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; texts that are null or without a letter go."""
-    return langid.keep_identified(docs, langid.fit_languages(docs))
+    """Documents in one of ``LANGUAGES`` (None: any learned one), ``lang`` being the language they are read as.
+
+    Texts that are null or without a letter go, and those that another language reads in no more phrases.
+    """
+    return langid.keep_identified(docs, langid.fit_languages(docs), LANGUAGES)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,17 +38,17 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates (five words, 0.8)."""
-    found = near_dup.near_duplicates(docs)
+    """The document with the smallest id of each group of near-duplicates (two words, 0.8, as in op7)."""
+    found = near_dup.near_duplicates(docs, words=SHINGLE_WORDS)
     kept = found.where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
     leaks = found.select(F.col("doc_id").alias("_leaks")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leaks")), "left_anti")
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leaks"]), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +69,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What the stages before it wrote is deleted once it is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, function in STAGES:
-        path = stage_path(spark, f"pipeline-{name}")
-        function(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    result = stage_path(spark, f"pipeline-{STAGES[-1][0]}")
+    with staging_scope(spark, "pipeline"):
+        for name, function in STAGES:
+            path = result if name == STAGES[-1][0] else stage_path(spark, f"pipeline-{name}")
+            function(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
