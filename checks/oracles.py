@@ -371,11 +371,14 @@ QUERIES = {
     # Sources and sinks
     "extract_roundtrip": "SELECT * FROM raw_items",
     "bronze_promote": "SELECT * FROM raw_dates",
-    "scan_parquet": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+    "gold_replaced": f"SELECT {SALES_OUT} FROM sales_gold",
+    "scan_parquet": "SELECT * FROM orders",
     "gold_roundtrip": f"SELECT {SALES_OUT} FROM sales_gold",
     "csv_ingest": "SELECT * FROM raw_options",
-    "sanitize_columns": """SELECT l_orderkey AS order_key, l_linenumber AS line_number,
-        l_quantity AS quantity, l_shipdate AS ship_date FROM lineitem""",
+    "sanitize_columns": """SELECT l_orderkey AS order_key, l_partkey AS part_key, l_suppkey AS supp_key,
+        l_linenumber AS line_number, l_quantity AS quantity, l_extendedprice AS price_extended,
+        l_discount AS dis_count, l_tax AS tax, l_returnflag AS return_flag, l_linestatus AS status,
+        l_shipdate AS ship_date FROM lineitem""",
     "table_roundtrip": """SELECT ORDER_ID, count(*) AS count FROM raw_options
         GROUP BY 1 HAVING count(*) > 1""",
     "load_gold_sales": "SELECT * REPLACE (CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE, "
@@ -407,6 +410,10 @@ QUERIES = {
     # Data quality
     "dq_duplicate_rows": """SELECT * FROM (SELECT *, count(*) AS count FROM raw_items
         GROUP BY ALL HAVING count(*) > 1)""",
+    "dq_duplicate_rows_options": """SELECT * FROM (SELECT *, count(*) AS count FROM raw_options
+        GROUP BY ALL HAVING count(*) > 1)""",
+    "dq_duplicate_rows_dates": """SELECT * FROM (SELECT *, count(*) AS count FROM raw_dates
+        GROUP BY ALL HAVING count(*) > 1)""",
     "dq_duplicate_keys": """SELECT ORDER_ID, count(*) AS duplicate_count FROM raw_options
         GROUP BY 1 HAVING count(*) > 1""",
     "dq_null_counts": NULL_COUNTS,
@@ -434,6 +441,9 @@ QUERIES = {
     "silver_casts": """SELECT ORDER_ID, LINEITEM_ID,
         CAST(CAST(OPTION_PRICE AS DECIMAL(10,2)) AS DOUBLE) AS OPTION_PRICE,
         CAST(CAST(OPTION_QUANTITY AS DOUBLE) AS INTEGER) AS OPTION_QUANTITY FROM raw_options""",
+    "silver_casts_items": r"""SELECT LINEITEM_ID, ORDER_ID,
+        CAST(TRY_CAST(ITEM_PRICE AS DECIMAL(10,2)) AS DOUBLE) AS ITEM_PRICE,
+        TRY_CAST(regexp_replace(ITEM_QUANTITY, '\.\d*\s*$', '') AS INTEGER) AS ITEM_QUANTITY FROM raw_items""",
     "silver_loyalty_flag": """SELECT LINEITEM_ID,
         coalesce(TRY_CAST(IS_LOYALTY AS DOUBLE) = 1, false) AS IS_LOYALTY FROM raw_items""",
     "silver_id_status": """SELECT LINEITEM_ID, USER_ID,
@@ -446,6 +456,7 @@ QUERIES = {
         TRY_CAST(regexp_replace(ITEM_QUANTITY, '\\.\\d*\\s*$', '') AS INTEGER) AS ITEM_QUANTITY
         FROM raw_items) WHERE ITEM_QUANTITY > 0""",
     "silver_order_items": f"SELECT {ITEMS_OUT} FROM items",
+    "silver_merged": f"SELECT {ITEMS_OUT} FROM items",
     "silver_options": f"SELECT {OPTIONS_OUT} FROM options",
     "silver_date_dim": "SELECT * FROM dates",
     # Building blocks
@@ -497,6 +508,14 @@ QUERIES = {
     "sales_monthly": f"SELECT {SALES_OUT.replace('*', '* EXCLUDE (SALES_DATE, WEEK)')} FROM ({MONTHLY})",
     "sales_trends": f"SELECT {SALES_OUT} FROM sales_gold",
     "sales_trends_fixed": f"SELECT {SALES_OUT} FROM sales_iso_gold",
+    "sales_orders_total": "SELECT count(DISTINCT ORDER_ID) AS TOTAL_ORDERS FROM items",
+    "sales_orders_by_restaurant": """SELECT RESTAURANT_ID, count(DISTINCT ORDER_ID) AS TOTAL_ORDERS
+        FROM items GROUP BY 1""",
+    "sales_orders_by_month_category": f"""SELECT CAST(year({TIME}) AS INTEGER) AS YEAR,
+        CAST(month({TIME}) AS INTEGER) AS MONTH, ITEM_CATEGORY, count(DISTINCT ORDER_ID) AS TOTAL_ORDERS
+        FROM items GROUP BY ALL""",
+    "sales_orders_sketched": f"""SELECT RESTAURANT_ID, {dbl('sum(ITEM_PRICE * ITEM_QUANTITY)', 'TOTAL_REVENUE')},
+        CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD, true AS NEAR FROM items GROUP BY 1""",
     "sales_by_calendar": f"""SELECT is_weekend, is_holiday,
         {dbl('sum(ITEM_PRICE * ITEM_QUANTITY)', 'TOTAL_REVENUE')},
         count(DISTINCT ORDER_ID) AS TOTAL_ORDERS, CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD

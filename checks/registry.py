@@ -20,11 +20,12 @@ from comanda.plans import (
     pricing,
     reports,
     rfm,
+    rollup,
     sales,
     shared,
 )
 from comanda.schemas import GOLD, RAW_TABLES, REPORT_DATASETS, require_columns
-from comanda.sources import files, lake, tables
+from comanda.sources import files, lake, tables, versions
 from comanda.staging import stage
 
 # Rows a bucket of the ranks holds in the rows named "large": many buckets, as on a large table.
@@ -54,9 +55,12 @@ def _promoted(table: str) -> Callable[[Workspace], DataFrame]:
     return lambda ws: lake.read_layer(ws.spark, ws.once("promote", _promote), table)
 
 
+ORDERS = """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,
+    o_orderpriority string"""
+
+
 def _scan(ws: Workspace) -> DataFrame:
-    ddl = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
-    return lake.read_layer(ws.spark, ws.folder, "orders.parquet", ddl)
+    return lake.read_layer(ws.spark, ws.folder, "orders.parquet", ORDERS)
 
 
 def _gold_roundtrip(ws: Workspace) -> DataFrame:
@@ -65,6 +69,38 @@ def _gold_roundtrip(ws: Workspace) -> DataFrame:
     return lake.read_layer(ws.spark, root, "sales_trends")
 
 
+def _gold_replaced(ws: Workspace) -> DataFrame:
+    """The second version of a dataset that was stored once before."""
+    root, trends = ws.scratch("versions"), sales.sales_trends(ws.items)
+    versions.replace_table(trends.where("SALES_PERIOD = 'DAILY'"), root, "sales_trends")
+    versions.replace_table(trends, root, "sales_trends", ["SALES_PERIOD"])
+    return versions.read_table(ws.spark, root, "sales_trends", GOLD["sales_trends"])
+
+
+def _silver_merged(ws: Workspace) -> DataFrame:
+    """Silver lines in two batches: a fifth comes with the second, which also corrects another fifth."""
+    root, fifth = ws.scratch("versions"), F.pmod(F.xxhash64("LINEITEM_ID"), F.lit(5))
+    first = ws.items.where(fifth > 0).withColumn(
+        "ITEM_PRICE", F.when(fifth == 1, F.lit(0)).otherwise(F.col("ITEM_PRICE")).cast("decimal(10,2)")
+    )
+    versions.replace_table(first, root, "order_items", keys=["LINEITEM_ID"], buckets=16)
+    versions.merge_table(ws.items.where(fifth < 2), root, "order_items")
+    return versions.read_table(ws.spark, root, "order_items")
+
+
+def _order_sets(ws: Workspace) -> DataFrame:
+    return ws.once("order-sets", lambda ws: rollup.staged_sets(ws.items).df)
+
+
+def _sketched(ws: Workspace) -> DataFrame:
+    """Sales from sketches; NEAR says that the orders lie within four standard errors of the exact count."""
+    found = rollup.sketched_sales(rollup.sales_states(ws.items), ["RESTAURANT_ID"])
+    exact = rollup.exact_orders(_order_sets(ws), ["RESTAURANT_ID"])
+    error = F.abs(F.col("APPROX_ORDERS") - F.col("TOTAL_ORDERS"))
+    near = error <= F.ceil(4 * 1.04 / 2 ** (rollup.LG_K / 2) * F.col("TOTAL_ORDERS"))
+    return found.join(exact, "RESTAURANT_ID").select("RESTAURANT_ID", "TOTAL_REVENUE", "ITEMS_SOLD", near.alias("NEAR"))
+
+
 def _csv(ws: Workspace) -> DataFrame:
     folder, raw = ws.scratch("csv"), ws.raw("order_item_options")
     raw.write.csv(folder, header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False,
@@ -84,13 +120,25 @@ def _csv_inferred(table: str) -> Callable[[Workspace], DataFrame]:
     return read
 
 
+# Names that the sanitiser has to mend, and the column behind each.
+ODD_NAMES = {
+    "l_orderkey": "order key",
+    "l_partkey": "part,key",
+    "l_suppkey": "supp;key",
+    "l_linenumber": "(line number)",
+    "l_quantity": "{quantity}",
+    "l_extendedprice": "price=extended",
+    "l_discount": "dis\tcount",
+    "l_tax": "tax\n",
+    "l_returnflag": " return (flag) ",
+    "l_linestatus": "status",
+    "l_shipdate": "\tship=date\n",
+}
+
+
 def _sanitize(ws: Workspace) -> DataFrame:
-    lines = lake.read_layer(ws.spark, ws.folder, "lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"
-    )
-    return files.sanitize_columns(
-        lines.toDF("order key", "(line,;number)".strip("()"), "{quantity}", "\tship=date\n")
-    )
+    lines = lake.read_layer(ws.spark, ws.folder, "lineitem.parquet")
+    return files.sanitize_columns(lines.select([F.col(c).alias(ODD_NAMES[c]) for c in lines.columns]))
 
 
 def _table(ws: Workspace) -> DataFrame:
@@ -244,6 +292,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "bronze_options": _promoted("order_item_options"),
     "scan_parquet": _scan,
     "gold_roundtrip": _gold_roundtrip,
+    "gold_replaced": _gold_replaced,
     "csv_ingest": _csv,
     "csv_inferred_items": _csv_inferred("order_items"),
     "csv_inferred_options": _csv_inferred("order_item_options"),
@@ -255,6 +304,8 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "required_columns": _validated,
     # Data quality
     "dq_duplicate_rows": lambda ws: profiling.duplicate_rows(ws.raw("order_items")),
+    "dq_duplicate_rows_options": lambda ws: profiling.duplicate_rows(ws.raw("order_item_options")),
+    "dq_duplicate_rows_dates": lambda ws: profiling.duplicate_rows(ws.raw("date_dim")),
     "dq_duplicate_keys": lambda ws: profiling.duplicate_keys(
         ws.raw("order_item_options"), ["ORDER_ID"], "duplicate_count"
     ),
@@ -270,6 +321,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "silver_casts": lambda ws: cleaning.to_int(
         cleaning.to_money(ws.raw("order_item_options"), ["OPTION_PRICE"]), ["OPTION_QUANTITY"]
     ).select("ORDER_ID", "LINEITEM_ID", "OPTION_PRICE", "OPTION_QUANTITY"),
+    "silver_casts_items": lambda ws: cleaning.to_int(
+        cleaning.to_money(ws.raw("order_items"), ["ITEM_PRICE"]), ["ITEM_QUANTITY"]
+    ).select("LINEITEM_ID", "ORDER_ID", "ITEM_PRICE", "ITEM_QUANTITY"),
     "silver_loyalty_flag": lambda ws: cleaning.loyalty_flag(ws.raw("order_items")).select(
         "LINEITEM_ID", "IS_LOYALTY"
     ),
@@ -280,6 +334,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         cleaning.to_int(ws.raw("order_items"), ["ITEM_QUANTITY"])
     ).select("LINEITEM_ID", "ITEM_QUANTITY"),
     "silver_order_items": lambda ws: cleaning.CLEANERS["order_items"](ws.raw("order_items")),
+    "silver_merged": _silver_merged,
     "silver_options": lambda ws: cleaning.clean_options(ws.raw("order_item_options")),
     "silver_date_dim": lambda ws: cleaning.clean_date_dim(ws.raw("date_dim")),
     # Building blocks
@@ -339,6 +394,12 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "sales_monthly": lambda ws: sales.sales_monthly(ws.items),
     "sales_trends": lambda ws: sales.sales_trends(ws.items),
     "sales_trends_fixed": lambda ws: sales.sales_trends(ws.items, iso_weeks=True),
+    "sales_orders_total": lambda ws: rollup.exact_orders(_order_sets(ws)),
+    "sales_orders_by_restaurant": lambda ws: rollup.exact_orders(_order_sets(ws), ["RESTAURANT_ID"]),
+    "sales_orders_by_month_category": lambda ws: rollup.exact_orders(
+        _order_sets(ws), ["YEAR", "MONTH", "ITEM_CATEGORY"]
+    ),
+    "sales_orders_sketched": _sketched,
     "sales_by_calendar": lambda ws: sales.sales_by_calendar(ws.items, ws.silver("date_dim")),
     # Locations
     "location_metrics": lambda ws: locations.location_metrics(ws.items),
@@ -405,7 +466,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "report_loyalty_shares": lambda ws: reports.loyalty_shares(_loyalty(ws)),
     "report_loyalty_detail": lambda ws: reports.loyalty_detail(_loyalty(ws)),
     "report_coerce_numeric": lambda ws: reports.coerce_numeric(_locations_as_text(ws)).select(
-        "RESTAURANT_ID", *[c for c in reports.LOCATION_NUMBERS if c in _locations(ws).columns]
+        "RESTAURANT_ID", *[c for c in reports.location_numbers() if c in _locations(ws).columns]
     ),
     "report_location_kpis": lambda ws: _rounded(
         reports.location_kpis(_locations(ws)), "AVG_ORDER_VALUE"

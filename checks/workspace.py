@@ -25,13 +25,13 @@ class Workspace:
         self.folder = folder
         self.root = stage_path(spark, "workspace")
         self._written: set[tuple[str, str]] = set()
-        self._made: dict[str, str] = {}
+        self._made: dict[str, str | DataFrame] = {}
 
     def scratch(self, label: str) -> str:
         """A new folder for one write of one query."""
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
 
-    def once(self, label: str, make: Callable[[Workspace], str]) -> str:
+    def once(self, label: str, make: Callable[[Workspace], str | DataFrame]) -> str | DataFrame:
         """What ``make`` returns, made on first use."""
         if label not in self._made:
             self._made[label] = make(self)

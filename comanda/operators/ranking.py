@@ -48,12 +48,20 @@ def value_positions(
     COPIES rows hold the value, ROWS_BEFORE rows and VALUES_BEFORE distinct values come before
     it, GROUP_ROWS rows share its ``by`` group. Runs a job: the counts are stored once, by range.
     """
+    return _positions(_value_counts(source, value, by, rows_per_bucket), value, by, descending)
+
+
+def _value_counts(source: Staged, value: str, by: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    """COPIES of each distinct value with the bucket of its range, stored."""
     by = list(by)
     counts = source.df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(COPIES))
     ranges = [F.asc_nulls_first(c) for c in (*by, value)]
     counts = counts.repartitionByRange(source.buckets(rows_per_bucket), *ranges)
-    counts = stage(counts.withColumn("_bucket", F.spark_partition_id()), "value-counts").df
+    return stage(counts.withColumn("_bucket", F.spark_partition_id()), "value-counts").df
+
 
+def _positions(counts: DataFrame, value: str, by: Sequence[str], descending: bool) -> DataFrame:
+    by = list(by)
     bucket_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     lower_buckets = Window.partitionBy(*by).orderBy(bucket_order)  # a row per bucket, never more
     offsets = (
@@ -101,20 +109,24 @@ def _join_rank(
 ) -> DataFrame:
     """Rank the distinct values and join the rank back to the rows by value.
 
-    Values with more rows than a bucket holds number fewer than the buckets; their ranks are
-    broadcast, so their rows stay where they are. All other values meet their rows by a join in
-    which no key has more than ``rows_per_bucket`` rows.
+    Rows of a value with more rows than a bucket holds are dealt out by a hash of the row over as many tasks as
+    their number asks for, and their rank is repeated as often. Such values number fewer than the buckets, so the list of
+    them is broadcast. The stored counts are read for the ranks and once more for that list.
     """
-    ranks = value_positions(source, value, descending=descending, rows_per_bucket=rows_per_bucket)
-    ranks = stage(
-        ranks.select(F.col(value).alias("_ranked_value"), rank.alias(out), COPIES), "ranks"
-    ).df
-    hot = F.broadcast(ranks.where(F.col(COPIES) > rows_per_bucket).drop(COPIES))
-    cold = ranks.where(F.col(COPIES) <= rows_per_bucket).drop(COPIES)
-    same_value = F.col(value).eqNullSafe(F.col("_ranked_value"))
-    often = source.df.join(hot, same_value)
-    seldom = source.df.join(hot, same_value, "left_anti").join(cold, same_value)
-    return often.unionByName(seldom).drop("_ranked_value")
+    counts = _value_counts(source, value, (), rows_per_bucket)
+    hot = counts.where(F.col(COPIES) > rows_per_bucket).select(
+        F.col(value).alias("_hot_value"), F.ceil(F.col(COPIES) / rows_per_bucket).cast("int").alias("_parts")
+    )
+    ranks = _positions(counts, value, (), descending)
+    parts = F.greatest(F.ceil(F.col(COPIES) / rows_per_bucket).cast("int"), F.lit(1))
+    ranks = ranks.select(
+        F.col(value).alias("_ranked_value"), rank.alias(out), F.explode(F.sequence(F.lit(1), parts)).alias("_ranked_part")
+    )
+    dealt = source.df.join(F.broadcast(hot), F.col(value).eqNullSafe(F.col("_hot_value")), "left")
+    part = F.pmod(F.xxhash64(*source.df.columns), F.coalesce("_parts", F.lit(1))) + 1
+    dealt = dealt.withColumn("_part", part.cast("int")).drop("_hot_value", "_parts")
+    met = F.col(value).eqNullSafe(F.col("_ranked_value")) & (F.col("_part") == F.col("_ranked_part"))
+    return dealt.join(ranks, met).drop("_ranked_value", "_part", "_ranked_part")
 
 
 def global_percent_rank(
