@@ -3,8 +3,9 @@
 Every page is parsed leniently and its containers are scored by the text that stands in them, much as a reader
 would: full weight for blocks of their own, less for those of inner containers, none for links. A container is
 named by its generalised path of tags and classes. Spark sums the pages' votes per host and path, the path with
-the most votes wins, and the pages are read again at the winning path of their host; pages of a host that holds
-a large share of all meet it in many tasks. A page that lacks it falls
+the most votes wins, and the pages are read again at the winning path of their host. The winners go to all tasks
+while their names take ``BROADCAST_BYTES`` at most; beyond that pages meet them by host, and those of a host that
+holds a large share of all in many tasks. A page that lacks it falls
 back on its own best container. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by tag, role and class on the way. A class or id counts by its whole words or the word it
 begins with, and not where the page's main text stands inside the element that has it.
@@ -25,6 +26,9 @@ from comanda.llm.url_filter import url_parts
 from comanda.operators.heavy import join_heavy
 from comanda.staging import stage
 
+# Hosts and paths that are sent to every task; more meet the pages in a salted join.
+BROADCAST_BYTES = 8 * 1024**2
+
 # HTML elements by the part they play.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
@@ -416,6 +420,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         return work
 
     kind_of_id = pages.schema[id_col].dataType.simpleString()
-    rows = rows.withColumn("_row", F.xxhash64("page_id", "url", "html"))
-    chosen = join_heavy(rows, winners, ["host"], ["_host"], ["_row"], "left").select("page_id", "url", "html", "path")
+    names = winners.agg(F.sum(F.octet_length("_host") + F.octet_length("path"))).first()[0] or 0
+    if names <= BROADCAST_BYTES:
+        chosen = rows.join(F.broadcast(winners), F.col("host").eqNullSafe(F.col("_host")), "left")
+    else:
+        rows = rows.withColumn("_row", F.xxhash64("page_id", "url", "html"))
+        chosen = join_heavy(rows, winners, ["host"], ["_host"], ["_row"], "left")
+    chosen = chosen.select("page_id", "url", "html", "path")
     return map_rows(chosen, f"page_id {kind_of_id}, url string, text string, n_chars bigint", again)
