@@ -247,4 +247,72 @@ SELECT s.doc_id, len(shingles) AS n_shingles, component_id, s.doc_id = component
 FROM sets s JOIN (SELECT doc_id, min(found) AS component_id FROM reach GROUP BY 1) r ON s.doc_id = r.doc_id
 """
 
-SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_url_filter": OP4_SQL, "op7_near_dedup": OP7_SQL}
+OP12_SQL = r"""
+WITH RECURSIVE crc(digits, pos, state) AS (
+    SELECT DISTINCT CAST(doc_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT) FROM documents WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT digits, pos + 1, x8 FROM (
+        SELECT digits, pos, xor(state, CAST(ascii(substr(digits, pos, 1)) AS BIGINT)) AS x0,
+               xor(x0 >> 1, 3988292384 * (x0 & 1)) AS x1, xor(x1 >> 1, 3988292384 * (x1 & 1)) AS x2,
+               xor(x2 >> 1, 3988292384 * (x2 & 1)) AS x3, xor(x3 >> 1, 3988292384 * (x3 & 1)) AS x4,
+               xor(x4 >> 1, 3988292384 * (x4 & 1)) AS x5, xor(x5 >> 1, 3988292384 * (x5 & 1)) AS x6,
+               xor(x6 >> 1, 3988292384 * (x6 & 1)) AS x7, xor(x7 >> 1, 3988292384 * (x7 & 1)) AS x8
+        FROM crc WHERE pos <= length(digits))
+), tampered AS (
+    SELECT digits FROM crc WHERE pos > length(digits) AND state & 1 = 1
+), parts AS (
+    SELECT doc_id, source, row_number() OVER () AS row_no,
+           coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text,
+           CASE WHEN digits IS NULL THEN text ELSE replace(text, chr(10), '') END AS changed
+    FROM documents LEFT JOIN tampered ON CAST(doc_id AS VARCHAR) = digits
+), leaves AS (
+    SELECT doc_id, source, row_no, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS given
+    FROM parts
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, row_no) - 1 AS place,
+           count(*) OVER (PARTITION BY source) AS n FROM leaves
+), nodes(level, tree, place, n, digest) AS (
+    SELECT 0, source, place, n, leaf FROM placed
+    UNION ALL
+    SELECT level + 1, tree, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+    FROM nodes WHERE n > 1 GROUP BY level, tree, place // 3, n
+), subroots AS (
+    SELECT tree, level AS height, digest AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place,
+           count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops(level, place, n, digest) AS (
+    SELECT 0, place, n, subroot FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+    FROM tops WHERE n > 1 GROUP BY level, place // 3, n
+), steps AS (
+    SELECT level, tree, place,
+           coalesce(lag(digest, 2) OVER w, '') || coalesce(lag(digest) OVER w, '') AS before,
+           coalesce(lead(digest) OVER w, '') || coalesce(lead(digest, 2) OVER w, '') AS after
+    FROM nodes WHERE n > 1 WINDOW w AS (PARTITION BY level, tree, place // 3 ORDER BY place)
+), top_steps AS (
+    SELECT level, place,
+           coalesce(lag(digest, 2) OVER w, '') || coalesce(lag(digest) OVER w, '') AS before,
+           coalesce(lead(digest) OVER w, '') || coalesce(lead(digest, 2) OVER w, '') AS after
+    FROM tops WHERE n > 1 WINDOW w AS (PARTITION BY level, place // 3 ORDER BY place)
+), walk(row_no, level, tree, place, folded, proof) AS (
+    SELECT row_no, 0, source, place, given, '' FROM placed
+    UNION ALL
+    SELECT row_no, w.level + 1, w.tree, w.place // 3, sha256(before || folded || after), proof || before || after
+    FROM walk w JOIN steps s ON w.level = s.level AND w.tree IS NOT DISTINCT FROM s.tree AND w.place = s.place
+), top_walk(row_no, level, place, folded, proof) AS (
+    SELECT row_no, 0, r.place, folded, proof
+    FROM walk w JOIN subroots r ON w.level = r.height AND w.tree IS NOT DISTINCT FROM r.tree
+    UNION ALL
+    SELECT row_no, w.level + 1, w.place // 3, sha256(before || folded || after), proof || before || after
+    FROM top_walk w JOIN top_steps s ON w.level = s.level AND w.place = s.place
+), ends AS (
+    SELECT row_no, digest AS root, folded, proof FROM top_walk w JOIN tops t ON t.n = 1 AND w.level = t.level
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaves l JOIN ends USING (row_no) JOIN subroots r ON l.source IS NOT DISTINCT FROM r.tree
+"""
+
+SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_line_dedup": OP2_SQL, "op3_decontaminate": OP3_SQL, "op4_url_filter": OP4_SQL, "op7_near_dedup": OP7_SQL, "op12_merkle_manifest": OP12_SQL}

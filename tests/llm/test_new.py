@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from comanda.llm import conversations, decontaminate, merkle, pii, vantage, warc
+from comanda.llm import conversations, decontaminate, html_text, merkle, pii, vantage, warc
 from comanda.llm.places import with_places
 from comanda.staging import stage, stage_path
 from tests.llm.data import SPACE, edited, prose, sha256, words_of
@@ -337,3 +337,61 @@ def test_archives_are_read_once(spark):
     warc.write_archives(spark.createDataFrame([(1, "http://h/", "x")], "page_id bigint, url string, html string"), path)
     found = warc.assemble_captures(warc.read_records(spark, path, with_payload=False))
     assert "binaryFile" not in found._jdf.queryExecution().toString() and found.count() == 1
+
+
+# Main text: pages written around a known article
+
+
+def written_page(rng, host, n):
+    """(html, article text): a layout of the host around blocks of an article; the blocks are the truth."""
+    blocks = [prose(rng.randrange(10**6), rng.randint(12, 60)) + " é & <b>." for _ in range(rng.randint(2, 6))]
+    marked = [b.replace("&", "&amp;").replace("<b>", "&lt;b&gt;").replace(" ", rng.choice([" ", "  ", "\n "])) for b in blocks]
+    marked = [f"<em>{b}</em>" if rng.random() < 0.2 else b for b in marked]
+    tags = [rng.choice(["p", "p", "h2", "blockquote"]) for _ in blocks]
+    inside = "".join(f"<{t}>{b}</{t}>" for t, b in zip(tags, marked))
+    links = "".join(f'<li><a href="/{k}">{prose(k, 3)}</a></li>' for k in range(5))
+    around = {
+        0: ('<article class="post">', "</article>"),
+        1: (f'<div id="page-{n}"><div class="entry content">', "</div></div>"),
+        2: ("<main><section>", "</section></main>"),
+    }[host % 3]
+    html = (
+        f"<html><head><title>{prose(n, 3)}</title><style>p {{}}</style></head><body><nav><ul>{links}</ul></nav>"
+        f'<header>{prose(n + 1, 4)}</header><div class="sidebar">{links}</div>{around[0]}{inside}'
+        f'<div class="ad">{prose(n + 2, 20)}</div><script>var a = "<p>no</p>";</script>{around[1]}'
+        f'<div class="comments"><p>{prose(n + 3, 60)}</p></div><footer>{prose(n + 4, 5)}</footer></body></html>'
+    )
+    return html, "\n".join(blocks)
+
+
+@pytest.fixture(scope="module")
+def written(spark):
+    rng = random.Random(12)
+    made = {}
+    for n in range(120):
+        host = 0 if n % 3 == 0 else rng.randrange(1, 9)  # a third of the pages on one host
+        made[n] = (f"http://h{host}.example/{n}", *written_page(rng, host, n))
+    rows = [(n, url, html) for n, (url, html, _) in made.items()]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string"), {n: m[2] for n, m in made.items()}
+
+
+@pytest.mark.parametrize("limit", [html_text.BROADCAST_BYTES, 0])
+def test_articles_of_written_pages(written, monkeypatch, limit):
+    monkeypatch.setattr(html_text, "BROADCAST_BYTES", limit)
+    pages, articles = written
+    found = html_text.extract(pages.repartition(3)).collect()
+    assert {r.page_id: r.text for r in found} == articles
+    assert all(r.n_chars == len(r.text) for r in found) and len(found) == len(articles)
+
+
+def test_a_tie_of_votes_goes_to_the_longer_path(spark):
+    def page(order):
+        parts = {"a": f"<div class='one'><p>{prose(1, 40)}</p></div>", "b": f"<div class='twofold'><p>{prose(2, 40)}</p></div>"}
+        return "<body>" + "".join(parts[o] for o in order) + "</body>"
+
+    votes = [html_text.Page(page(o)).votes() for o in ("ab", "ba")]
+    rows = [(n, "http://t/", page(o)) for n, o in enumerate(("ab", "ba"))]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    total = {path: sum(v.get(path, 0) for v in votes) for path in set().union(*votes)}
+    best = max(total, key=lambda p: (round(total[p], 6), len(p), p))
+    assert {r.text for r in found} == {html_text.Page(page("ab")).article(best)} and len(found) == 2
