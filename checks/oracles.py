@@ -516,6 +516,12 @@ QUERIES = {
         FROM items GROUP BY ALL""",
     "sales_orders_sketched": f"""SELECT RESTAURANT_ID, {dbl('sum(ITEM_PRICE * ITEM_QUANTITY)', 'TOTAL_REVENUE')},
         CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD, true AS NEAR FROM items GROUP BY 1""",
+    "sales_cube": f"""SELECT ITEM_CATEGORY, RESTAURANT_ID, SALES_MONTH,
+        CAST(GROUPING_ID(ITEM_CATEGORY, RESTAURANT_ID, SALES_MONTH) AS BIGINT) AS GROUPING_ID,
+        {dbl('sum(ITEM_PRICE * ITEM_QUANTITY)', 'TOTAL_REVENUE')}, CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD,
+        count(DISTINCT ORDER_ID) AS TOTAL_ORDERS
+        FROM (SELECT *, CAST(date_trunc('month', {TIME}) AS DATE) AS SALES_MONTH FROM items)
+        GROUP BY CUBE (ITEM_CATEGORY, RESTAURANT_ID, SALES_MONTH)""",
     "sales_by_calendar": f"""SELECT is_weekend, is_holiday,
         {dbl('sum(ITEM_PRICE * ITEM_QUANTITY)', 'TOTAL_REVENUE')},
         count(DISTINCT ORDER_ID) AS TOTAL_ORDERS, CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD

@@ -400,6 +400,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         _order_sets(ws), ["YEAR", "MONTH", "ITEM_CATEGORY"]
     ),
     "sales_orders_sketched": _sketched,
+    "sales_cube": lambda ws: rollup.sales_cube(ws.items),
     "sales_by_calendar": lambda ws: sales.sales_by_calendar(ws.items, ws.silver("date_dim")),
     # Locations
     "location_metrics": lambda ws: locations.location_metrics(ws.items),

@@ -20,6 +20,7 @@ from comanda.plans.shared import with_revenue
 from comanda.staging import Staged, stage
 
 KEYS = ("SALES_DATE", "RESTAURANT_ID", "ITEM_CATEGORY", "TIME_OF_DAY")
+CUBE = ("ITEM_CATEGORY", "RESTAURANT_ID", "SALES_MONTH")
 # Size of the sketches as a power of two, and the orders of a bucket from which a bitmap (4 KB) is smaller.
 LG_K, DENSE = 12, 1_024
 
@@ -98,6 +99,27 @@ def sketched_sales(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def sales_cube(items: DataFrame, by: Sequence[str] = CUBE) -> DataFrame:
+    """Sales for every subset of the ``by`` columns: those left out are NULL, and GROUPING_ID has a bit for each.
+
+    Lines are summed per order and ``by`` first, so the subsets are laid out over these rows only. Orders then have a
+    row per group, whose number is the count of distinct orders: no set of orders is gathered, and only sums move
+    between tasks. A NULL value is a group of its own, told from a left-out column by GROUPING_ID.
+    """
+    lines = _lines(items).withColumn("SALES_MONTH", F.trunc("SALES_DATE", "month"))
+    sums = [F.sum(c).alias(c) for c in ("TOTAL_REVENUE", "ITEM_QUANTITY")]
+    per_order = lines.groupBy(*by, "ORDER_ID").agg(*sums)
+    subsets = [[c for n, c in enumerate(by) if not left_out >> n & 1] for left_out in range(2 ** len(by))]
+    laid = per_order.groupingSets([[*subset, "ORDER_ID"] for subset in subsets], *by, "ORDER_ID")
+    # The order is the last column of every subset, so its bit, the lowest, is always 0.
+    found = laid.agg(F.shiftright(F.grouping_id(), 1).alias("GROUPING_ID"), *sums)
+    return found.groupBy(*by, "GROUPING_ID").agg(
+        F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"),
+        F.sum("ITEM_QUANTITY").alias("ITEMS_SOLD"),
+        F.count("ORDER_ID").alias("TOTAL_ORDERS"),
+    )
+
+
 def staged_sets(items: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> Staged:
     """``order_sets`` written once, for several groupings."""
     return stage(order_sets(items, rows_per_bucket), "order-sets")

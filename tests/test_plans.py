@@ -5,7 +5,7 @@ import re
 import pytest
 
 from checks.workspace import workspace
-from comanda.plans import churn, clv, locations, loyalty, pricing, rfm, sales
+from comanda.plans import churn, clv, locations, loyalty, pricing, rfm, rollup, sales
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -70,3 +70,22 @@ def test_pricing_join_reuses_the_partitioning_of_its_aggregates(ws, spark):
         assert "LessThan(OPTION_PRICE,0.00)" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_pricing_by_sums_lines_before_they_meet_their_order(ws, spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(pricing.pricing_by(ws.items, ws.options, ["ITEM_CATEGORY"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "collect" not in plan and "map_from_entries" not in plan
+    # Whole lines and discounts move by order and line; by order alone only sums do.
+    assert plan.count("Exchange hashpartitioning(ORDER_ID") + plan.count("ReusedExchange") >= 4
+    by_order = re.findall(r"Exchange hashpartitioning\(ORDER_ID#\d+, \d+\)", plan)
+    assert len(by_order) == 2
+
+
+def test_cube_counts_orders_over_one_expand(ws):
+    plan = plan_of(rollup.sales_cube(ws.items)).split("Initial Plan")[0]
+    assert plan.count("Expand ") == 1 and "collect_set" not in plan

@@ -56,3 +56,14 @@ def test_no_lines(lines):
     none = lines.limit(0)
     assert rollup.exact_orders(rollup.order_sets(none)).first().TOTAL_ORDERS == 0
     assert rollup.sketched_sales(rollup.sales_states(none), ["RESTAURANT_ID"]).count() == 0
+
+
+def test_cube_tells_nulls_from_left_out_columns(spark):
+    rows = [dict(ORDER_ID=o, RESTAURANT_ID=r, ITEM_CATEGORY=c) for o, r, c in
+            [("a", "r1", None), ("a", "r1", "x"), ("b", None, "x"), ("b", "r1", "x"), (None, "r1", "x")]]
+    found = {(r.ITEM_CATEGORY, r.RESTAURANT_ID, r.GROUPING_ID): (r.TOTAL_ORDERS, r.ITEMS_SOLD)
+             for r in rollup.sales_cube(items(spark, rows), ["ITEM_CATEGORY", "RESTAURANT_ID"]).collect()}
+    assert found == {
+        (None, None, 3): (2, 5), ("x", None, 1): (2, 4), (None, None, 1): (1, 1), (None, "r1", 2): (2, 4),
+        (None, None, 2): (1, 1), (None, "r1", 0): (1, 1), ("x", "r1", 0): (2, 3), ("x", None, 0): (1, 1),
+    }
