@@ -495,6 +495,11 @@ QUERIES = {
     "churn_indicators": f"SELECT {CHURN_OUT} FROM churn_gold",
     # Loyalty
     "loyalty_base": f"SELECT CUSTOMER_ID, IS_LOYALTY, {dbl('TOTAL_SPEND')}, TOTAL_ORDERS FROM loyalty",
+    "loyalty_before_orders": f"""SELECT o.CUSTOMER_ID, ORDER_ID, FIRST_TIME, LOYAL AS LOYALTY_BEFORE
+        FROM (SELECT CUSTOMER_ID, ORDER_ID, min({TIME}) AS FIRST_TIME FROM buyers GROUP BY 1, 2) o
+        ASOF LEFT JOIN (SELECT CUSTOMER_ID, {TIME} AS SINCE, bool_or(IS_LOYALTY) AS LOYAL
+            FROM buyers WHERE {TIME} IS NOT NULL GROUP BY 1, 2) s
+        ON o.CUSTOMER_ID = s.CUSTOMER_ID AND o.FIRST_TIME > s.SINCE""",
     "loyalty_impact": f"SELECT {LOYALTY_OUT} FROM loyalty_gold",
     # Sales
     "sales_date_parts": f"""SELECT LINEITEM_ID, CAST({TIME} AS DATE) AS SALES_DATE,

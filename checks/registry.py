@@ -381,6 +381,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # Loyalty
     "loyalty_base": lambda ws: loyalty.loyalty_base(ws.items),
     "loyalty_impact": lambda ws: loyalty.loyalty(ws.items),
+    "loyalty_before_orders": lambda ws: loyalty.loyalty_before_orders(ws.items),
     # Sales
     "sales_date_parts": lambda ws: sales.with_date_parts(ws.items).select(
         "LINEITEM_ID", "SALES_DATE", "YEAR", "MONTH", "WEEK"

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.metrics import loyalty_status, ratio
-from comanda.plans.shared import customer_lines
+from comanda.operators.asof import asof_join
+from comanda.plans.shared import customer_lines, with_customer
 from comanda.schemas import GOLD, conform
 
 
@@ -39,3 +40,14 @@ def loyalty_of(facts: DataFrame) -> DataFrame:
 
 def loyalty(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
     return loyalty_of(customer_lines(items, blank_as_null))
+
+
+def loyalty_before_orders(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
+    """Each order of a customer with its first time and LOYALTY_BEFORE, the flag of the last line before that time.
+
+    NULL where the customer has no earlier line. Of several lines at one time a loyal one counts.
+    """
+    lines = with_customer(items, blank_as_null)
+    orders = lines.groupBy("CUSTOMER_ID", "ORDER_ID").agg(F.min("CREATION_TIME_UTC").alias("FIRST_TIME"))
+    flags = lines.select("CUSTOMER_ID", F.col("CREATION_TIME_UTC").alias("FIRST_TIME"), "IS_LOYALTY")
+    return asof_join(orders, flags, "CUSTOMER_ID", "FIRST_TIME", "IS_LOYALTY", "LOYALTY_BEFORE", strict=True)
