@@ -288,6 +288,15 @@ STEPS = {
     row_number() OVER (PARTITION BY CHURN_STATUS ORDER BY AVG_ORDER_GAP_DAYS) - 1 AS place,
     count(*) OVER (PARTITION BY CHURN_STATUS) - 1 AS final
     FROM churn_gold WHERE AVG_ORDER_GAP_DAYS IS NOT NULL""",
+    "days_off": """SELECT min(d) AS FIRST_DAY, max(d) AS LAST_DAY, CAST(count(*) AS INTEGER) AS DAYS FROM (
+      SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS island FROM (
+        SELECT DISTINCT date_key AS d FROM dates WHERE date_key IS NOT NULL AND (is_weekend OR is_holiday)))
+    GROUP BY island""",
+    "streaks": f"""SELECT RESTAURANT_ID, min(d) AS STREAK_FIRST, max(d) AS STREAK_LAST,
+    CAST(count(*) AS INTEGER) AS STREAK_DAYS FROM (
+      SELECT RESTAURANT_ID, d, d - CAST(row_number() OVER (PARTITION BY RESTAURANT_ID ORDER BY d) AS INTEGER)
+        AS island FROM (SELECT DISTINCT RESTAURANT_ID, CAST({TIME} AS DATE) AS d FROM items WHERE {TIME} IS NOT NULL))
+    GROUP BY RESTAURANT_ID, island""",
     "visits": """SELECT RESTAURANT_ID, CUSTOMER_ID, count(DISTINCT ORDER_ID) AS n
     FROM buyers GROUP BY 1, 2""",
 }
@@ -532,6 +541,19 @@ QUERIES = {
         count(DISTINCT ORDER_ID) AS TOTAL_ORDERS, CAST(sum(ITEM_QUANTITY) AS BIGINT) AS ITEMS_SOLD
         FROM items LEFT JOIN (SELECT DISTINCT ON (date_key) * FROM dates WHERE date_key IS NOT NULL
           ORDER BY date_key) ON CAST({TIME} AS DATE) = date_key GROUP BY 1, 2""",
+    "sales_by_days_off": f"""SELECT FIRST_DAY, LAST_DAY, DAYS,
+        CAST(coalesce(sum(ITEM_PRICE * ITEM_QUANTITY), 0) AS DOUBLE) AS TOTAL_REVENUE,
+        count(DISTINCT ORDER_ID) AS TOTAL_ORDERS
+        FROM days_off LEFT JOIN items ON CAST({TIME} AS DATE) BETWEEN FIRST_DAY AND LAST_DAY GROUP BY 1, 2, 3""",
+    "streaks_on_days_off": """SELECT *, CAST(date_diff('day', greatest(STREAK_FIRST, FIRST_DAY),
+        least(STREAK_LAST, LAST_DAY)) + 1 AS INTEGER) AS DAYS_SHARED
+        FROM streaks JOIN days_off ON STREAK_FIRST <= LAST_DAY AND FIRST_DAY <= STREAK_LAST""",
+    "spend_before_orders": f"""SELECT CUSTOMER_ID, ORDER_ID, ORDER_DAY, {dbl('ROLLING_SPEND')}
+        FROM (SELECT DISTINCT CUSTOMER_ID, ORDER_ID, CAST({TIME} AS DATE) AS ORDER_DAY FROM buyers)
+        LEFT JOIN (SELECT CUSTOMER_ID, ORDER_DAY, sum(spent) OVER (PARTITION BY CUSTOMER_ID ORDER BY ORDER_DAY
+            RANGE BETWEEN INTERVAL 89 DAYS PRECEDING AND CURRENT ROW) AS ROLLING_SPEND
+          FROM (SELECT CUSTOMER_ID, CAST({TIME} AS DATE) AS ORDER_DAY, sum(REVENUE) AS spent FROM buyers
+            WHERE {TIME} IS NOT NULL GROUP BY 1, 2)) USING (CUSTOMER_ID, ORDER_DAY)""",
     # Locations
     "location_metrics": f"SELECT {SALES_OUT}, {LOCATION_RATES} FROM locations",
     "location_metrics_fixed": f"SELECT {SALES_OUT}, {LOCATION_RATES} FROM locations_by_day",

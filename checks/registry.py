@@ -16,6 +16,7 @@ from comanda.plans import (
     clv,
     locations,
     loyalty,
+    occasions,
     pipeline,
     pricing,
     reports,
@@ -403,6 +404,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "sales_orders_sketched": _sketched,
     "sales_cube": lambda ws: rollup.sales_cube(ws.items),
     "sales_by_calendar": lambda ws: sales.sales_by_calendar(ws.items, ws.silver("date_dim")),
+    "sales_by_days_off": lambda ws: occasions.sales_by_days_off(ws.items, ws.silver("date_dim")),
+    "streaks_on_days_off": lambda ws: occasions.streaks_on_days_off(ws.items, ws.silver("date_dim")),
+    "spend_before_orders": lambda ws: occasions.spend_before_orders(ws.items),
     # Locations
     "location_metrics": lambda ws: locations.location_metrics(ws.items),
     "location_metrics_fixed": lambda ws: locations.location_metrics(ws.items, day_grain=True),
