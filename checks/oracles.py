@@ -388,6 +388,13 @@ QUERIES = {
         l_linenumber AS line_number, l_quantity AS quantity, l_extendedprice AS price_extended,
         l_discount AS dis_count, l_tax AS tax, l_returnflag AS return_flag, l_linestatus AS status,
         l_shipdate AS ship_date FROM lineitem""",
+    "csv_bad_cells": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, {c} AS cell, count(*) AS count FROM raw_items
+        WHERE trim({c}) <> '' AND TRY_CAST({c} AS {kind}) IS NULL GROUP BY 2"""
+        for c, kind in {
+            TIME: "TIMESTAMP", "ITEM_PRICE": "DOUBLE", "ITEM_QUANTITY": "DOUBLE", "IS_LOYALTY": "DOUBLE"
+        }.items()
+    ),
     "table_roundtrip": """SELECT ORDER_ID, count(*) AS count FROM raw_options
         GROUP BY 1 HAVING count(*) > 1""",
     "load_gold_sales": "SELECT * REPLACE (CAST(TOTAL_REVENUE AS DOUBLE) AS TOTAL_REVENUE, "
@@ -700,6 +707,9 @@ QUERIES = {
 
 # The same result by another way through the engine.
 QUERIES |= {
+    "csv_typed_items": QUERIES["csv_inferred_items"],
+    "csv_typed_options": QUERIES["csv_inferred_options"],
+    "csv_typed_dates": QUERIES["csv_inferred_dates"],
     "clv_segments_large": QUERIES["clv_segments"],
     "rfm_scores_large": QUERIES["rfm_scores"],
     "location_ranking_large": QUERIES["location_ranking"],

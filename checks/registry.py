@@ -26,7 +26,7 @@ from comanda.plans import (
     shared,
 )
 from comanda.schemas import GOLD, RAW_TABLES, REPORT_DATASETS, require_columns
-from comanda.sources import files, lake, tables, versions
+from comanda.sources import files, infer, lake, tables, versions
 from comanda.staging import stage
 
 # Rows a bucket of the ranks holds in the rows named "large": many buckets, as on a large table.
@@ -121,6 +121,29 @@ def _csv_inferred(table: str) -> Callable[[Workspace], DataFrame]:
     return read
 
 
+def _csv_text(ws: Workspace, table: str) -> DataFrame:
+    """A source file written as CSV and read back as text."""
+    folder, raw = ws.scratch("csv"), ws.raw(table)
+    raw.write.csv(folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return files.read_csv_table(ws.spark, folder, ", ".join(f"`{c}` string" for c in raw.columns))
+
+
+def _csv_typed(table: str) -> Callable[[Workspace], DataFrame]:
+    """The text with types found by one aggregate; dates become timestamps, as Spark's own inference reads them."""
+
+    def read(ws: Workspace) -> DataFrame:
+        text = _csv_text(ws, table)
+        return infer.typed(text, infer.types_of(text, ladder=[kind for kind in infer.LADDER if kind != "date"]))
+
+    return read
+
+
+def _csv_bad_cells(ws: Workspace) -> DataFrame:
+    """Cells that do not fit their column, where a tenth of them may be bad."""
+    text = _csv_text(ws, "order_items")
+    return infer.bad_cells(text, infer.types_of(text, tolerance=0.1))
+
+
 # Names that the sanitiser has to mend, and the column behind each.
 ODD_NAMES = {
     "l_orderkey": "order key",
@@ -298,6 +321,10 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "csv_inferred_items": _csv_inferred("order_items"),
     "csv_inferred_options": _csv_inferred("order_item_options"),
     "csv_inferred_dates": _csv_inferred("date_dim"),
+    "csv_typed_items": _csv_typed("order_items"),
+    "csv_typed_options": _csv_typed("order_item_options"),
+    "csv_typed_dates": _csv_typed("date_dim"),
+    "csv_bad_cells": _csv_bad_cells,
     "sanitize_columns": _sanitize,
     "table_roundtrip": _table,
     "load_gold_sales": _sales,

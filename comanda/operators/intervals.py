@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.operators.asof import DAY, asof_join
+from comanda.operators.heavy import join_heavy
 
 RUN = ("FIRST_DAY", "LAST_DAY", "DAYS")
 
@@ -56,13 +58,15 @@ def overlap_join(
     other_span: tuple[str, str],
     keys: Sequence[tuple[str, str]] = (),
     bucket_seconds: int = 30 * DAY,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Pairs of ``rows`` and ``others`` whose spans (first, last, both included) share a moment, each pair once.
 
     ``span`` names the columns of the first and last moment, one name twice for points in time; ``keys`` are pairs of
     columns that must be equal, NULL meeting nothing. A span with a NULL end, or whose end lies before its beginning,
     meets nothing. Column names of both sides must differ. A row is repeated once per bucket that its span
-    touches: choose a bucket about as long as the spans.
+    touches: choose a bucket about as long as the spans. With ``spread``, columns that tell rows apart, buckets that hold a
+    large share of ``rows`` are found first and dealt out by these columns (``join_heavy``; runs a job).
     """
     if clash := set(rows.columns) & set(others.columns):
         raise ValueError(f"both sides have {sorted(clash)}")
@@ -75,8 +79,13 @@ def overlap_join(
         return whole.withColumn(name, F.explode(F.sequence(F.col(first), high)))
 
     left, right = cut(rows, span, "_at", "_from"), cut(others, other_span, "_other_at", "_other_from")
-    equal = [F.col(a) == F.col(b) for a, b in keys] + [F.col("_at") == F.col("_other_at")]
     # The first bucket that both touch is the later of the two in which they begin.
-    equal.append(F.col("_at") == F.greatest("_from", "_other_from"))
-    equal += [F.col(span[0]) <= F.col(other_span[1]), F.col(other_span[0]) <= F.col(span[1])]
-    return left.join(right, reduce(lambda a, b: a & b, equal)).drop("_at", "_from", "_other_at", "_other_from")
+    exact = [F.col("_at") == F.greatest("_from", "_other_from")]
+    exact += [F.col(span[0]) <= F.col(other_span[1]), F.col(other_span[0]) <= F.col(span[1])]
+    on, other_on = [a for a, _ in keys] + ["_at"], [b for _, b in keys] + ["_other_at"]
+    if spread:
+        known = [F.col(a).isNotNull() for a in on]
+        joined = join_heavy(left.where(reduce(and_, known)), right, on, other_on, spread).where(reduce(and_, exact))
+    else:
+        joined = left.join(right, reduce(and_, [F.col(a) == F.col(b) for a, b in zip(on, other_on)] + exact))
+    return joined.drop("_at", "_from", "_other_at", "_other_from")

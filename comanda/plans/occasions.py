@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from comanda.operators.asof import DAY
 from comanda.operators.cleaning import dedupe
 from comanda.operators.intervals import RUN, overlap_join, runs_of_days
 from comanda.operators.rolling import rolling_sum
@@ -27,13 +28,14 @@ def sales_by_days_off(items: DataFrame, date_dim: DataFrame) -> DataFrame:
     lines = with_revenue(items, "TOTAL_REVENUE").withColumn("_day", F.to_date("CREATION_TIME_UTC"))
     orders = lines.groupBy("ORDER_ID", "_day").agg(F.sum("TOTAL_REVENUE").alias("_revenue"))
     runs = days_off(date_dim)
-    met = overlap_join(orders, runs, ("_day", "_day"), RUN[:2])
+    met = overlap_join(orders, runs, ("_day", "_day"), RUN[:2], bucket_seconds=DAY)
     # An order whose lines lie on two days of a run is one order of it.
     per_order = met.groupBy(*RUN, "ORDER_ID").agg(F.sum("_revenue").alias("_revenue"))
     sums = per_order.groupBy(*RUN).agg(
         F.sum("_revenue").alias("TOTAL_REVENUE"), F.count("ORDER_ID").alias("TOTAL_ORDERS")
     )
-    both = sums.unionByName(runs.withColumns({"TOTAL_REVENUE": F.lit(0).cast(sums.schema["TOTAL_REVENUE"].dataType), "TOTAL_ORDERS": F.lit(0).cast("bigint")}))
+    none = F.lit(0).cast(sums.schema["TOTAL_REVENUE"].dataType)
+    both = sums.unionByName(runs.withColumns({"TOTAL_REVENUE": none, "TOTAL_ORDERS": F.lit(0).cast("bigint")}))
     return both.groupBy(*RUN).agg(
         F.coalesce(F.sum("TOTAL_REVENUE"), F.lit(0)).cast("decimal(38,2)").alias("TOTAL_REVENUE"),
         F.sum("TOTAL_ORDERS").alias("TOTAL_ORDERS"),
@@ -48,8 +50,10 @@ def order_streaks(items: DataFrame) -> DataFrame:
 
 def streaks_on_days_off(items: DataFrame, date_dim: DataFrame) -> DataFrame:
     """Each streak of a restaurant with the runs of days off that it touches, and the days they share."""
-    streaks = order_streaks(items).withColumnsRenamed({"FIRST_DAY": "STREAK_FIRST", "LAST_DAY": "STREAK_LAST", "DAYS": "STREAK_DAYS"})
-    met = overlap_join(streaks, days_off(date_dim), ("STREAK_FIRST", "STREAK_LAST"), RUN[:2])
+    streaks = order_streaks(items).withColumnsRenamed(
+        {"FIRST_DAY": "STREAK_FIRST", "LAST_DAY": "STREAK_LAST", "DAYS": "STREAK_DAYS"}
+    )
+    met = overlap_join(streaks, days_off(date_dim), ("STREAK_FIRST", "STREAK_LAST"), RUN[:2], bucket_seconds=7 * DAY)
     shared = F.datediff(F.least("STREAK_LAST", "LAST_DAY"), F.greatest("STREAK_FIRST", "FIRST_DAY")) + 1
     return met.withColumn("DAYS_SHARED", shared)
 

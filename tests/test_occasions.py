@@ -46,8 +46,8 @@ def test_overlap_join(spark, bucket, points):
         left = [(n, k, a, a) for n, k, a, _ in left]
     a = spark.createDataFrame([(n, k, day(x), day(y)) for n, k, x, y in left], "n int, k string, x date, y date")
     b = spark.createDataFrame([(n, k, day(x), day(y)) for n, k, x, y in right], "m int, l string, u date, v date")
-    for keys in ([], [("k", "l")]):
-        joined = overlap_join(a, b, ("x", "x") if points else ("x", "y"), ("u", "v"), keys, bucket)
+    for keys, spread in ([], []), ([("k", "l")], []), ([], ["n"]), ([("k", "l")], ["n"]):
+        joined = overlap_join(a, b, ("x", "x") if points else ("x", "y"), ("u", "v"), keys, bucket, spread)
         found = sorted((r.n, r.m) for r in joined.collect())
         wanted = sorted(
             (n, m) for n, k, x, y in left for m, other, u, v in right
