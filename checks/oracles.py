@@ -631,6 +631,9 @@ QUERIES = {
     "report_gap_box": f"""SELECT CHURN_STATUS, min(x) AS MINIMUM, {_quantile(0.25, 'Q1')},
         {_quantile(0.5, 'MEDIAN')}, {_quantile(0.75, 'Q3')}, max(x) AS MAXIMUM
         FROM gap_places GROUP BY 1""",
+    "report_gap_quantiles": """SELECT CHURN_STATUS, count(AVG_ORDER_GAP_DAYS) AS ROWS, min(AVG_ORDER_GAP_DAYS) AS LEAST,
+        max(AVG_ORDER_GAP_DAYS) AS MOST, true AS NEAR FROM churn_gold
+        WHERE CHURN_STATUS IS NOT NULL GROUP BY 1 HAVING count(AVG_ORDER_GAP_DAYS) > 0""",
     "report_churn_scatter": """SELECT CUSTOMER_ID, DAYS_SINCE_LAST_ORDER, SPEND_CHANGE_PERCENT,
         CHURN_STATUS FROM churn_gold""",
     "report_retention_targets": f"""SELECT {CHURN_OUT} FROM churn_gold
@@ -707,6 +710,7 @@ QUERIES = {
 
 # The same result by another way through the engine.
 QUERIES |= {
+    "sales_daily_streamed": QUERIES["sales_daily"],
     "csv_typed_items": QUERIES["csv_inferred_items"],
     "csv_typed_options": QUERIES["csv_inferred_options"],
     "csv_typed_dates": QUERIES["csv_inferred_dates"],
