@@ -45,16 +45,18 @@ def join_heavy(
     spread: Sequence[str],
     how: str = "inner",
     parts: int = PARTS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Rows joined to ``others`` (inner, left, left_semi or left_anti); NULL keys are equal.
 
     Rows of a key that holds more than a ``parts``-th of all are dealt out by the hash of the ``spread`` columns, which should
     tell rows of one key apart and stay the same when a task runs again. The columns of ``others`` must
-    have other names than those of ``rows``. Reads ``rows`` twice.
+    have other names than those of ``rows``. Reads ``rows`` twice, unless ``heavy`` gives what ``heavy_keys`` found in
+    them, or in rows with the same keys, before.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"rows of the other side are repeated, so {how} is not possible")
-    heavy = F.broadcast(heavy_keys(rows, keys, parts))
+    heavy = F.broadcast(heavy_keys(rows, keys, parts) if heavy is None else heavy)
 
     def with_salts(side: DataFrame, by: Sequence[str]) -> DataFrame:
         return side.join(heavy, F.xxhash64(*by) == F.col("_key"), "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
