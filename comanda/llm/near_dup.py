@@ -43,6 +43,8 @@ BLOCK = 64
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD1, _ODD2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+# Shingles sketched at a time; each takes some 60 bytes meanwhile.
+_TOGETHER = 1 << 18
 _WORDS_REMEMBERED = 500_000
 
 
@@ -78,10 +80,23 @@ def shingle_set(text: str, words: int, known: WordHashes) -> np.ndarray:
     return np.unique(made)
 
 
-def sketches(sets: list[np.ndarray], places: int = COORDINATES) -> np.ndarray:
-    """A row of filled places per non-empty set; places hold the round and the value that won."""
+def sketches(sets: list[np.ndarray], places: int = COORDINATES, together: int = _TOGETHER) -> np.ndarray:
+    """A row of filled places per non-empty set; places hold the round and the value that won.
+
+    Sets are sketched in lots of about ``together`` shingles, so the memory beside the sets does not grow with long texts
+    that come together. A set's row does not depend on the lot.
+    """
+    if not sets:
+        return np.empty((0, places), np.uint64)
+    ends = np.cumsum([len(s) for s in sets])
+    cuts = np.flatnonzero(np.diff((ends - 1) // together)) + 1
+    lots = [sets[a:b] for a, b in zip([0, *cuts], [*cuts, len(sets)])]
+    return np.concatenate([_sketched(lot, places) for lot in lots])
+
+
+def _sketched(sets: list[np.ndarray], places: int) -> np.ndarray:
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    items = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    items = np.concatenate(sets)
     filled = np.full(len(sets) * places, _EMPTY)
     missing = np.full(len(sets), places)
     for turn in range(2 * places):

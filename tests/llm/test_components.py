@@ -69,3 +69,16 @@ def test_a_hub_is_dealt_out(spark, monkeypatch):
     assert {r.component for r in module.components(links).collect()} == {0}
     # Half of the edges end at the hub, and the component holds all nodes: about 100 and 200 parts.
     assert ("b", {100}) in salted and ("component", {200}) in salted
+
+
+def test_sketches_do_not_depend_on_the_lot():
+    import numpy as np
+
+    from comanda.llm.near_dup import sketches
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64)) for size in (1, 700, 3, 2000, 50, 1, 900)]
+    whole = sketches(sets, together=10**9)
+    assert all((sketches(sets, together=n) == whole).all() for n in (1, 2, 704, 1000))
+    assert all((sketches([s])[0] == row).all() for s, row in zip(sets, whole))
+    assert sketches([]).shape[0] == 0
