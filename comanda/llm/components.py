@@ -9,7 +9,7 @@ from comanda.operators.heavy import heavy_keys, join_heavy
 from comanda.staging import stage, stage_path
 
 
-def _met(rows: DataFrame, others: DataFrame, key: str, other_key: str, spread: str, how: str, heavy: DataFrame) -> DataFrame:
+def met(rows: DataFrame, others: DataFrame, key: str, other_key: str, spread: str, how: str, heavy: DataFrame) -> DataFrame:
     """Rows joined to the one row of their key; heavy keys are dealt out, where there are any."""
     if heavy.isEmpty():
         return rows.join(others, F.col(key) == F.col(other_key), how)
@@ -33,11 +33,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = stage(labels.withColumnRenamed("a", "node"), "labels").df
     while True:
         far = labels.select(F.col("node").alias("_at"), F.col("component").alias("_label"))
-        near = _met(edges, far, "b", "_at", "a", "inner", hubs).groupBy("a").agg(F.min("_label").alias("_near"))
+        near = met(edges, far, "b", "_at", "a", "inner", hubs).groupBy("a").agg(F.min("_label").alias("_near"))
         jump = far.select(F.col("_at").alias("_jump"), F.col("_label").alias("_over"))
         own = labels.join(near, F.col("node") == F.col("a"), "left")
         giants = heavy_keys(labels, ["component"])
-        fallen = _met(own, jump, "component", "_jump", "node", "left", giants).select(
+        fallen = met(own, jump, "component", "_jump", "node", "left", giants).select(
             "node", "component", F.least("component", "_near", "_over").alias("_new")
         )
         seen, path = Observation(), stage_path(spark, "labels")

@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comanda.llm.common import map_rows
-from comanda.llm.components import components
+from comanda.llm.components import components, met
+from comanda.operators.heavy import PARTS
 from comanda.staging import stage
 
 WORDS, PERCENT = 5, 80
@@ -40,6 +41,8 @@ SURE_MATCHES = 132
 FINE_PLACES = 1200
 FINE_MATCHES = int(FINE_PLACES * (0.8 + 0.2 / 256) - 5 * (FINE_PLACES * 0.8 * 0.2) ** 0.5)
 BLOCK = 64
+# Blocks of one bucket meet in squares of this many by as many, each with a join key of its own.
+SIDE = 32
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD1, _ODD2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -173,6 +176,19 @@ def _band_keys(classes: DataFrame) -> DataFrame:
     return classes.select("rep", F.posexplode(keys).alias("band", "key"))
 
 
+def _heavy_buckets(buckets: DataFrame) -> DataFrame:
+    """Buckets with a large share of all members, in the form of ``heavy_keys``; at most ``PARTS``."""
+    members = buckets.agg(F.sum("n")).first()[0] or 1
+    share = F.col("n") * PARTS / F.lit(members)
+    heavy = buckets.where(share > 1).select(F.xxhash64("key").alias("_key"), F.ceil(share).cast("int").alias("_salts"))
+    return stage(heavy, "heavy-buckets").df
+
+
+def _of_bucket(members: DataFrame, buckets: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Members with the row of their bucket; those of a heavy bucket are dealt out over several tasks."""
+    return met(members, buckets.withColumnRenamed("key", "_bucket"), "key", "_bucket", "rep", "inner", heavy).drop("_bucket")
+
+
 def _fine_sketches(texts: DataFrame, words: int) -> DataFrame:
     """``id``, size of the set and a sketch of many one-byte places."""
 
@@ -194,7 +210,8 @@ def _fine_sketches(texts: DataFrame, words: int) -> DataFrame:
 def _compare_in_blocks(loose: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
     """Pairs of a loose member and one of another component in its bucket that may be similar enough.
 
-    A row holds a block of loose members and a block of members, so that few blocks are sent twice.
+    A row holds a block of loose members and a block of members, so that few blocks are sent twice. A large bucket is a
+    grid of squares (``_down``, ``_across``), so no task has more than one square of it to itself.
     """
 
     def start() -> Callable[[list[dict]], Iterable[tuple]]:
@@ -222,11 +239,18 @@ def _compare_in_blocks(loose: DataFrame, blocks: DataFrame, percent: int) -> Dat
         return work
 
     kind = loose.schema["asked"].dataType.elementType["rep"].dataType.simpleString()
-    return map_rows(loose.join(blocks, "key"), f"a {kind}, b {kind}", start, chunk=4).distinct()
+    squares = loose.join(blocks, ["key", "_down", "_across"])
+    return map_rows(squares, f"a {kind}, b {kind}", start, chunk=4).distinct()
 
 
 def _remaining_pairs(
-    members: DataFrame, known: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int
+    members: DataFrame,
+    heavy: DataFrame,
+    known: DataFrame,
+    classes: DataFrame,
+    texts: DataFrame,
+    words: int,
+    percent: int,
 ) -> DataFrame | None:
     """Pairs across components in one bucket that pairs with its smallest member did not settle; None if none."""
     several = members.where("n > 2").select("key", "band", "rep").join(known, F.col("rep") == F.col("node"), "left")
@@ -245,25 +269,30 @@ def _remaining_pairs(
     mixed = stage(mixed.drop("_parts"), "mixed-buckets")
     if not mixed.rows:
         return None
-    inside = stage(several.join(mixed.df, "key"), "mixed-members").df
+    inside = stage(_of_bucket(several, mixed.df, heavy), "mixed-members").df
     asked = texts.join(inside.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     fine = _fine_sketches(asked, words).select(F.col("id").alias("rep"), "size", "fine")
     sketched = stage(classes.select("rep", "sketch").join(fine, "rep"), "fine-sketches").df
     own = F.struct("rep", "component", "size", "sketch", "fine")
 
-    def in_blocks(rows: DataFrame, name: str, size: Column, *with_key: str) -> DataFrame:
+    def in_blocks(rows: DataFrame, name: str, size: Column, others: Column, along: str, over: str, *more: str) -> DataFrame:
+        """Blocks of rows, each laid ``along`` one side of its bucket's grid and repeated ``over`` the other."""
         block = F.pmod(F.xxhash64("rep"), F.ceil(size / BLOCK)).alias("_block")
+        squares = F.ceil(others / (BLOCK * SIDE)).alias("_squares")
         return (
-            rows.select("key", "rep", "component", block, *with_key)
+            rows.select("key", "rep", "component", block, squares, *more)
             .join(sketched, "rep")
-            .groupBy("key", "_block", *with_key)
+            .groupBy("key", "_block", "_squares", *more)
             .agg(F.collect_list(own).alias(name))
-            .drop("_block")
+            .withColumn(along, F.floor(F.col("_block") / SIDE))
+            .withColumn(over, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_squares") - 1)))
+            .drop("_block", "_squares")
         )
 
     loose = inside.where(F.col("component") != F.col("main"))
-    asked = in_blocks(loose, "asked", F.col("_size") - F.col("_in_main"), "band", "main")
-    return _compare_in_blocks(asked, in_blocks(inside, "members", F.col("_size")), percent)
+    n_loose, n_all = F.col("_size") - F.col("_in_main"), F.col("_size")
+    asked = in_blocks(loose, "asked", n_loose, n_all, "_down", "_across", "band", "main")
+    return _compare_in_blocks(asked, in_blocks(inside, "members", n_all, n_loose, "_across", "_down"), percent)
 
 
 def near_duplicates(
@@ -295,14 +324,16 @@ def near_duplicates(
     classes = stage(classes, "classes").df
     keys = _band_keys(classes.where(F.col("rep").isNotNull()))
     buckets = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stage(keys.join(stage(buckets, "buckets").df, "key"), "members").df
+    buckets = stage(buckets, "buckets").df
+    heavy = _heavy_buckets(buckets)
+    members = stage(_of_bucket(keys, buckets, heavy), "members").df
     wanted = members.select(F.col("rep").alias("id")).distinct()
     texts = named.where(F.col("text").isNotNull()).withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
     texts = stage(texts, "candidate-texts").df
     star = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = stage(_confirmed(star, texts, words, percent), "links").df
     known = components(links)
-    more = _remaining_pairs(members, known, classes, texts, words, percent)
+    more = _remaining_pairs(members, heavy, known, classes, texts, words, percent)
     if more is not None:
         found = stage(_confirmed(more, texts, words, percent), "more-links")
         if found.rows:

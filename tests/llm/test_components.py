@@ -71,6 +71,42 @@ def test_a_hub_is_dealt_out(spark, monkeypatch):
     assert ("b", {100}) in salted and ("component", {200}) in salted
 
 
+def test_mixed_buckets_meet_in_squares_without_adaptive_execution(spark, monkeypatch):
+    from comanda.llm import near_dup
+    from tests.llm.test_brute import as_docs, groups, near_texts
+
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    monkeypatch.setattr(near_dup, "SIDE", 2)
+    squares, compared = [], near_dup._compare_in_blocks
+
+    def watched(loose, blocks, percent):
+        squares.append(loose.select("key", "_down", "_across").distinct().groupBy("key").count().agg(F.max("count")).first()[0])
+        return compared(loose, blocks, percent)
+
+    monkeypatch.setattr(near_dup, "_compare_in_blocks", watched)
+    texts = near_texts()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        found = {r.doc_id: r.component_id for r in near_dup.near_duplicates(as_docs(spark, texts), words=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert found == groups(dict(enumerate(texts)), 2)
+    assert squares and max(squares) > 1
+
+
+def test_heavy_buckets_come_from_their_counts(spark):
+    from comanda.llm import near_dup
+
+    sizes = [(1, 0, 1000), *[(key, 0, 2) for key in range(2, 502)]]
+    heavy = near_dup._heavy_buckets(spark.createDataFrame(sizes, "key bigint, pivot bigint, n bigint"))
+    assert [r["_salts"] for r in heavy.collect()] == [100]
+    empty = spark.createDataFrame([], "key bigint, pivot bigint, n bigint")
+    assert near_dup._heavy_buckets(empty).isEmpty()
+
+
 def test_sketches_do_not_depend_on_the_lot():
     import numpy as np
 
