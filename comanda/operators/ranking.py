@@ -3,7 +3,8 @@
 A rank depends only on how many rows hold a smaller value, so everything here works on counts
 per distinct value. Counting first merges ties before the shuffle: a value shared by a third of
 the rows is one row from then on. The distinct values are range-partitioned by Spark and stored
-with their partition number, so the bucket of a value is decided once. Running counts are taken
+with the number of their bucket, so the bucket of a value is decided once. A bucket is a run of values inside a
+partition; small buckets share a partition, so their number asks for no more tasks. Running counts are taken
 inside each bucket and shifted by the totals of the buckets below. NULL is the smallest value,
 as in Spark's default sort order.
 
@@ -22,6 +23,8 @@ from comanda.functions.metrics import ratio
 from comanda.staging import Staged, stage
 
 ROWS_PER_BUCKET = 1_000_000
+# Buckets smaller than this share a task and a file.
+ROWS_PER_TASK = 100_000
 
 COPIES, ROWS_BEFORE, VALUES_BEFORE, GROUP_ROWS = "COPIES", "ROWS_BEFORE", "VALUES_BEFORE", "GROUP_ROWS"
 
@@ -52,12 +55,17 @@ def value_positions(
 
 
 def _value_counts(source: Staged, value: str, by: Sequence[str], rows_per_bucket: int) -> DataFrame:
-    """COPIES of each distinct value with the bucket of its range, stored."""
+    """COPIES of each distinct value with the bucket of its range, stored.
+
+    The ids that Spark hands out rise by row and by partition, and leave a gap between partitions that no bucket spans.
+    """
     by = list(by)
     counts = source.df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(COPIES))
     ranges = [F.asc_nulls_first(c) for c in (*by, value)]
-    counts = counts.repartitionByRange(source.buckets(rows_per_bucket), *ranges)
-    return stage(counts.withColumn("_bucket", F.spark_partition_id()), "value-counts").df
+    tasks = source.buckets(max(rows_per_bucket, ROWS_PER_TASK))
+    counts = counts.repartitionByRange(tasks, *ranges).sortWithinPartitions(*ranges)
+    bucket = F.floor(F.monotonically_increasing_id() / rows_per_bucket)
+    return stage(counts.withColumn("_bucket", bucket), "value-counts").df
 
 
 def _positions(counts: DataFrame, value: str, by: Sequence[str], descending: bool) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from comanda.operators.ranking import (
+    _value_counts,
     exact_quantiles,
     global_dense_rank,
     global_percent_rank,
@@ -57,6 +58,18 @@ def test_ranks_match_the_window_functions(spark, kind, rows_per_bucket):
     assert sorted(dr.collect()) == sorted(expected.select("id", "dr").collect())
 
 
+def test_small_buckets_share_tasks_and_files(spark):
+    source = Staged.stored(spark.range(3_000).selectExpr("id", "if(id % 7 = 0, null, id % 1000) AS v"))
+    counts = _value_counts(source, "v", (), 5)
+    assert len(counts.inputFiles()) == 1
+    sizes = [r["count"] for r in counts.groupBy("_bucket").count().collect()]
+    assert len(sizes) == 201 and max(sizes) == 5
+    found = {r["v"]: (r["ROWS_BEFORE"], r["VALUES_BEFORE"]) for r in value_positions(source, "v", rows_per_bucket=5).collect()}
+    rows = sorted(-1 if i % 7 == 0 else i % 1000 for i in range(3_000))
+    distinct = sorted(set(rows))
+    assert found == {None if v == -1 else v: (rows.index(v), n) for n, v in enumerate(distinct)}
+
+
 def scores_by_rank(customers):
     """The scores straight from Spark's percent rank."""
     ranks = [f"percent_rank() OVER (ORDER BY {m} ASC NULLS FIRST) AS _{m}" for m in METRICS]
