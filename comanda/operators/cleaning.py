@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from comanda.functions import bits
 from comanda.functions import cleaning as fn
 from comanda.schemas import SILVER, conform, schema_of
 
+# Bits of the broadcast bitmap of repeated keys (16 MB).
+SLOTS = 2**27
+
 TEXT_COLUMNS = ("APP_NAME", "RESTAURANT_ID", "CURRENCY", "ITEM_CATEGORY", "ITEM_NAME")
 
 
@@ -18,18 +22,38 @@ def _is_text(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, StringType)
 
 
-def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def least_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key: the least one, comparing the other columns in order, NULL first.
 
     NULL is one key. Spark turns the filter on the row number into a group limit before the
     shuffle, so each task sends one row per key at most and a key that fills a third of the
-    table never meets in one task.
+    table never meets in one task. All rows are sorted and shuffled whole: for small tables.
     """
     rest = [c for c in df.columns if c not in keys]
     first = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_first(c) for c in rest or keys])
     return df.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
+def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``least_rows`` of a large table: only rows whose key may come again are sorted and shuffled.
+
+    One pass counts a hash of each key; those that come again are marked in a bitmap of ``SLOTS`` bits, which is
+    broadcast and never larger, whatever the size of the table. A row whose slot is not marked has a key of its own
+    and stays where it is. Two keys of one slot send a row more through the window, which changes no result. Reads
+    ``df`` three times, so it should come from storage and give the same rows each time.
+    """
+    told = _repeated(df, keys, "_again")
+    return told.where(~F.col("_again")).drop("_again").unionAll(least_rows(told.where("_again").drop("_again"), keys))
+
+
+def _repeated(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Rows with a flag: true for every row whose key comes again, and for a few of the others."""
+    hashed, slots = F.xxhash64(*keys), F.lit(SLOTS)
+    counts = df.select(hashed.alias("_hash")).groupBy("_hash").count().where("count > 1")
+    again = bits.sets_of(counts.select(F.pmod("_hash", slots).alias("_slot")), "_slot")
+    return bits.with_member(df, F.pmod(hashed, slots), again, out)
+
+
 def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.trim(c) for c in columns})
 
@@ -72,8 +96,13 @@ def valid_lines(df: DataFrame) -> DataFrame:
 
 
 def singleton_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value combinations that occur exactly once; every copy of a repeated one goes."""
-    return df.groupBy(*columns).count().where("count = 1").drop("count")
+    """Value combinations that occur exactly once; every copy of a repeated one goes.
+
+    Only rows that may come again are counted whole, see ``dedupe``.
+    """
+    told = _repeated(df.select(*columns), columns, "_again")
+    counted = told.where("_again").groupBy(*columns).count().where("count = 1").drop("count")
+    return told.where(~F.col("_again")).drop("_again").unionAll(counted)
 
 
 def clean_order_items(raw: DataFrame) -> DataFrame:
@@ -100,7 +129,7 @@ def clean_date_dim(raw: DataFrame) -> DataFrame:
 
     Columns that the schema does not name stay behind those that it names.
     """
-    df = dedupe(raw, ["date_key"])
+    df = least_rows(raw, ["date_key"])
     df = df.withColumn("date_key", fn.calendar_day(df["date_key"]))
     df = to_int(df, ["year", "month", "week"])
     df = to_bool(trim_columns(df, ["day_of_week", "holiday_name"]), ["is_weekend", "is_holiday"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.operators.asof import DAY
-from comanda.operators.cleaning import dedupe
+from comanda.operators.cleaning import least_rows
 from comanda.operators.intervals import RUN, overlap_join, runs_of_days
 from comanda.operators.rolling import rolling_sum
 from comanda.plans.shared import customer_lines, with_revenue
@@ -16,7 +16,7 @@ SPEND_DAYS = 90
 
 def days_off(date_dim: DataFrame) -> DataFrame:
     """Runs of consecutive weekend days and holidays. Of several rows with one date the least counts."""
-    calendar = dedupe(date_dim.where(F.col("date_key").isNotNull()), ["date_key"])
+    calendar = least_rows(date_dim.where(F.col("date_key").isNotNull()), ["date_key"])
     return runs_of_days(calendar.where(F.col("is_weekend") | F.col("is_holiday")), "date_key")
 
 

@@ -83,6 +83,31 @@ def test_dedupe_limits_a_hot_key_before_the_shuffle(spark):
     assert kept.count() == df.select("k").distinct().count()
 
 
+def test_dedupe_sends_only_rows_of_repeated_keys_through_the_window(spark, monkeypatch):
+    df = spark.range(5_000).selectExpr(
+        "if(id % 1000 = 0, null, id % 4990) AS k", "cast(id % 3 AS double) AS v", "if(id % 2 = 0, null, id) AS w"
+    )
+    seen, window = [], cleaning.least_rows
+    expected = sorted(map(str, window(df, ["k"]).collect()))
+    monkeypatch.setattr(cleaning, "least_rows", lambda rows, keys: seen.append(rows.count()) or window(rows, keys))
+    assert sorted(map(str, cleaning.dedupe(df, ["k"]).collect())) == expected
+    assert len(seen) == 1 and 23 <= seen[0] < 50
+    monkeypatch.setattr(cleaning, "SLOTS", 1)  # every slot is marked: all rows take the window
+    assert sorted(map(str, cleaning.dedupe(df, ["k"]).collect())) == expected
+    assert seen[-1] == 5_000
+
+
+@pytest.mark.parametrize("slots", [cleaning.SLOTS, 1])
+def test_only_rows_that_may_come_again_are_counted_whole(spark, monkeypatch, slots):
+    monkeypatch.setattr(cleaning, "SLOTS", slots)
+    df = spark.range(2_000).selectExpr("if(id % 500 = 0, null, id % 1990) AS k", "string(id % 1990 % 9) AS v", "id AS other")
+    kept = cleaning.singleton_rows(df, ["k", "v"])
+    plain = df.groupBy("k", "v").count().where("count = 1").drop("count")
+    assert sorted(map(str, kept.collect())) == sorted(map(str, plain.collect())) and kept.columns == ["k", "v"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "xxhash64" in plan
+
+
 def test_columns_that_the_schema_does_not_name_stay(spark):
     items = raw(spark, dict(l="a"), dict(l="b")).withColumn("NOTE", F.lit("kept"))
     once = cleaning.clean_order_items(items)
