@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from comanda.functions import bits
 from comanda.operators.ranking import ROWS_PER_BUCKET, VALUES_BEFORE, value_positions
 from comanda.plans.sales import TIME, with_time_of_day
 from comanda.plans.shared import with_revenue
@@ -63,16 +64,14 @@ def order_sets(items: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> Data
 
 
 def _sets(positions: DataFrame) -> DataFrame:
-    found = positions.groupBy(*KEYS, "ORDER_BUCKET").agg(
-        F.collect_set(F.col("_position").cast("smallint")).alias("_few"), F.bitmap_construct_agg("_position").alias("_bits")
-    )
-    dense = F.size("_few") >= DENSE
-    return found.select(
-        *KEYS,
-        "ORDER_BUCKET",
-        F.when(~dense, F.array_sort("_few")).alias("POSITIONS"),
-        F.when(dense, F.col("_bits")).alias("BITS"),
+    """``positions`` are distinct rows. Only groups of ``DENSE`` orders or more get a bitmap while they are gathered."""
+    group = [*KEYS, "ORDER_BUCKET"]
+    rows = positions.repartition(*group).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    few = rows.where(F.col("_n") < DENSE).groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.col("_position").cast("smallint"))).alias("POSITIONS")
     )
+    dense = rows.where(F.col("_n") >= DENSE).groupBy(*group).agg(F.bitmap_construct_agg("_position").alias("BITS"))
+    return few.unionByName(dense, allowMissingColumns=True)
 
 
 def _by_month(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -81,13 +80,18 @@ def _by_month(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def exact_orders(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """TOTAL_ORDERS per ``by`` (columns of the sales, YEAR, MONTH; none for all), from ``order_sets`` alone."""
-    rows = _by_month(sets, by)
+    """TOTAL_ORDERS per ``by`` (columns of the sales, YEAR, MONTH; none for all), from ``order_sets`` alone.
+
+    Sets are merged by words of 64 orders, so a group takes as many rows as it has words, not a bitmap per bucket.
+    """
+    rows, position = _by_month(sets, by), F.col("_position")
     few = rows.where(F.col("BITS").isNull()).select(*by, "ORDER_BUCKET", F.explode("POSITIONS").alias("_position"))
-    few = few.groupBy(*by, "ORDER_BUCKET").agg(F.bitmap_construct_agg(F.col("_position").cast("bigint")).alias("BITS"))
-    dense = rows.where(F.col("BITS").isNotNull()).select(*by, "ORDER_BUCKET", "BITS")
-    merged = few.unionByName(dense).groupBy(*by, "ORDER_BUCKET").agg(F.bitmap_count(F.bitmap_or_agg("BITS")).alias("_n"))
-    return merged.groupBy(*by).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("TOTAL_ORDERS"))
+    few = few.select(*by, "ORDER_BUCKET", bits.word_of(position).alias("_word"), bits.lone_bit(position).alias("_bits"))
+    dense = rows.where(F.col("BITS").isNotNull()).select(
+        *by, "ORDER_BUCKET", F.posexplode(bits.words(F.col("BITS"))).alias("_word", "_bits")
+    )
+    merged = few.unionByName(dense).groupBy(*by, "ORDER_BUCKET", "_word").agg(F.bit_or("_bits").alias("_bits"))
+    return merged.groupBy(*by).agg(F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).alias("TOTAL_ORDERS"))
 
 
 def sketched_sales(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -33,6 +33,20 @@ def test_exact_orders(lines, monkeypatch, dense, by):
     assert found == counts(plain, by)
 
 
+def test_only_dense_groups_hold_a_bitmap(spark, lines, monkeypatch):
+    plan = rollup.exact_orders(stage(rollup.order_sets(lines), "sets").df, ["RESTAURANT_ID"])._jdf.queryExecution().toString()
+    assert "bitmap_or_agg" not in plan and "bitmap_construct_agg" not in plan  # a group keeps no bitmap while sets are merged
+    at = dict.fromkeys(rollup.KEYS, "x") | {"SALES_DATE": None}
+    rows = [at | {"ORDER_BUCKET": b, "_position": p} for b, n in ((1, 3), (2, 9)) for p in range(0, 40 * n, 40)]
+    monkeypatch.setattr(rollup, "DENSE", 5)
+    ddl = "SALES_DATE date, RESTAURANT_ID string, ITEM_CATEGORY string, TIME_OF_DAY string, ORDER_BUCKET bigint, _position bigint"
+    sets = rollup._sets(spark.createDataFrame(rows, ddl))
+    found = {r.ORDER_BUCKET: r for r in sets.collect()}
+    assert found[1].POSITIONS == [0, 40, 80] and found[1].BITS is None
+    assert found[2].POSITIONS is None and sum(b.bit_count() for b in found[2].BITS) == 9
+    assert rollup.exact_orders(sets).first().TOTAL_ORDERS == 12
+
+
 def test_numbers_have_no_gaps_and_follow_time(lines):
     found = rollup.order_numbers(lines, rows_per_bucket=20).collect()
     assert sorted(r.ORDER_NUMBER for r in found) == list(range(len(found)))
