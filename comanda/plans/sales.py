@@ -13,7 +13,8 @@ from comanda.functions.metrics import (
     time_of_day_label,
     time_of_day_number,
 )
-from comanda.operators.cleaning import dedupe
+from comanda.operators.cleaning import least_rows
+from comanda.operators.heavy import heavy_keys
 from comanda.plans.shared import with_revenue
 from comanda.schemas import GOLD, conform
 
@@ -55,16 +56,25 @@ def _measures() -> list[Column]:
     ]
 
 
-def _sales_lines(items: DataFrame) -> DataFrame:
-    """The columns that the summaries need, dealt out by all that they share and the order.
+SHARED = ["RESTAURANT_ID", "ITEM_CATEGORY", TIME_NUMBER]
+
+
+def _sales_lines(items: DataFrame, spread: bool = True) -> DataFrame:
+    """The columns that the summaries need, dealt out by all that they share and, if ``spread``, the order.
 
     That partitioning serves the count of orders of every period, so all summaries of one frame
     read one exchange; the date parts are put on above it to keep the exchange the same. The
-    order in the key keeps a busy restaurant or category spread.
+    order in the key keeps a busy restaurant or category spread; without it no sums move after the exchange.
     """
     lines = with_revenue(items, "TOTAL_REVENUE").withColumn(TIME_NUMBER, time_of_day_number(TIME))
-    shared = ["RESTAURANT_ID", "ITEM_CATEGORY", TIME_NUMBER, "ORDER_ID"]
-    return lines.select(TIME, *shared, "ITEM_QUANTITY", "TOTAL_REVENUE").repartition(*shared)
+    keys = [*SHARED, "ORDER_ID"] if spread else SHARED
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, so that none is joined to others
+    return lines.select(TIME, *SHARED, "ORDER_ID", "ITEM_QUANTITY", "TOTAL_REVENUE").repartition(parts, *keys)
+
+
+def _has_busy_group(items: DataFrame) -> bool:
+    """Whether a restaurant, category and time of day holds so many lines that one task should not take them all."""
+    return not heavy_keys(items.withColumn(TIME_NUMBER, time_of_day_number(TIME)), SHARED).isEmpty()
 
 
 def sales_summary(lines: DataFrame, columns: Sequence[str], period: str) -> DataFrame:
@@ -108,9 +118,10 @@ def sales_monthly(items: DataFrame) -> DataFrame:
 def sales_trends(items: DataFrame, iso_weeks: bool = False) -> DataFrame:
     """The three summaries in one table; columns a period lacks are NULL.
 
-    One scan and one shuffle of the lines; after it only partial sums move.
+    One scan and one shuffle of the lines; after it partial sums move only if some group is busy. Runs a job,
+    which looks for such groups with a frequent-items sketch.
     """
-    lines = _sales_lines(items)
+    lines = _sales_lines(items, _has_busy_group(items))
     trends = (
         _summary(lines, "DAILY")
         .unionByName(_summary(lines, "WEEKLY", iso_weeks), allowMissingColumns=True)
@@ -126,7 +137,7 @@ def with_calendar(items: DataFrame, date_dim: DataFrame) -> DataFrame:
     The calendar is one row per day. Spark broadcasts it when its size is under the session's
     limit and shuffles otherwise.
     """
-    calendar = dedupe(date_dim.where(F.col("date_key").isNotNull()), ["date_key"])
+    calendar = least_rows(date_dim.where(F.col("date_key").isNotNull()), ["date_key"])
     return items.join(calendar, F.to_date(items[TIME]) == calendar["date_key"], "left")
 
 

@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.workspace import workspace
 from comanda.plans import churn, clv, locations, loyalty, pricing, rfm, rollup, sales
+from tests.data import items
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -61,6 +63,23 @@ def test_sales_summaries_share_one_scan_and_one_shuffle_of_the_lines(ws):
     assert len(re.findall(r"ReusedExchange", final)) == 2
 
 
+def test_no_sums_of_sales_move_unless_a_group_is_busy(spark):
+    rows = [dict(ORDER_ID=f"o{n % 700}", RESTAURANT_ID=f"r{n % 30}", ITEM_CATEGORY=f"c{n % 17}",
+                 CREATION_TIME_UTC=None if n % 19 == 0 else f"2023-0{1 + n % 6}-0{1 + n % 5} {n % 24:02}:00:00")
+            for n in range(3_000)]
+    busy = [row | dict(RESTAURANT_ID="r0", ITEM_CATEGORY="c0") if n % 3 == 0 else row for n, row in enumerate(rows)]
+    for given, shuffles in ((rows, 1), (busy, 4)):
+        lines = items(spark, given)
+        found = sales.sales_trends(lines)
+        assert len(set(re.findall(r"Exchange hashpartitioning.*plan_id=(\d+)", plan_of(found).split("Subquery")[0]))) >= shuffles
+        assert ("Exchange hashpartitioning(RESTAURANT_ID" in plan_of(found)) and plan_of(found).count("ENSURE_REQUIREMENTS") == shuffles - 1
+        orders = found.where("SALES_PERIOD = 'MONTHLY'").groupBy("RESTAURANT_ID").agg(F.sum("TOTAL_ORDERS")).collect()
+        months = sales.with_time_of_day(sales.with_date_parts(lines))
+        keys = ["YEAR", "MONTH", "RESTAURANT_ID", "ITEM_CATEGORY", "TIME_OF_DAY"]
+        plain = months.groupBy(*keys).agg(F.count_distinct("ORDER_ID").alias("n")).groupBy("RESTAURANT_ID").agg(F.sum("n")).collect()
+        assert sorted(orders) == sorted(plain)
+
+
 def test_pricing_join_reuses_the_partitioning_of_its_aggregates(ws, spark):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
