@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from comanda.schemas import GOLD, REPORT_DATASETS, schema_of
+from comanda.staging import CODEC
 
 
 def table_path(root: str, table: str) -> str:
@@ -30,7 +31,7 @@ def write_layer(
     df: DataFrame, root: str, table: str, partition_by: tuple[str, ...] = ()
 ) -> None:
     """Replace a table folder."""
-    df.write.mode("overwrite").parquet(table_path(root, table), partitionBy=list(partition_by) or None)
+    df.write.mode("overwrite").parquet(table_path(root, table), partitionBy=list(partition_by) or None, compression=CODEC)
 
 
 def write_counted(df: DataFrame, root: str, table: str) -> int:

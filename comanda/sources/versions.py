@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from comanda.operators.cleaning import dedupe
 from comanda.schemas import schema_of
 from comanda.sources.lake import table_path
+from comanda.staging import CODEC
 
 POINTER, BUCKET = "_current.json", "_bucket"
 BUCKETS = 256
@@ -84,11 +85,11 @@ def replace_table(
         if partition_by:
             raise ValueError("a table is stored by buckets or by columns, not both")
         placed = _bucketed(df, keys, buckets)
-        placed.write.partitionBy(BUCKET).parquet(f"{folder}/{name}")
+        placed.write.partitionBy(BUCKET).parquet(f"{folder}/{name}", compression=CODEC)
         held = _written(spark, f"{folder}/{name}")
         pointer |= {"keys": list(keys), "buckets": buckets, "folders": {str(b): f"{name}/{BUCKET}={b}" for b in held}}
     else:
-        df.write.parquet(f"{folder}/{name}", partitionBy=list(partition_by) or None)
+        df.write.parquet(f"{folder}/{name}", partitionBy=list(partition_by) or None, compression=CODEC)
     _point(spark, root, table, pointer, before)
 
 
@@ -138,9 +139,10 @@ def merge_table(changes: DataFrame, root: str, table: str, deleted: DataFrame |
     keys, buckets, folder = before["keys"], before["buckets"], table_path(root, table)
     declared = schema_of_json(before["schema"])
     fresh = dedupe(changes.select(declared.fieldNames()), keys)
-    gone = fresh.select(*keys)
+    gone = changes.select(*keys)
     if deleted is not None:
-        gone = gone.unionByName(deleted.select(*keys)).distinct()
+        gone = gone.unionByName(deleted.select(*keys))
+    gone = gone.distinct()
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     touched = sorted(r[0] for r in gone.select(bucket.alias("b")).distinct().collect())
     if not touched:
@@ -152,7 +154,7 @@ def merge_table(changes: DataFrame, root: str, table: str, deleted: DataFrame |
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     merged = held.join(out, same, "left_anti").unionByName(fresh)
     name = f"data-{uuid.uuid4().hex}"
-    _bucketed(merged, keys, buckets).write.partitionBy(BUCKET).parquet(f"{folder}/{name}")
+    _bucketed(merged, keys, buckets).write.partitionBy(BUCKET).parquet(f"{folder}/{name}", compression=CODEC)
     made = _written(spark, f"{folder}/{name}")
     folders = {b: f for b, f in before["folders"].items() if int(b) not in touched}
     folders |= {str(b): f"{name}/{BUCKET}={b}" for b in made}
