@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.metrics import ratio
+from comanda.operators.heavy import heavy_keys
 from comanda.operators.ranking import ROWS_PER_BUCKET, global_dense_rank
 from comanda.plans.shared import with_customer, with_revenue
 from comanda.schemas import GOLD, conform
@@ -19,26 +20,35 @@ def location_metrics(items: DataFrame, day_grain: bool = False) -> DataFrame:
     """Totals and rates per restaurant.
 
     ACTIVE_DAYS counts distinct order times as they stand; ``day_grain`` counts calendar days.
-    Lines are first summed up per order and time: the two distinct counts then expand orders, not
-    lines.
+    Lines are dealt out by restaurant, and by order and time too if a restaurant is busy. Orders and times are
+    counted by two aggregates over that one shuffle. Runs a job, which looks for busy restaurants.
     """
     sales_date = F.to_date(TIME) if day_grain else F.col(TIME)
-    visits = (
-        with_revenue(items, "TOTAL_REVENUE")
-        .groupBy("RESTAURANT_ID", "ORDER_ID", TIME)
-        .agg(F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"))
-    )
-    per_location = (
-        visits.withColumn("SALES_DATE", sales_date)
+    busy = not heavy_keys(items, ["RESTAURANT_ID"]).isEmpty()
+    keys = ["RESTAURANT_ID", "ORDER_ID", TIME] if busy else ["RESTAURANT_ID"]
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, so that none is joined to others
+    lines = with_revenue(items, "TOTAL_REVENUE").select("RESTAURANT_ID", "ORDER_ID", TIME, "TOTAL_REVENUE")
+    lines = lines.repartition(parts, *keys)
+    orders = (
+        lines.groupBy("RESTAURANT_ID", "ORDER_ID")
+        .agg(F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"), F.min(TIME).alias("_first"), F.max(TIME).alias("_last"))
         .groupBy("RESTAURANT_ID")
         .agg(
             F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"),
-            F.count_distinct("ORDER_ID").alias("TOTAL_ORDERS"),
-            F.count_distinct("SALES_DATE").alias("ACTIVE_DAYS"),
-            F.min(TIME).alias("FIRST_ORDER_DATE"),
-            F.max(TIME).alias("LAST_ORDER_DATE"),
+            F.count("ORDER_ID").alias("TOTAL_ORDERS"),
+            F.min("_first").alias("FIRST_ORDER_DATE"),
+            F.max("_last").alias("LAST_ORDER_DATE"),
         )
     )
+    days = (
+        lines.select(F.col("RESTAURANT_ID").alias("_restaurant"), sales_date.alias("_day"))
+        .distinct()
+        .groupBy("_restaurant")
+        .agg(F.count("_day").alias("ACTIVE_DAYS"))
+    )
+    per_location = orders.join(days, F.col("RESTAURANT_ID").eqNullSafe(F.col("_restaurant"))).select(
+        "RESTAURANT_ID", "TOTAL_REVENUE", "TOTAL_ORDERS", "ACTIVE_DAYS", "FIRST_ORDER_DATE", "LAST_ORDER_DATE"
+    )
     weeks = ratio("ACTIVE_DAYS", F.lit(DAYS_PER_WEEK))
     return per_location.withColumns(
         {

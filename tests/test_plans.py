@@ -80,6 +80,21 @@ def test_no_sums_of_sales_move_unless_a_group_is_busy(spark):
         assert sorted(orders) == sorted(plain)
 
 
+@pytest.mark.parametrize("busy", [False, True])
+def test_locations_count_orders_and_times_without_an_expand(spark, busy):
+    rows = [dict(ORDER_ID=None if n % 23 == 0 else f"o{n % 300}",
+                 RESTAURANT_ID=None if n % 301 == 7 else "r0" if busy and n % 2 else f"r{n % 400}",
+                 CREATION_TIME_UTC=None if n % 19 == 0 else f"2023-0{1 + n % 6}-0{1 + n % 5} {n % 24:02}:00:00")
+            for n in range(3_000)]
+    lines = items(spark, rows)
+    found = locations.location_metrics(lines)
+    assert "Expand" not in plan_of(found)
+    plain = lines.groupBy("RESTAURANT_ID").agg(
+        F.count_distinct("ORDER_ID"), F.count_distinct("CREATION_TIME_UTC"), F.min("CREATION_TIME_UTC"), F.max("CREATION_TIME_UTC"))
+    got = found.select("RESTAURANT_ID", "TOTAL_ORDERS", "ACTIVE_DAYS", "FIRST_ORDER_DATE", "LAST_ORDER_DATE")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, plain.collect())))
+
+
 def test_pricing_join_reuses_the_partitioning_of_its_aggregates(ws, spark):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
