@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from comanda.schemas import GOLD, REPORT_DATASETS, schema_of
-from comanda.staging import CODEC
+
+# Of stored layers: smaller than Spark's default.
+CODEC = "zstd"
 
 
 def table_path(root: str, table: str) -> str:

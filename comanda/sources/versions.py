@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 
 from comanda.operators.cleaning import dedupe
 from comanda.schemas import schema_of
-from comanda.sources.lake import table_path
-from comanda.staging import CODEC
+from comanda.sources.lake import CODEC, table_path
 
 POINTER, BUCKET = "_current.json", "_bucket"
 BUCKETS = 256
