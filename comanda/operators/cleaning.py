@@ -14,6 +14,8 @@ from comanda.schemas import SILVER, conform, schema_of
 
 # Bits of the broadcast bitmap of repeated keys (16 MB).
 SLOTS = 2**27
+# Hashes that are counted: few of a billion keys share one, and each takes five bytes of the shuffle.
+HASHES = 2**40
 
 TEXT_COLUMNS = ("APP_NAME", "RESTAURANT_ID", "CURRENCY", "ITEM_CATEGORY", "ITEM_NAME")
 
@@ -48,7 +50,7 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _repeated(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """Rows with a flag: true for every row whose key comes again, and for a few of the others."""
-    hashed, slots = F.xxhash64(*keys), F.lit(SLOTS)
+    hashed, slots = F.pmod(F.xxhash64(*keys), F.lit(HASHES)), F.lit(SLOTS)
     counts = df.select(hashed.alias("_hash")).groupBy("_hash").count().where("count > 1")
     again = bits.sets_of(counts.select(F.pmod("_hash", slots).alias("_slot")), "_slot")
     return bits.with_member(df, F.pmod(hashed, slots), again, out)

@@ -25,12 +25,14 @@ def _line_id() -> Column:
 
 
 def order_items_raw(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _table(spark, folder, "lineitem").withColumn("copy", F.lit(0))
-    again = lines.where("l_orderkey % 17 = 0").withColumn("copy", F.lit(1))
-    lines = lines.unionAll(again)
-    joined = lines.join(
-        _table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    ).join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    joined = (
+        _table(spark, folder, "lineitem")
+        .join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    )
+    # Lines come again after the joins, so each is shuffled once.
+    copies = F.when(F.col("l_orderkey") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    joined = joined.withColumn("copy", F.explode(copies))
     customer, order = F.col("o_custkey"), F.col("o_orderkey")
     odd_lot = F.col("l_orderkey") + F.col("l_partkey")
     price = F.col("p_retailprice").cast("decimal(10,2)").cast("string")

@@ -157,3 +157,11 @@ def test_profiles(spark):
     assert tuple(profiling.null_counts(df).first()) == (1, 2)
     assert {tuple(r) for r in profiling.null_summary(df).collect()} == {("a", 1), ("b", 2)}
     assert tuple(profiling.null_counts(df.limit(0)).first()) == (None, None)
+
+
+def test_counted_hashes_of_keys_take_five_bytes(spark):
+    rows = spark.range(500).selectExpr("cast(id % 450 AS string) AS K", "id AS V")
+    plan = cleaning.dedupe(rows, ["K"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(xxhash64(K" in plan and str(cleaning.HASHES) in plan
+    kept = cleaning.dedupe(rows, ["K"]).collect()
+    assert sorted(r.V for r in kept) == list(range(450))

@@ -193,3 +193,22 @@ def test_a_batch_leaves_no_staged_table_behind(spark, tmp_path):
     with pytest.raises(Exception):
         pipeline.run_pipeline(spark, broken, str(tmp_path / "bad"))
     assert staged_folders(spark) == before
+
+
+def test_star_lines_that_come_again_are_shuffled_once(spark, tmp_path):
+    from comanda.sources.star_adapter import order_items_raw
+
+    spark.range(40).selectExpr(
+        "id AS l_orderkey", "id % 5 AS l_partkey", "id % 3 AS l_suppkey", "1 AS l_linenumber", "2.0D AS l_quantity"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(40).selectExpr(
+        "id AS o_orderkey", "id % 9 AS o_custkey", "'p' AS o_orderpriority", "timestamp_ntz'2023-01-01 00:00:00' AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(5).selectExpr("id AS p_partkey", "'n' AS p_name", "'t' AS p_type", "3.0D AS p_retailprice").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    lines = order_items_raw(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("l_quantity") and plan.split("Join")[0].count("Generate") == 1
+    again = [r.ORDER_ID for r in lines.groupBy("ORDER_ID").count().where("count = 2").collect()]
+    assert sorted(again) == ["0", "17", "34"] and lines.count() == 43
