@@ -21,14 +21,15 @@ def location_metrics(items: DataFrame, day_grain: bool = False) -> DataFrame:
 
     ACTIVE_DAYS counts distinct order times as they stand; ``day_grain`` counts calendar days.
     Lines are dealt out by restaurant, and by order and time too if a restaurant is busy. Orders and times are
-    counted by two aggregates over that one shuffle. Runs a job, which looks for busy restaurants.
+    counted by two aggregates over that one shuffle. Spark shares it only if both read the same columns, so the days
+    carry lines and revenue as well; neither changes a figure. Runs a job, which looks for busy restaurants.
     """
     sales_date = F.to_date(TIME) if day_grain else F.col(TIME)
     busy = not heavy_keys(items, ["RESTAURANT_ID"]).isEmpty()
     keys = ["RESTAURANT_ID", "ORDER_ID", TIME] if busy else ["RESTAURANT_ID"]
     parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, so that none is joined to others
-    lines = with_revenue(items, "TOTAL_REVENUE").select("RESTAURANT_ID", "ORDER_ID", TIME, "TOTAL_REVENUE")
-    lines = lines.repartition(parts, *keys)
+    lines = items.select("RESTAURANT_ID", "ORDER_ID", TIME, "ITEM_PRICE", "ITEM_QUANTITY").repartition(parts, *keys)
+    lines = with_revenue(lines, "TOTAL_REVENUE")  # above the shuffle: price and quantity are smaller
     orders = (
         lines.groupBy("RESTAURANT_ID", "ORDER_ID")
         .agg(F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"), F.min(TIME).alias("_first"), F.max(TIME).alias("_last"))
@@ -41,13 +42,18 @@ def location_metrics(items: DataFrame, day_grain: bool = False) -> DataFrame:
         )
     )
     days = (
-        lines.select(F.col("RESTAURANT_ID").alias("_restaurant"), sales_date.alias("_day"))
-        .distinct()
+        lines.groupBy(F.col("RESTAURANT_ID").alias("_restaurant"), sales_date.alias("_day"))
+        .agg(F.count("ORDER_ID").alias("_lines"), F.sum("TOTAL_REVENUE").alias("_revenue"))
         .groupBy("_restaurant")
-        .agg(F.count("_day").alias("ACTIVE_DAYS"))
+        .agg(F.count("_day").alias("ACTIVE_DAYS"), F.sum("_lines").alias("_lines"), F.sum("_revenue").alias("_revenue"))
     )
     per_location = orders.join(days, F.col("RESTAURANT_ID").eqNullSafe(F.col("_restaurant"))).select(
-        "RESTAURANT_ID", "TOTAL_REVENUE", "TOTAL_ORDERS", "ACTIVE_DAYS", "FIRST_ORDER_DATE", "LAST_ORDER_DATE"
+        "RESTAURANT_ID",
+        F.coalesce("TOTAL_REVENUE", "_revenue").alias("TOTAL_REVENUE"),
+        F.least("TOTAL_ORDERS", "_lines").alias("TOTAL_ORDERS"),
+        "ACTIVE_DAYS",
+        "FIRST_ORDER_DATE",
+        "LAST_ORDER_DATE",
     )
     weeks = ratio("ACTIVE_DAYS", F.lit(DAYS_PER_WEEK))
     return per_location.withColumns(

@@ -20,7 +20,7 @@ from comanda.plans.rfm import rfm, rfm_of
 from comanda.plans.sales import sales_trends
 from comanda.plans.shared import customer_orders
 from comanda.schemas import RAW_TABLES, SILVER
-from comanda.sources.lake import extract_tables, promote, read_layer, write_layer
+from comanda.sources.lake import CODEC, extract_tables, promote, read_layer, write_layer
 from comanda.staging import stage, staging_scope
 
 # Each metric: items, options -> gold dataset.
@@ -35,6 +35,10 @@ METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 # Columns by which a dataset is stored; nearly every sales report picks one period.
 PARTITIONS: dict[str, tuple[str, ...]] = {"sales_trends": ("SALES_PERIOD",)}
+# Order of the rows inside a file: neighbours share keys, so the file is smaller.
+SORTED: dict[str, tuple[str, ...]] = {
+    "sales_trends": ("SALES_PERIOD", "RESTAURANT_ID", "ITEM_CATEGORY", "TIME_OF_DAY", "SALES_DATE", "YEAR", "MONTH", "WEEK"),
+}
 # Metrics that can start from the lines summed up per customer and order.
 ORDER_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "customer_segmentation": rfm_of,
@@ -99,12 +103,16 @@ def build_gold(
     shared = [name for name in metrics if name in ORDER_METRICS]
 
     def direct(name: str) -> Callable[[], None]:
-        return lambda: write_layer(
-            METRICS[name](items, options), gold_root, name, PARTITIONS.get(name, ())
-        )
+        def write() -> None:
+            found = METRICS[name](items, options)
+            if name in SORTED:
+                found = found.sortWithinPartitions(*SORTED[name])
+            write_layer(found, gold_root, name, PARTITIONS.get(name, ()))
+
+        return write
 
     def from_orders() -> None:
-        orders = stage(customer_orders(items), "customer-orders").df
+        orders = stage(customer_orders(items), "customer-orders", CODEC).df
 
         def step(name: str) -> Callable[[], None]:
             return lambda: write_layer(ORDER_METRICS[name](orders), gold_root, name)

@@ -123,3 +123,17 @@ def test_pricing_by_sums_lines_before_they_meet_their_order(ws, spark):
 def test_cube_counts_orders_over_one_expand(ws):
     plan = plan_of(rollup.sales_cube(ws.items)).split("Initial Plan")[0]
     assert plan.count("Expand ") == 1 and "collect_set" not in plan
+
+
+def test_orders_and_times_of_locations_share_one_scan_and_one_shuffle_of_the_lines(ws):
+    found = locations.location_metrics(ws.items)
+    found.collect()
+    final = plan_of(found).split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 1 and final.count("ReusedExchange") == 1
+
+
+def test_sales_and_locations_shuffle_price_and_quantity_not_the_wider_revenue(ws):
+    for found in (sales.sales_trends(ws.items), locations.location_metrics(ws.items)):
+        shuffled = re.findall(r"REPARTITION_BY_NUM.*\n.*Project \[(.*)\]", plan_of(found))
+        assert shuffled and all("ITEM_PRICE" in columns and "*" not in columns for columns in shuffled)
+    assert "as date) AS CREATION_TIME_UTC" in plan_of(sales.sales_trends(ws.items)).split("REPARTITION_BY_NUM")[1]
