@@ -14,21 +14,32 @@ from comanda.staging import stage
 
 TIME = "CREATION_TIME_UTC"
 DAYS_PER_WEEK = 7
+# What the figures read.
+LINE_COLUMNS = ("RESTAURANT_ID", "ORDER_ID", TIME, "ITEM_PRICE", "ITEM_QUANTITY")
 
 
-def location_metrics(items: DataFrame, day_grain: bool = False) -> DataFrame:
+def has_busy_restaurant(items: DataFrame) -> bool:
+    """Whether a restaurant holds so many lines that one task should not take them all. Runs a job."""
+    return not heavy_keys(items, ["RESTAURANT_ID"]).isEmpty()
+
+
+def _dealt_lines(items: DataFrame) -> DataFrame:
+    keys = ["RESTAURANT_ID", "ORDER_ID", TIME] if has_busy_restaurant(items) else ["RESTAURANT_ID"]
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, so that none is joined to others
+    return items.select(*LINE_COLUMNS).repartition(parts, *keys)
+
+
+def location_metrics(items: DataFrame, day_grain: bool = False, *, dealt: bool = False) -> DataFrame:
     """Totals and rates per restaurant.
 
     ACTIVE_DAYS counts distinct order times as they stand; ``day_grain`` counts calendar days.
     Lines are dealt out by restaurant, and by order and time too if a restaurant is busy. Orders and times are
     counted by two aggregates over that one shuffle. Spark shares it only if both read the same columns, so the days
-    carry lines and revenue as well; neither changes a figure. Runs a job, which looks for busy restaurants.
+    carry lines and revenue as well; neither changes a figure. Runs a job, which looks for busy restaurants. Lines that
+    are ``dealt`` out by restaurant already (``staged_by``) are neither searched nor shuffled.
     """
     sales_date = F.to_date(TIME) if day_grain else F.col(TIME)
-    busy = not heavy_keys(items, ["RESTAURANT_ID"]).isEmpty()
-    keys = ["RESTAURANT_ID", "ORDER_ID", TIME] if busy else ["RESTAURANT_ID"]
-    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, so that none is joined to others
-    lines = items.select("RESTAURANT_ID", "ORDER_ID", TIME, "ITEM_PRICE", "ITEM_QUANTITY").repartition(parts, *keys)
+    lines = items.select(*LINE_COLUMNS) if dealt else _dealt_lines(items)
     lines = with_revenue(lines, "TOTAL_REVENUE")  # above the shuffle: price and quantity are smaller
     orders = (
         lines.groupBy("RESTAURANT_ID", "ORDER_ID")
@@ -67,10 +78,10 @@ def location_metrics(items: DataFrame, day_grain: bool = False) -> DataFrame:
 
 
 def locations(
-    items: DataFrame, day_grain: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET
+    items: DataFrame, day_grain: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET, *, dealt: bool = False
 ) -> DataFrame:
     """Location metrics with REVENUE_RANK, the dense rank by revenue, highest first."""
-    metrics = stage(location_metrics(items, day_grain), "locations")
+    metrics = stage(location_metrics(items, day_grain, dealt=dealt), "locations")
     ranked = global_dense_rank(metrics, "TOTAL_REVENUE", "REVENUE_RANK", rows_per_bucket)
     return conform(ranked, GOLD["top_performing_locations"])
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import AbstractContextManager
 from contextvars import copy_context
+from functools import partial
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
@@ -12,16 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators.cleaning import CLEANERS
 from comanda.plans.churn import churn, churn_of
-from comanda.plans.clv import clv
-from comanda.plans.locations import locations
+from comanda.plans.clv import KEYS as VALUE_KEYS
+from comanda.plans.clv import OPTION_COLUMNS, clv, clv_of, value_lines
+from comanda.plans.locations import LINE_COLUMNS as LOCATION_COLUMNS
+from comanda.plans.locations import has_busy_restaurant, locations
 from comanda.plans.loyalty import loyalty, loyalty_of
 from comanda.plans.pricing import pricing
 from comanda.plans.rfm import rfm, rfm_of
+from comanda.plans.sales import LINE_COLUMNS as SALES_COLUMNS
 from comanda.plans.sales import sales_trends
 from comanda.plans.shared import customer_orders
 from comanda.schemas import RAW_TABLES, SILVER
-from comanda.sources.lake import CODEC, extract_tables, promote, read_layer, write_layer
-from comanda.staging import stage, staging_scope
+from comanda.sources.lake import CODEC, LAYOUT, extract_tables, promote, read_layer, write_layer
+from comanda.staging import small_splits, stage, staged_by, staging_scope
 
 # Each metric: items, options -> gold dataset.
 METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
@@ -35,10 +40,16 @@ METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 # Columns by which a dataset is stored; nearly every sales report picks one period.
 PARTITIONS: dict[str, tuple[str, ...]] = {"sales_trends": ("SALES_PERIOD",)}
-# Order of the rows inside a file: neighbours share keys, so the file is smaller.
+# Order of the rows inside a file, so that neighbours share values: the figures are its widest columns.
 SORTED: dict[str, tuple[str, ...]] = {
-    "sales_trends": ("SALES_PERIOD", "RESTAURANT_ID", "ITEM_CATEGORY", "TIME_OF_DAY", "SALES_DATE", "YEAR", "MONTH", "WEEK"),
+    "sales_trends": ("SALES_PERIOD", "TOTAL_REVENUE", "AVG_ORDER_VALUE", "ITEMS_SOLD", "RESTAURANT_ID", "ITEM_CATEGORY"),
 }
+# Metrics that read the lines of a restaurant together.
+RESTAURANT_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "sales_trends": lambda lines: sales_trends(lines, dealt=True),
+    "top_performing_locations": lambda lines: locations(lines, dealt=True),
+}
+RESTAURANT_COLUMNS = tuple(dict.fromkeys((*SALES_COLUMNS, *LOCATION_COLUMNS)))
 # Metrics that can start from the lines summed up per customer and order.
 ORDER_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "customer_segmentation": rfm_of,
@@ -100,29 +111,44 @@ def build_gold(
         for table in ("order_items", "order_item_options")
     )
 
-    shared = [name for name in metrics if name in ORDER_METRICS]
+    def write(name: str, found: DataFrame) -> None:
+        if name in SORTED:
+            found = found.sortWithinPartitions(*SORTED[name])
+        write_layer(found, gold_root, name, PARTITIONS.get(name, ()))
 
     def direct(name: str) -> Callable[[], None]:
-        def write() -> None:
-            found = METRICS[name](items, options)
-            if name in SORTED:
-                found = found.sortWithinPartitions(*SORTED[name])
-            write_layer(found, gold_root, name, PARTITIONS.get(name, ()))
-
-        return write
+        return lambda: write(name, METRICS[name](items, options))
 
-    def from_orders() -> None:
-        orders = stage(customer_orders(items), "customer-orders", CODEC).df
+    def dealt(df: DataFrame, label: str, keys: Sequence[str]) -> AbstractContextManager[DataFrame]:
+        return staged_by(df, label, keys, compression=CODEC, **LAYOUT)
 
-        def step(name: str) -> Callable[[], None]:
-            return lambda: write_layer(ORDER_METRICS[name](orders), gold_root, name)
+    def value() -> None:
+        met = options.select(*OPTION_COLUMNS).dropna(subset=list(VALUE_KEYS))  # NULL meets no line
+        with (
+            dealt(value_lines(items), "value-lines", VALUE_KEYS) as lines,
+            dealt(met, "value-options", VALUE_KEYS) as known,
+        ):
+            write("customer_lifetime_value", clv_of(lines, known))
 
-        _all_at_once(spark, {name: step(name) for name in shared})
-
-    if len(shared) == 1:
-        shared = []
-    steps = {name: direct(name) for name in metrics if name not in shared}
-    _all_at_once(spark, steps | ({"orders": from_orders} if shared else {}))
+    def from_orders(names: Sequence[str]) -> None:
+        orders = stage(customer_orders(items), "customer-orders", CODEC).df
+        _all_at_once(spark, {name: partial(lambda n: write(n, ORDER_METRICS[n](orders)), name) for name in names})
+
+    def from_restaurants(names: Sequence[str]) -> None:
+        if has_busy_restaurant(items):
+            return _all_at_once(spark, {name: direct(name) for name in names})
+        with dealt(items.select(*RESTAURANT_COLUMNS), "restaurant-lines", ["RESTAURANT_ID"]) as lines:
+            _all_at_once(spark, {name: partial(lambda n: write(n, RESTAURANT_METRICS[n](lines)), name) for name in names})
+
+    steps = {name: direct(name) for name in metrics}
+    if "customer_lifetime_value" in steps:
+        steps["customer_lifetime_value"] = value
+    for label, known, shared in (("orders", ORDER_METRICS, from_orders), ("restaurants", RESTAURANT_METRICS, from_restaurants)):
+        names = [name for name in metrics if name in known]
+        if len(names) > 1:
+            steps = {name: step for name, step in steps.items() if name not in names} | {label: partial(shared, names)}
+    with small_splits(spark):
+        _all_at_once(spark, steps)
 
 
 def run_pipeline(

@@ -59,6 +59,15 @@ def _measures() -> list[Column]:
 SHARED = ["RESTAURANT_ID", "ITEM_CATEGORY", TIME_NUMBER]
 
 
+# What the summaries read.
+LINE_COLUMNS = (TIME, "RESTAURANT_ID", "ITEM_CATEGORY", "ORDER_ID", "ITEM_QUANTITY", "ITEM_PRICE")
+
+
+def _narrow_lines(items: DataFrame) -> DataFrame:
+    lines = items.withColumn(TIME_NUMBER, time_of_day_number(TIME)).withColumn(TIME, F.to_date(TIME))
+    return lines.select(TIME, *SHARED, "ORDER_ID", "ITEM_QUANTITY", "ITEM_PRICE")
+
+
 def _sales_lines(items: DataFrame, spread: bool = True) -> DataFrame:
     """The columns that the summaries need, dealt out by all that they share and, if ``spread``, the order.
 
@@ -67,11 +76,9 @@ def _sales_lines(items: DataFrame, spread: bool = True) -> DataFrame:
     order in the key keeps a busy restaurant or category spread; without it no sums move after the exchange.
     Price and quantity are smaller than the revenue, which is put on above it too, and the day than the time.
     """
-    lines = items.withColumn(TIME_NUMBER, time_of_day_number(TIME)).withColumn(TIME, F.to_date(TIME))
     keys = [*SHARED, "ORDER_ID"] if spread else SHARED
     parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # fixed, so that none is joined to others
-    lines = lines.select(TIME, *SHARED, "ORDER_ID", "ITEM_QUANTITY", "ITEM_PRICE").repartition(parts, *keys)
-    return with_revenue(lines, "TOTAL_REVENUE")
+    return with_revenue(_narrow_lines(items).repartition(parts, *keys), "TOTAL_REVENUE")
 
 
 def _has_busy_group(items: DataFrame) -> bool:
@@ -117,13 +124,14 @@ def sales_monthly(items: DataFrame) -> DataFrame:
     return _summary(_sales_lines(items), "MONTHLY")
 
 
-def sales_trends(items: DataFrame, iso_weeks: bool = False) -> DataFrame:
+def sales_trends(items: DataFrame, iso_weeks: bool = False, *, dealt: bool = False) -> DataFrame:
     """The three summaries in one table; columns a period lacks are NULL.
 
     One scan and one shuffle of the lines; after it partial sums move only if some group is busy. Runs a job,
-    which looks for such groups with a frequent-items sketch.
+    which looks for such groups with a frequent-items sketch. Lines that are ``dealt`` out by restaurant already
+    (``staged_by``) are neither searched nor shuffled.
     """
-    lines = _sales_lines(items, _has_busy_group(items))
+    lines = with_revenue(_narrow_lines(items), "TOTAL_REVENUE") if dealt else _sales_lines(items, _has_busy_group(items))
     trends = (
         _summary(lines, "DAILY")
         .unionByName(_summary(lines, "WEEKLY", iso_weeks), allowMissingColumns=True)

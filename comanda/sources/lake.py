@@ -12,6 +12,8 @@ from comanda.schemas import GOLD, REPORT_DATASETS, schema_of
 
 # Of stored layers: smaller than Spark's default, as is the level than the codec's own (3).
 CODEC, LEVEL = "zstd", 6
+# Pages of Parquet's second version write a text as what it adds to the one before.
+LAYOUT = {"parquet.compression.codec.zstd.level": LEVEL, "parquet.writer.version": "v2"}
 
 
 def table_path(root: str, table: str) -> str:
@@ -33,7 +35,7 @@ def write_layer(
     df: DataFrame, root: str, table: str, partition_by: tuple[str, ...] = ()
 ) -> None:
     """Replace a table folder."""
-    writer = df.write.mode("overwrite").option("parquet.compression.codec.zstd.level", LEVEL)
+    writer = df.write.mode("overwrite").options(**LAYOUT)
     writer.parquet(table_path(root, table), partitionBy=list(partition_by) or None, compression=CODEC)
 
 
