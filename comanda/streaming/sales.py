@@ -7,7 +7,8 @@ are the orders of a group, as part sums keep the order.
 
 The watermark runs on the time at which a line arrives, not on the time of the order. It bounds the state that knows the
 lines seen: a line delivered again within the horizon is dropped, and state of lines older than it goes. Arrival never runs
-backwards, so the watermark drops no line. For much state, set the session's state store to RocksDB.
+backwards, so the watermark drops no line. The state lies on disk (RocksDB) with bounded memory, unless the session names
+a store of its own; a stream that began with another store goes on with it.
 
 A batch that runs again after a failure overwrites its own folder. Readers take only batches that are written whole.
 ``fold`` sums the parts into one versioned table, so the number of folders stays small.
@@ -15,21 +16,38 @@ A batch that runs again after a failure overwrites its own folder. Readers take
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from comanda.operators.heavy import heavy_keys
 from comanda.plans.rollup import KEYS
 from comanda.plans.sales import TIME, with_time_of_day
 from comanda.plans.shared import with_revenue
 from comanda.schemas import SILVER, schema_of
 from comanda.sources import versions
-from comanda.sources.lake import table_path
+from comanda.sources.lake import CODEC, table_path
 
 PARTS, TABLE, BATCH, ARRIVED = "parts", "order_sums", "BATCH", "_arrived"
 SUMS = {"TOTAL_REVENUE": "decimal(38,2)", "ITEMS_SOLD": "bigint"}
 HORIZON = "7 days"
+# The columns of a line that its sums and its identity need; no other is read, shuffled or kept.
+LINE_COLUMNS = (
+    "LINEITEM_ID", "ORDER_ID", "RESTAURANT_ID", "ITEM_CATEGORY", "CREATION_TIME_UTC", "ITEM_PRICE", "ITEM_QUANTITY"
+)
+# Spark's default store holds all lines seen on the heap, twice. This one holds them on disk, with bounded memory a process.
+STORES = "spark.sql.streaming.stateStore"
+IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+ON_DISK = {
+    f"{STORES}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STORES}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{STORES}.rocksdb.boundedMemoryUsage": "true",
+    f"{STORES}.rocksdb.maxMemoryUsageMB": "500",
+    f"{STORES}.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def part_sums(lines: DataFrame) -> DataFrame:
@@ -46,19 +64,41 @@ def _added(parts: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
 
 
 def arriving_lines(
-    spark: SparkSession, landing: str, horizon: str = HORIZON, max_files: int | None = None
+    spark: SparkSession,
+    landing: str,
+    horizon: str = HORIZON,
+    max_files: int | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The stream of lines of a folder, without those whose LINEITEM_ID arrived before within the horizon.
 
-    Of several deliveries of a line the first counts; NULL is one id, as in the batch.
+    Of several deliveries of a line the first counts; NULL is one id, as in the batch. ``columns`` (all if not given, else
+    with LINEITEM_ID) are read; a stream shuffles whatever it reads.
     """
-    reader = spark.readStream.schema(schema_of(SILVER["order_items"]))
+    declared = schema_of(SILVER["order_items"])
+    reader = spark.readStream.schema(StructType([declared[c] for c in columns]) if columns else declared)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.parquet(landing).withColumn(ARRIVED, F.current_timestamp())
     return lines.withWatermark(ARRIVED, horizon).dropDuplicatesWithinWatermark(["LINEITEM_ID"])
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state on disk, if the session has Spark's default store."""
+    if spark.conf.get(f"{STORES}.providerClass") != IN_MEMORY:
+        yield
+        return
+    before = {key: spark.conf.get(key, None) for key in ON_DISK}
+    try:
+        for key, value in ON_DISK.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def ingest_sales(
     spark: SparkSession, landing: str, root: str, horizon: str = HORIZON, max_files: int | None = None
 ) -> list[int]:
@@ -69,16 +109,17 @@ def ingest_sales(
     written: list[int] = []
 
     def write(batch: DataFrame, number: int) -> None:
-        part_sums(batch).write.mode("overwrite").parquet(f"{table_path(root, PARTS)}/{BATCH}={number}")
+        part_sums(batch).write.mode("overwrite").parquet(f"{table_path(root, PARTS)}/{BATCH}={number}", compression=CODEC)
         written.append(number)
 
-    query = (
-        arriving_lines(spark, landing, horizon, max_files)
+    stream = (
+        arriving_lines(spark, landing, horizon, max_files, LINE_COLUMNS)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", table_path(root, "checkpoint"))
         .trigger(availableNow=True)
-        .start()
     )
+    with _state_on_disk(spark):
+        query = stream.start()  # which takes a copy of the session's settings
     query.awaitTermination()
     return written
 
@@ -116,8 +157,14 @@ def _parts(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
 
 
 def streamed_sales(spark: SparkSession, root: str, by: Sequence[str] = KEYS) -> DataFrame:
-    """Revenue, distinct orders and items as ``sales_daily`` has them, or by fewer of its columns."""
+    """Revenue, distinct orders and items as ``sales_daily`` has them, or by fewer of its columns.
+
+    Unless a group holds a large share of the parts, they are shuffled by group alone, which serves the orders of a group
+    and then their number. Runs a job, which looks for such groups.
+    """
     parts, _ = _parts(spark, root)
+    if by and heavy_keys(parts, by).isEmpty():
+        parts = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
     return _added(parts, by).groupBy(*by).agg(
         F.sum("TOTAL_REVENUE").alias("TOTAL_REVENUE"),
         F.count("ORDER_ID").alias("TOTAL_ORDERS"),

@@ -1,5 +1,7 @@
 """The stream of sales: late and repeated lines, folds, failures."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,53 @@ def test_a_batch_that_fails_counts_once(spark, folders, monkeypatch):
     assert streamed.whole_batches(spark, root) == []
     streamed.ingest_sales(spark, landing, root)
     assert figures(streamed.streamed_sales(spark, root)) == figures(sales_daily(all_lines))
+
+
+def test_state_lies_on_disk_and_the_session_keeps_its_store(spark, folders):
+    landing, root = folders
+    before = spark.conf.get(f"{streamed.STORES}.providerClass")
+    land(lines(spark), landing)
+    streamed.ingest_sales(spark, landing, root)
+    assert spark.conf.get(f"{streamed.STORES}.providerClass") == before == streamed.IN_MEMORY
+    assert spark.conf.get(f"{streamed.STORES}.rocksdb.boundedMemoryUsage", "unset") in ("unset", "false")
+    states = list(Path(root, "checkpoint", "state").rglob("*.changelog")) + list(Path(root, "checkpoint", "state").rglob("*.zip"))
+    assert states and not list(Path(root, "checkpoint", "state").rglob("*.delta"))
+
+
+def test_a_stream_that_began_with_another_store_goes_on(spark, folders, monkeypatch):
+    landing, root = folders
+    all_lines = lines(spark)
+    monkeypatch.setattr(streamed, "ON_DISK", {})
+    land(all_lines.where("LINEITEM_ID < 'l2'"), landing)
+    streamed.ingest_sales(spark, landing, root)
+    monkeypatch.undo()
+    land(all_lines, landing)
+    streamed.ingest_sales(spark, landing, root)
+    assert figures(streamed.streamed_sales(spark, root)) == figures(sales_daily(all_lines))
+    assert list(Path(root, "checkpoint", "state").rglob("*.delta"))
+
+
+def test_a_stream_reads_the_columns_of_its_sums_only(spark, folders, monkeypatch):
+    landing, root = folders
+    land(lines(spark), landing)
+    seen, sums = [], streamed.part_sums
+    monkeypatch.setattr(streamed, "part_sums", lambda batch: seen.append(batch.columns) or sums(batch))
+    streamed.ingest_sales(spark, landing, root)
+    assert set(seen[0]) == {*streamed.LINE_COLUMNS, streamed.ARRIVED}
+    assert set(streamed.arriving_lines(spark, landing).columns) == {*lines(spark).columns, streamed.ARRIVED}
+
+
+@pytest.mark.parametrize("busy", [False, True])
+def test_parts_are_shuffled_once_unless_a_group_is_busy(spark, folders, busy):
+    landing, root = folders
+    rows = [dict(LINEITEM_ID=f"l{n}", ORDER_ID=None if n % 31 == 0 else f"o{n // 2}", RESTAURANT_ID=None if n % 401 == 5 else
+                 "r0" if busy and n % 3 == 0 else f"r{n % 400}", ITEM_CATEGORY=f"c{n % 3}") for n in range(1_600)]
+    all_lines = items(spark, rows)
+    land(all_lines, landing)
+    streamed.ingest_sales(spark, landing, root)
+    found = streamed.streamed_sales(spark, root)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == (2 if busy else 1)
+    assert figures(found) == figures(sales_daily(all_lines))
+    total = streamed.streamed_sales(spark, root, []).first()
+    assert total.TOTAL_ORDERS == all_lines.agg(F.count_distinct("ORDER_ID")).first()[0]
