@@ -18,11 +18,10 @@ from comanda.functions.metrics import (
     spend_change_percent,
     spend_period,
 )
-from comanda.plans.shared import customer_lines, today, with_customer, with_revenue
+from comanda.plans.shared import PERIODS, customer_lines, today, with_customer, with_revenue
 from comanda.schemas import GOLD, conform
 
 TIME = "CREATION_TIME_UTC"
-PERIODS = ("PREVIOUS", "RECENT")
 
 
 def last_order(items: DataFrame, reference: DataFrame | None = None) -> DataFrame:
@@ -166,8 +165,25 @@ def churn_of(facts: DataFrame, reference: DataFrame | None = None, *, per: str =
     if per not in ("line", "order"):
         raise ValueError(f"per must be 'line' or 'order', not {per!r}")
     now = today(facts.select(F.col("LAST_TIME").alias(TIME)), reference)
+    return _statuses(_indicators(facts, now, per), now)
+
+
+def churn_of_totals(totals: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+    """``churn`` from ``customer_totals`` of the same reference date."""
+    now = today(totals.select(F.col("LAST_TIME").alias(TIME)), reference)
+    known = totals.select(
+        "CUSTOMER_ID",
+        *[F.col(f"SPEND_{p}").alias(f"_{p}") for p in PERIODS],
+        F.col("IN_PERIOD").alias("_in_period"),
+        F.col("LAST_TIME").alias("_last"),
+        _mean_gap(F.col("FIRST_TIME"), F.col("LAST_TIME"), F.col("TIMES")).alias("AVG_ORDER_GAP_DAYS"),
+    )
+    return _statuses(known, now)
+
+
+def _statuses(indicators: DataFrame, now: Column) -> DataFrame:
     in_period = F.col("_in_period") > 0
-    result = _indicators(facts, now, per).select(
+    result = indicators.select(
         "CUSTOMER_ID",
         F.col("_last").alias("LAST_ORDER_DATE"),
         days_since("_last", now).alias("DAYS_SINCE_LAST_ORDER"),

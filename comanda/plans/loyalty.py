@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.metrics import loyalty_status, ratio
 from comanda.operators.asof import asof_join
-from comanda.plans.shared import customer_lines, with_customer
+from comanda.plans.shared import FLAGS, customer_lines, with_customer
 from comanda.schemas import GOLD, conform
 
 
@@ -28,7 +28,26 @@ def loyalty_base(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
 
 
 def loyalty_of(facts: DataFrame) -> DataFrame:
-    impact = base_of(facts).withColumns(
+    return _impact(base_of(facts))
+
+
+def loyalty_of_totals(totals: DataFrame) -> DataFrame:
+    """``loyalty`` from ``customer_totals``: a row for each flag that a customer's lines have."""
+    of_flag = [
+        F.struct(
+            F.lit(value).cast("boolean").alias("IS_LOYALTY"),
+            F.col(f"SPEND_{flag}").cast("decimal(31,2)").alias("TOTAL_SPEND"),
+            F.col(f"ORDERS_{flag}").alias("TOTAL_ORDERS"),
+            F.col(f"HAS_{flag}").alias("_has"),
+        )
+        for flag, value in FLAGS.items()
+    ]
+    rows = totals.select("CUSTOMER_ID", F.explode(F.array(*of_flag)).alias("_one")).select("CUSTOMER_ID", "_one.*")
+    return _impact(rows.where("_has").drop("_has"))
+
+
+def _impact(base: DataFrame) -> DataFrame:
+    impact = base.withColumns(
         {
             "AVG_ORDER_VALUE": ratio("TOTAL_SPEND", "TOTAL_ORDERS"),
             "LOYALTY_STATUS": loyalty_status(F.col("IS_LOYALTY")),

@@ -13,17 +13,17 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from comanda.operators.cleaning import CLEANERS
-from comanda.plans.churn import churn, churn_of
+from comanda.plans.churn import churn, churn_of_totals
 from comanda.plans.clv import KEYS as VALUE_KEYS
 from comanda.plans.clv import OPTION_COLUMNS, clv, clv_of, value_lines
 from comanda.plans.locations import LINE_COLUMNS as LOCATION_COLUMNS
 from comanda.plans.locations import has_busy_restaurant, locations
-from comanda.plans.loyalty import loyalty, loyalty_of
+from comanda.plans.loyalty import loyalty, loyalty_of_totals
 from comanda.plans.pricing import pricing
-from comanda.plans.rfm import rfm, rfm_of
+from comanda.plans.rfm import rfm, rfm_of_totals
 from comanda.plans.sales import LINE_COLUMNS as SALES_COLUMNS
 from comanda.plans.sales import sales_trends
-from comanda.plans.shared import customer_orders
+from comanda.plans.shared import customer_totals
 from comanda.schemas import RAW_TABLES, SILVER
 from comanda.sources.lake import CODEC, LAYOUT, extract_tables, promote, read_layer, write_layer
 from comanda.staging import small_splits, stage, staged_by, staging_scope
@@ -38,6 +38,8 @@ METRICS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "top_performing_locations": lambda items, _: locations(items),
     "pricing_discount_effectiveness": pricing,
 }
+# Order of the rows inside a file of the raw layer, which the layers above keep.
+RAW_SORTED: dict[str, tuple[str, ...]] = {"order_item_options": ("ORDER_ID", "LINEITEM_ID")}
 # Columns by which a dataset is stored; nearly every sales report picks one period.
 PARTITIONS: dict[str, tuple[str, ...]] = {"sales_trends": ("SALES_PERIOD",)}
 # Order of the rows inside a file, so that neighbours share values: the figures are its widest columns.
@@ -50,11 +52,11 @@ RESTAURANT_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "top_performing_locations": lambda lines: locations(lines, dealt=True),
 }
 RESTAURANT_COLUMNS = tuple(dict.fromkeys((*SALES_COLUMNS, *LOCATION_COLUMNS)))
-# Metrics that can start from the lines summed up per customer and order.
-ORDER_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "customer_segmentation": rfm_of,
-    "customer_churn_indicators": churn_of,
-    "loyalty_program_impact": loyalty_of,
+# Metrics that can start from the totals of each customer.
+CUSTOMER_METRICS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "customer_segmentation": rfm_of_totals,
+    "customer_churn_indicators": churn_of_totals,
+    "loyalty_program_impact": loyalty_of_totals,
 }
 
 
@@ -130,9 +132,9 @@ def build_gold(
         ):
             write("customer_lifetime_value", clv_of(lines, known))
 
-    def from_orders(names: Sequence[str]) -> None:
-        orders = stage(customer_orders(items), "customer-orders", CODEC).df
-        _all_at_once(spark, {name: partial(lambda n: write(n, ORDER_METRICS[n](orders)), name) for name in names})
+    def from_customers(names: Sequence[str]) -> None:
+        totals = stage(customer_totals(items), "customers", CODEC).df
+        _all_at_once(spark, {name: partial(lambda n: write(n, CUSTOMER_METRICS[n](totals)), name) for name in names})
 
     def from_restaurants(names: Sequence[str]) -> None:
         if has_busy_restaurant(items):
@@ -143,7 +145,8 @@ def build_gold(
     steps = {name: direct(name) for name in metrics}
     if "customer_lifetime_value" in steps:
         steps["customer_lifetime_value"] = value
-    for label, known, shared in (("orders", ORDER_METRICS, from_orders), ("restaurants", RESTAURANT_METRICS, from_restaurants)):
+    groups = (("customers", CUSTOMER_METRICS, from_customers), ("restaurants", RESTAURANT_METRICS, from_restaurants))
+    for label, known, shared in groups:
         names = [name for name in metrics if name in known]
         if len(names) > 1:
             steps = {name: step for name, step in steps.items() if name not in names} | {label: partial(shared, names)}
@@ -164,8 +167,8 @@ def run_pipeline(
     Returns the extracted row counts. Intermediate tables are deleted at the end.
     """
     raw, bronze, silver, gold = (layer(root, n) for n in ("raw", "bronze", "silver", "gold"))
-    with staging_scope(spark, "batch"):
-        counts = extract_tables(source, source_tables, raw)
+    with staging_scope(spark, "batch"), small_splits(spark):
+        counts = extract_tables(source, source_tables, raw, RAW_SORTED)
         promote(spark, raw, bronze, counts)
         build_silver(spark, bronze, silver)
         build_gold(spark, silver, gold, metrics)

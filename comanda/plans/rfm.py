@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from comanda.functions.metrics import days_since, rfm_segment
+from comanda.functions.metrics import days_since, first_match, null_to_zero, rfm_segment
 from comanda.operators.ranking import ROWS_PER_BUCKET, percent_rank, value_positions
-from comanda.plans.shared import customer_lines, reference_date, today
+from comanda.plans.shared import FLAGS, customer_lines, reference_date, today
 from comanda.schemas import GOLD, conform
 from comanda.staging import Staged, stage
 
@@ -106,7 +106,25 @@ def score_staged(base: Staged, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
 
 
 def rfm_of(facts: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    scored = score_staged(stage(base_of(facts), "rfm"), rows_per_bucket)
+    return _segments(base_of(facts), rows_per_bucket)
+
+
+def rfm_of_totals(totals: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``rfm`` from ``customer_totals``."""
+    spent = [F.col(f"SPEND_{flag}") for flag in FLAGS]
+    monetary = F.when(F.coalesce(*spent).isNotNull(), sum((null_to_zero(c) for c in spent), F.lit(0)))
+    base = totals.select(
+        "CUSTOMER_ID",
+        F.col("LAST_TIME").alias("LAST_PURCHASE_DATE"),
+        F.col("ORDERS").alias("FREQUENCY"),
+        monetary.cast("decimal(31,2)").alias("MONETARY"),
+        first_match((F.col("HAS_LOYAL"), True), (F.col("HAS_PLAIN"), False)).alias("IS_LOYALTY"),
+    )
+    return _segments(base, rows_per_bucket)
+
+
+def _segments(base: DataFrame, rows_per_bucket: int) -> DataFrame:
+    scored = score_staged(stage(base, "rfm"), rows_per_bucket)
     segment = rfm_segment(F.col("R_SCORE"), F.col("F_SCORE"), F.col("M_SCORE"))
     return conform(
         scored.withColumn("CUSTOMER_SEGMENT", segment), GOLD["customer_segmentation"]

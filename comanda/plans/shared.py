@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from comanda.functions.metrics import (
     customer_id,
+    days_since,
     line_revenue,
     null_to_zero,
     option_value,
+    spend_period,
 )
 
 
@@ -37,8 +39,7 @@ def customer_lines(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
 def customer_orders(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
     """``customer_lines`` summed up per order and day, columns and meaning unchanged.
 
-    Segmentation, churn and loyalty give the same results from either. The pipeline writes this
-    table once for the three of them, so they share one scan and shuffle of the lines.
+    Segmentation, churn and loyalty give the same results from either.
     """
     return (
         customer_lines(items, blank_as_null)
@@ -52,6 +53,43 @@ def customer_orders(items: DataFrame, blank_as_null: bool = False) -> DataFrame:
     )
 
 
+# The values of IS_LOYALTY that a customer's lines may have, by the suffix of their columns in ``customer_totals``.
+FLAGS: dict[str, bool | None] = {"LOYAL": True, "PLAIN": False, "UNKNOWN": None}
+PERIODS = ("PREVIOUS", "RECENT")
+
+
+def customer_totals(items: DataFrame, reference: DataFrame | None = None, blank_as_null: bool = False) -> DataFrame:
+    """One row per customer with all that segmentation, churn and loyalty tell of one.
+
+    Lines are summed per customer and order, by loyalty flag and spend period, and then per customer, so no count of
+    distinct orders is left to any of the three. A customer with many lines is dealt out by order.
+    """
+    lines = customer_lines(items, blank_as_null)
+    now = today(lines.select(F.col("LAST_TIME").alias("CREATION_TIME_UTC")), reference)
+    lines = lines.withColumn("_period", spend_period(days_since("ORDER_DAY", now)))
+    flagged = {flag: "IS_LOYALTY IS " + {True: "TRUE", False: "FALSE", None: "NULL"}[value] for flag, value in FLAGS.items()}
+    spent = [f"SPEND_{name}" for name in (*FLAGS, *PERIODS)]
+    per_order = lines.groupBy("CUSTOMER_ID", "ORDER_ID").agg(
+        *[F.expr(f"sum(SPEND) FILTER (WHERE {known}) AS SPEND_{flag}") for flag, known in flagged.items()],
+        *[F.expr(f"sum(SPEND) FILTER (WHERE _period = '{p}') AS SPEND_{p}") for p in PERIODS],
+        *[F.expr(f"bool_or({known}) AS HAS_{flag}") for flag, known in flagged.items()],
+        F.count("_period").alias("IN_PERIOD"),
+        F.min("FIRST_TIME").alias("FIRST_TIME"),
+        F.max("LAST_TIME").alias("LAST_TIME"),
+        F.sum("TIMES").alias("TIMES"),
+    )
+    return per_order.groupBy("CUSTOMER_ID").agg(
+        F.count("ORDER_ID").alias("ORDERS"),
+        *[F.expr(f"count(ORDER_ID) FILTER (WHERE HAS_{flag}) AS ORDERS_{flag}") for flag in FLAGS],
+        *[F.expr(f"bool_or(HAS_{flag}) AS HAS_{flag}") for flag in FLAGS],
+        *[F.sum(c).cast("decimal(38,2)").alias(c) for c in spent],
+        F.sum("IN_PERIOD").alias("IN_PERIOD"),
+        F.min("FIRST_TIME").alias("FIRST_TIME"),
+        F.max("LAST_TIME").alias("LAST_TIME"),
+        F.sum("TIMES").alias("TIMES"),
+    )
+
+
 def with_revenue(items: DataFrame, alias: str) -> DataFrame:
     return items.withColumn(alias, line_revenue())
 

@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from comanda.plans import clv, locations, pipeline, sales
+from comanda.plans import churn, clv, locations, loyalty, pipeline, rfm, sales, shared
 from comanda.schemas import GOLD
-from comanda.sources.lake import read_layer, write_layer
-from comanda.staging import SPLIT, SPLIT_BYTES, small_splits, staged_by, staging_scope
+from comanda.sources.lake import extract_tables, read_layer, write_layer
+from comanda.staging import SPLIT, SPLIT_BYTES, small_splits, stage, staged_by, staging_scope
 from tests.data import items, options
 
 
@@ -15,6 +15,7 @@ def lines(spark, busy=False):
         dict(LINEITEM_ID=None if n == 11 else f"l{n}", ORDER_ID=None if n % 41 == 0 else f"o{n // 3}",
              RESTAURANT_ID=None if n % 503 == 7 else "r0" if busy and n % 2 else f"r{n % 450}",
              ITEM_CATEGORY=None if n % 37 == 0 else f"c{n % 3}", ITEM_PRICE=None if n % 29 == 0 else f"{n % 7}.25",
+             IS_LOYALTY=None if n % 13 == 0 else n % 4 == 1, ITEM_QUANTITY=1 + n % 5,
              USER_ID=None if n % 10 == 0 else "" if n % 11 == 0 else f"u{n // 9}", PRINTED_CARD_NUMBER=None if n % 4 else f"C{n % 50}",
              CREATION_TIME_UTC=None if n % 19 == 0 else f"2023-0{1 + n % 6}-0{1 + n % 5} {n % 24:02}:00:00")
         for n in range(1_800)
@@ -109,3 +110,43 @@ def test_layers_write_pages_of_the_second_version(spark, tmp_path):
     write_layer(ids, str(tmp_path), "ids")
     found = pq.ParquetFile(glob.glob(f"{tmp_path}/ids/*.parquet")[0]).metadata.row_group(0).column(0)
     assert "DELTA_BYTE_ARRAY" in found.encodings and found.compression == "ZSTD"
+
+
+def test_totals_of_customers_give_segments_churn_and_loyalty_without_another_shuffle_of_orders(spark):
+    plain = lines(spark)
+    totals = shared.customer_totals(plain)
+    main = plan_of(totals).split("Subquery")[0]
+    assert main.count("Exchange hashpartitioning") == 2
+    totals = stage(totals, "customers").df
+    for of_totals in (churn.churn_of_totals, loyalty.loyalty_of_totals):
+        assert "Exchange hashpartitioning" not in plan_of(of_totals(totals))
+    assert rows_of(rfm.rfm_of_totals(totals)) == rows_of(rfm.rfm(plain))
+    assert rows_of(churn.churn_of_totals(totals)) == rows_of(churn.churn(plain))
+    assert rows_of(loyalty.loyalty_of_totals(totals)) == rows_of(loyalty.loyalty(plain))
+
+
+def test_totals_take_a_reference_date_and_blank_ids_for_null(spark):
+    plain = lines(spark)
+    day = spark.sql("SELECT timestamp '2023-09-10 00:00:00' AS REFERENCE_DATE")
+    totals = stage(shared.customer_totals(plain, day, blank_as_null=True), "customers").df
+    wanted = churn.churn(plain, day, blank_as_null=True)
+    assert rows_of(churn.churn_of_totals(totals, day)) == rows_of(wanted)
+    assert wanted.where("PREVIOUS_SPEND > 0").count() > 0
+
+
+def test_totals_without_a_known_price_are_null(spark):
+    rows = [dict(ORDER_ID=None, ITEM_PRICE=None, IS_LOYALTY=None, CREATION_TIME_UTC=None), dict(USER_ID="u2", ITEM_PRICE=None)]
+    plain = items(spark, rows)
+    totals = stage(shared.customer_totals(plain), "customers").df
+    assert rows_of(rfm.rfm_of_totals(totals)) == rows_of(rfm.rfm(plain))
+    assert rows_of(churn.churn_of_totals(totals)) == rows_of(churn.churn(plain))
+    assert rows_of(loyalty.loyalty_of_totals(totals)) == rows_of(loyalty.loyalty(plain))
+
+
+def test_extract_sorts_the_rows_of_a_task(spark, tmp_path):
+    given = extras(spark).coalesce(1)
+    counts = extract_tables(lambda _: given, ["dbo.options", "dbo.plain"], str(tmp_path), {"options": ("ORDER_ID", "LINEITEM_ID")})
+    assert counts == {"options": 2_000, "plain": 2_000}
+    stored = read_layer(spark, str(tmp_path), "options")
+    ids = [(r.ORDER_ID or "", r.LINEITEM_ID or "") for r in stored.collect()]
+    assert ids == sorted(ids) and rows_of(stored) == rows_of(given)
